@@ -80,3 +80,8 @@ def unit_interval(*cols: Column) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove shuffle files that no plan refers to any more."""
+    spark._jvm.System.gc()

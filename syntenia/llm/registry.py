@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from syntenia.llm import decision_list, licenses, mixing, secrets, token_counts, url_rules
+from syntenia.llm import decision_list, jaccard_join, licenses, mixing, secrets, token_counts, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_secret_links": secrets.op7_secret_links,
         "op8_url_rules": url_rules.op8_url_rules,
         "op9_license_templates": licenses.op9_license_templates,
+        "op10_jaccard_join": jaccard_join.op10_jaccard_join,
     }
 
 
