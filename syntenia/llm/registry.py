@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from syntenia.llm import decision_list, decontaminate, jaccard_join, licenses, mixing, secrets, token_counts, url_rules
+from syntenia.llm import decision_list, decontaminate, jaccard_join, licenses, line_templates, mixing, secrets, shards, token_counts, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_latent_decontamination": decontaminate.op1_latent_decontamination,
+        "op2_sharding": shards.op2_sharding,
+        "op3_line_templates": line_templates.op3_line_templates,
         "op4_mixing": mixing.op4_mixing,
         "op5_token_counts": token_counts.op5_token_counts,
         "op6_decision_list": decision_list.op6_decision_list,
