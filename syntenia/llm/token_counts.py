@@ -1,6 +1,6 @@
 """Token counts by overlap resynchronisation.
 
-Ordinary texts go to the tokenizer whole. A huge text is cut into chunks that
+Ordinary texts are counted by the pieces between their spaces. A huge text is cut into chunks that
 overlap; each chunk is encoded with offsets, and neighbouring encodings are
 spliced at a boundary that both agree on and that is proven stable. If an
 overlap holds no such boundary it is widened and the chunk encoded again.
@@ -91,15 +91,42 @@ class Spliced:
         return found[len(found) // 2] if found else None
 
 
-def count_tokens(tokenizer, texts: list[str], chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
-    """Tokens of each text: short ones as a batch, huge ones spliced."""
+class WordCounts(dict):
+    """Tokens of the pieces between spaces and line feeds, kept for the pieces seen lately.
+
+    Both characters are stable boundaries, so the pieces' counts add up to the
+    text's. ``LIMIT`` bounds the memory, not the results.
+    """
+
+    LIMIT, LONGEST = 300_000, 64
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def of(self, texts: list[str]) -> list[int]:
+        pieces = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list({w for p in pieces for w in p}.difference(self))
+        own = {w: len(e.ids) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
+        if len(self) + len(own) > self.LIMIT:
+            own |= {w: self[w] for p in pieces for w in p if w not in own}
+            self.clear()
+        self.update(own)
+        out = [sum(map(self.__getitem__, p)) for p in pieces]
+        for w in own:
+            if len(w) > self.LONGEST:
+                del self[w]
+        return out
+
+
+def count_tokens(words: WordCounts, spliced: Spliced, texts: list[str]) -> list[int]:
+    """Tokens of each text: ordinary ones by their pieces, huge ones spliced from chunks."""
     out = [0] * len(texts)
-    short = [i for i, t in enumerate(texts) if len(t) <= chunk]
-    for i, e in zip(short, tokenizer.encode_batch_fast([texts[i] for i in short], add_special_tokens=False)):
-        out[i] = len(e.ids)
-    spliced = Spliced(tokenizer, chunk, overlap)
+    short = [i for i, t in enumerate(texts) if len(t) <= spliced.chunk]
+    for i, n in zip(short, words.of([texts[i] for i in short])):
+        out[i] = n
     for i, t in enumerate(texts):
-        if len(t) > chunk:
+        if len(t) > spliced.chunk:
             out[i] = spliced.count(t)
     return out
 
@@ -128,12 +155,12 @@ def token_counts(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = None
+        tok = load_tokenizer(vocabulary)
+        words, spliced = WordCounts(tok), Spliced(tok, chunk, overlap)
         for b in batches:
-            tok = tok or load_tokenizer(vocabulary)
             counts: list[int] = []
             for k in range(0, b.num_rows, BATCH):
-                counts += count_tokens(tok, b.column(1).slice(k, BATCH).to_pylist(), chunk, overlap)
+                counts += count_tokens(words, spliced, b.column(1).slice(k, BATCH).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), b.column(2)], ["doc_id", "n_tokens", "n_bytes"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
