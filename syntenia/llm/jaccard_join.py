@@ -19,7 +19,8 @@ index each shingle, the partition's finest form. The allocation is by cost: one
 entry for each segment where that is enough, neighbourhoods and single shingles
 only for the few nodes that need them.
 
-Candidates are verified exactly on the whole sets. An index list yields one
+Candidates that a spread over ``BUCKETS`` counters doesn't exclude are verified
+exactly on the whole sets. An index list yields one
 star of candidates first; once components are known, only members of different
 components are compared. In a crowded list the exact counts against its leader
 exclude nearly all of those: members x, y that share no shingle outside the
@@ -37,12 +38,14 @@ from pyspark.sql import functions as F
 
 from syntenia.llm import common
 from syntenia.llm.components import components
-from syntenia.llm.shingles import WordHashes, mixed, set_id, shingle_set
+from syntenia.llm.shingles import mixed, set_id, shingle_sets
 
 PERCENT = 80
 RATIO = 1.6
 CROWD = 24
 SLICE = 256
+#: Buckets that a set is spread over for a first comparison.
+BUCKETS = 256
 #: Rows of 8 bytes that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -116,28 +119,25 @@ def deletion_keys(tokens: np.ndarray, band: int) -> np.ndarray:
     return np.unique(keys)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, str]]:
+def _sets_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     i = batch.schema.get_field_index("text")
     for k in range(0, batch.num_rows, SLICE):
-        for j, t in enumerate(batch.column(i).slice(k, SLICE).to_pylist()):
-            yield k + j, t
+        yield from shingle_sets(batch.column(i).slice(k, SLICE).to_pylist())
 
 
 def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
     for b in batches:
-        sets = [(len(s), set_id(s)) for _, t in _texts(b) for s in [shingle_set(t, cache)]]
+        sets = [(len(s), set_id(s)) for s in _sets_of(b)]
         n = pa.array([x[0] for x in sets], pa.int64())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[1] for x in sets], pa.int64()), n], ["doc_id", "node", "n_shingles"])
 
 
 def _plain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, node, tag) of every node; tag: band and how many segments may be left out."""
-    cache, seen = WordHashes(), set()
+    seen: set[int] = set()
     for b in batches:
         keys, nodes, tags, n = [], [], [], 0
-        for _, t in _texts(b):
-            s = shingle_set(t, cache)
+        for s in _sets_of(b):
             if len(s) == 0 or (node := set_id(s)) in seen:
                 continue
             if len(seen) < 1_000_000:
@@ -162,11 +162,9 @@ def _batch(keys, nodes, tags) -> pa.RecordBatch:
 
 def _deleted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, node, tag) of the nodes that plain segments don't cover; tag: the node's rank as a leader."""
-    cache = WordHashes()
     for b in batches:
         bands, ranks = b.column(b.schema.get_field_index("bands")).to_pylist(), b.column(b.schema.get_field_index("hot")).to_pylist()
-        for i, t in _texts(b):
-            s = shingle_set(t, cache)
+        for i, s in enumerate(_sets_of(b)):
             node = set_id(s)
             for band in bands[i]:
                 key = deletion_keys(s, band)
@@ -286,12 +284,30 @@ def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
     for b in batches:
         for k in range(0, b.num_rows, SLICE):
-            part = b.slice(k, SLICE)
-            sets = [shingle_set(t, cache) for _, t in _texts(part)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "tokens"])
+            sets = list(_sets_of(b.slice(k, SLICE)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([_spread(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                ["node", "spread", "tokens"],
+            )
+
+
+def _spread(tokens: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each bucket; the differences of two such rows bound the sets' difference."""
+    return np.minimum(np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 65535).astype(np.uint16)
+
+
+def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that the buckets don't exclude, and those whose counts are asked for."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2048):
+            part = batch.slice(k, 2048)
+            x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for i in (2, 3))
+            differ = np.abs(x - y).sum(1)
+            near = (100 + PERCENT) * differ <= (100 - PERCENT) * (x.sum(1) + y.sum(1))
+            near |= (x == 65535).any(1) | (y == 65535).any(1) | part.column(4).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(near)) for i in (0, 1, 4)], ["a", "b", "ask"])
 
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,9 +368,11 @@ def classes(docs: DataFrame, scratch: common.Scratch | None = None) -> DataFrame
     pairs = crowds.withColumn("ask", F.lit(True)).union(star.distinct().withColumn("ask", F.lit(False)))
     pairs = scratch.write(pairs.groupBy("a", "b").agg(F.max("ask").alias("ask")), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = scratch.write(_among(d, chosen.join(nodes, "node", "left_semi").select("doc_id")).mapInArrow(_sets, "node long, tokens binary").dropDuplicates(["node"]), "sets")
+    sets = scratch.write(_among(d, chosen.join(nodes, "node", "left_semi").select("doc_id")).mapInArrow(_sets, "node long, spread binary, tokens binary"), "sets")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
+        x, y = sets.select(F.col("node").alias("a"), F.col("spread").alias("x")), sets.select(F.col("node").alias("b"), F.col("spread").alias("y"))
+        pairs = scratch.write(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "ask").mapInArrow(_apart, "a long, b long, ask boolean"), f"{name}-near")
         x, y = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
         got = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "ask").mapInArrow(_verified, "a long, b long, both long, n_a long, n_b long, fresh array<long>")
         return scratch.write(got, name)
