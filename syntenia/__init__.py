@@ -1,0 +1 @@
+"""Gene-annotation transfer analytics on Spark DataFrames."""
