@@ -435,7 +435,7 @@ l AS (SELECT *, CASE WHEN s % 3 = 0 THEN -1 ELSE 1 END AS strand, s % 40 AS xl,
 
 @query(
     "expanded_loci",
-    f"""WITH {SEPARATE_SQL}, n AS (SELECT *, greatest(0, s - lag(e) OVER w - 1) AS g, lag(xr) OVER w AS pr, lag(sr) OVER w AS psr FROM l WINDOW w AS (PARTITION BY chr_id ORDER BY s)),
+    f"""WITH {SEPARATE_SQL}, n AS (SELECT *, CASE WHEN lag(e) OVER w IS NOT NULL THEN greatest(0, s - lag(e) OVER w - 1) END AS g, lag(xr) OVER w AS pr, lag(sr) OVER w AS psr FROM l WINDOW w AS (PARTITION BY chr_id ORDER BY s)),
 prev AS (SELECT *, CASE WHEN g IS NULL THEN NULL WHEN g >= pr + xl THEN pr WHEN pr = 0 THEN 0 WHEN xl = 0 THEN g WHEN psr THEN g WHEN sl THEN 0 ELSE CAST(floor(g * pr / (pr + xl)) AS BIGINT) END AS to_prev FROM n),
 grow AS (SELECT *, CASE WHEN g IS NULL THEN xl WHEN g >= pr + xl THEN xl ELSE g - to_prev END AS gl, coalesce(lead(to_prev) OVER (PARTITION BY chr_id ORDER BY s), xr) AS gr FROM prev)
 SELECT chr_id, strand, CAST(greatest(0, s - gl) AS BIGINT) AS chr_start, CAST(e + gr AS BIGINT) AS chr_end FROM grow""",
