@@ -21,7 +21,8 @@ from syntenia.llm import common
 from syntenia.llm.decision_list import let
 
 DEPTH, MIN_TOKENS, MIN_GENERAL, MIN_DOCS = 3, 4, 10, 3
-VARIABLE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: A token that holds a digit; tried at the starts of tokens only, without backtracking.
+VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 BROADCAST_ROWS = 500_000
 
 
@@ -38,7 +39,8 @@ def template_keys(line: Column) -> Column:
         none = F.array().cast("array<bigint>")
         return F.when(n >= MIN_GENERAL, F.array(literal, first, second)).when(n >= MIN_TOKENS, F.array(literal)).otherwise(none)
 
-    return let(F.regexp_extract_all(F.regexp_replace(line, VARIABLE, "<*>"), F.lit(common.WORD), 0), keys)
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
+    return let(F.regexp_extract_all(masked, F.lit(common.WORD), 0), keys)
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -54,6 +56,7 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     scratch = common.Scratch(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
     keyed = d.select("doc_id", F.xxhash64("text").alias("copy"), F.array_distinct(F.flatten(F.transform(F.split("text", "\n", -1), template_keys))).alias("keys"))
+    keyed = scratch.write(keyed, "keys")
     each = keyed.select("doc_id", "copy", F.explode("keys").alias("key"))
     recurring = scratch.write(each.select("key", "copy").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key"), "templates")
     few = recurring.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
