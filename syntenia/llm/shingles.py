@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import xxhash
@@ -52,11 +52,16 @@ def hash_words(lowered: bytes, ends_words: np.ndarray = WHITE) -> tuple[np.ndarr
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
 
 
-def parts_of(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Runs of texts with about PART bytes: (first, end, UTF-8 with A-Z lower-cased)."""
+def ascii_lower(text: str | None) -> bytes:
+    """UTF-8 with A-Z lower-cased."""
+    return (text or "").encode().lower()
+
+
+def parts_of(texts: list[str | None], lower: Callable[[str | None], bytes] = ascii_lower) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Runs of texts with about PART bytes: (first, end, lower-cased UTF-8)."""
     first, held, size = 0, [], 0
     for i, t in enumerate(texts):
-        b = (t or "").encode().lower()
+        b = lower(t)
         if held and size + len(b) > PART:
             yield first, i, held
             first, held, size = i, [], 0
@@ -66,7 +71,7 @@ def parts_of(texts: list[str | None]) -> Iterator[tuple[int, int, list[bytes]]]:
         yield first, len(texts), held
 
 
-def _one_large(lowered: bytes) -> np.ndarray:
+def _one_large(lowered: bytes, ends_words: np.ndarray) -> np.ndarray:
     """Word hashes of a text of more than PART bytes, cut at white space."""
     out, at = [], 0
     while at < len(lowered):
@@ -77,7 +82,7 @@ def _one_large(lowered: bytes) -> np.ndarray:
                 nxt = [p for p in (lowered.find(b" ", end), lowered.find(b"\n", end)) if p >= 0]
                 cut = min(nxt, default=len(lowered))
             end = cut
-        out.append(hash_words(lowered[at : end + 1])[0])
+        out.append(hash_words(lowered[at : end + 1], ends_words)[0])
         at = end + 1
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -90,17 +95,21 @@ def _shingles(h: np.ndarray, k: int) -> np.ndarray:
     return mixed(x)
 
 
+def word_hashes(part: list[bytes], ends_words: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts of a part, and how many each text has."""
+    if len(part) == 1 and len(part[0]) > PART:
+        h = _one_large(part[0], ends_words)
+        return h, np.array([len(h)])
+    h, starts, _ = hash_words(b"\n".join(part), ends_words)
+    begins = np.cumsum([0] + [len(b) + 1 for b in part])
+    return h, np.diff(np.searchsorted(starts, begins))
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its five-word shingles; of all its words if they are fewer."""
     out: list[np.ndarray] = []
     for _, _, part in parts_of(texts):
-        if len(part) == 1 and len(part[0]) > PART:
-            h = _one_large(part[0])
-            counts = np.array([len(h)])
-        else:
-            h, starts, _ = hash_words(b"\n".join(part))
-            begins = np.cumsum([0] + [len(b) + 1 for b in part])
-            counts = np.diff(np.searchsorted(starts, begins))
+        h, counts = word_hashes(part)
         x = _shingles(h, WIDTH) if len(h) >= WIDTH else None
         at = 0
         for n in counts.tolist():
