@@ -12,12 +12,14 @@ are left out. A node that leaves out at most E of them misses no partner.
 
 Nodes that leave out more (members of large groups of copies, texts that are
 mostly shared passages, sets that leave segments empty) are joined among
-themselves: with m' = H // 2 + 1 + E' segments, one has at most one difference,
-so full segments are indexed with their one-deletion neighbourhoods; segments
-of fewer than two shingles don't count. Sets with more than E' of those also
-index each shingle, the partition's finest form. The allocation is by cost: one
-entry for each segment where that is enough, neighbourhoods and single shingles
-only for the few nodes that need them.
+themselves: with m' = H // 2 + 1 + E' segments, E' + 1 have at most one
+difference, so full segments are indexed with their one-deletion neighbourhoods.
+Segments of fewer than two shingles and segments with a crowded list may again
+be left out, up to E' of them; only nodes with more keep crowded lists, and
+those whose small segments alone are too many index each shingle as well, the
+partition's finest form. The allocation is by cost: one entry for each segment
+where that is enough, neighbourhoods, single shingles and crowded lists only for
+the few nodes that need them.
 
 Candidates that a spread over ``BUCKETS`` counters doesn't exclude are verified
 exactly on the whole sets. An index list yields one
@@ -29,12 +31,13 @@ leader differ in at least x_new + y_new + |x_gone - y_gone| shingles.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from syntenia.llm import common
 from syntenia.llm.components import components
@@ -42,10 +45,12 @@ from syntenia.llm.shingles import mixed, set_id, shingle_sets
 
 PERCENT = 80
 RATIO = 1.6
-CROWD = 24
+CROWD = 8
 SLICE = 256
+#: Of its shingles, a set has at most this share that a linked set lacks (rounded up).
+SPARE_NEW = 0.25
 #: Buckets that a set is spread over for a first comparison.
-BUCKETS = 256
+BUCKETS = 128
 #: Rows of 8 bytes that may be broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -105,18 +110,24 @@ def plain_keys(tokens: np.ndarray, band: int) -> tuple[np.ndarray, int]:
     return _key(sums, seg, band, 1), e - (m - len(seg))
 
 
-def deletion_keys(tokens: np.ndarray, band: int) -> np.ndarray:
-    """Keys of segments and of segments less one shingle; of single shingles too if many segments are small."""
+def deletion_keys(tokens: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys of segments and of segments less one shingle, their segments, and how many more may be left out.
+
+    If too many segments are small (below 0), the keys of single shingles are there
+    too, each as a segment of its own.
+    """
     m, e = deletion_parts(band)
     t, starts, seg, sums = _cut(tokens, band, m, 2)
     sizes = np.diff(np.r_[starts, len(t)])
     at = np.repeat(np.arange(len(seg)), sizes)
     some = sizes[at] > 1
     less = _key((sums[at] - t)[some], seg[at][some], band, 2)
-    keys = np.concatenate([_key(sums, seg, band, 2), less])
-    if m - int((sizes > 1).sum()) > e:
+    keys, parts = np.concatenate([_key(sums, seg, band, 2), less]), np.concatenate([seg, seg[at][some]])
+    spare = e - (m - int((sizes > 1).sum()))
+    if spare < 0:
         keys = np.concatenate([keys, _key(t, np.zeros(len(t), np.int64), band, 3)])
-    return np.unique(keys)
+        parts = np.concatenate([parts, m + np.arange(len(t))])
+    return keys, parts, spare
 
 
 def _sets_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -161,14 +172,16 @@ def _batch(keys, nodes, tags) -> pa.RecordBatch:
 
 
 def _deleted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, tag) of the nodes that plain segments don't cover; tag: the node's rank as a leader."""
+    """(key, node, tag, part, spare) of the nodes that plain segments don't cover; tag: the node's rank as a leader."""
     for b in batches:
         bands, ranks = b.column(b.schema.get_field_index("bands")).to_pylist(), b.column(b.schema.get_field_index("hot")).to_pylist()
         for i, s in enumerate(_sets_of(b)):
             node = set_id(s)
             for band in bands[i]:
-                key = deletion_keys(s, band)
-                yield _batch([key], [np.full(len(key), node, np.int64)], [np.full(len(key), min(ranks[i], 1 << 30), np.int32)])
+                key, part, spare = deletion_keys(s, band)
+                n = len(key)
+                full = lambda x: pa.array(np.full(n, x, np.int64))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(key), full(node), full(ranks[i]), full(band), pa.array(part.astype(np.int64)), full(spare)], ["key", "node", "tag", "band", "part", "spare"])
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
@@ -258,44 +271,24 @@ def _lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of small lists, or (leader, node) of crowded ones."""
-    seen: set = set()
-    for node, _, starts, crowded in _groups(batches):
-        out, pairs = [], []
-        if crowded:
-            pairs = [(int(node[0]), x) for x in set(node[1:].tolist()) if x != node[0]]
-            pairs = [p for p in pairs if p not in seen]
-            seen.update(pairs)
-        else:
-            sizes = np.diff(np.r_[starts, len(node)])
-            for i in np.flatnonzero(sizes > 1):
-                m = np.sort(node[starts[i] : starts[i] + sizes[i]])
-                if (k := m.tobytes()) not in seen:
-                    seen.add(k)
-                    out.append(m)
-        if len(seen) > 500_000:
-            seen.clear()
-        if out or pairs:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([*out, *[None] * len(pairs)], pa.list_(pa.int64())), pa.array([None] * len(out) + [p[0] for p in pairs], pa.int64()), pa.array([None] * len(out) + [p[1] for p in pairs], pa.int64())],
-                ["members", "leader", "node"],
-            )
+def _spreads(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _by_node(batches, _spread, "spread")
+
+
+def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _by_node(batches, lambda s: s, "tokens")
 
 
-def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_node(batches: Iterable[pa.RecordBatch], what: Callable[[np.ndarray], np.ndarray], name: str) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for k in range(0, b.num_rows, SLICE):
             sets = list(_sets_of(b.slice(k, SLICE)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(s) for s in sets], pa.int64()), pa.array([_spread(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["node", "spread", "tokens"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([what(s).tobytes() for s in sets], pa.binary())], ["node", name])
 
 
 def _spread(tokens: np.ndarray) -> np.ndarray:
     """How many shingles fall into each bucket; the differences of two such rows bound the sets' difference."""
-    return np.minimum(np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 65535).astype(np.uint16)
+    return np.minimum(np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8)
 
 
 def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,10 +296,10 @@ def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, 2048):
             part = batch.slice(k, 2048)
-            x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS).astype(np.int32) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int32) for i in (2, 3))
             differ = np.abs(x - y).sum(1)
             near = (100 + PERCENT) * differ <= (100 - PERCENT) * (x.sum(1) + y.sum(1))
-            near |= (x == 65535).any(1) | (y == 65535).any(1) | part.column(4).to_numpy(zero_copy_only=False)
+            near |= (x == 255).any(1) | (y == 255).any(1) | part.column(4).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(near)) for i in (0, 1, 4)], ["a", "b", "ask"])
 
 
@@ -358,29 +351,47 @@ def classes(docs: DataFrame, scratch: common.Scratch | None = None) -> DataFrame
     unserved = plain.where("node is not null").groupBy("node", "tag").agg(F.sum("hot").alias("hot"))
     unserved = unserved.where("hot > (tag & 1048575) - 524288").groupBy("node").agg(F.collect_set(F.shiftright("tag", 20)).alias("bands"), F.max("hot").alias("hot"))
     unserved = scratch.write(unserved.join(chosen, "node").select("doc_id", "bands", "hot"), "unserved")
-    keys = _among(d, unserved).mapInArrow(_deleted, "key long, node long, tag int").repartition("key").sortWithinPartitions("key", F.desc("tag"), "node")
-    deleted = scratch.write(keys.mapInArrow(_stars, "members array<long>, leader long, node long"), "deleted")
-
-    lists = plain.where("members is not null").select("members").union(deleted.where("members is not null").select("members")).distinct()
+    keys = scratch.write(_among(d, unserved).mapInArrow(_deleted, "key long, node long, tag long, band long, part long, spare long"), "deletions")
+    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    small = keys.join(sizes.where(F.col("size") <= CROWD), "key").groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("members")).where("size(members) > 1").select("members")
+    crowded = scratch.write(keys.join(sizes.where(F.col("size") > CROWD).select("key"), "key"), "crowded")
+    bound = crowded.groupBy("node", "band").agg(F.count_distinct("part").alias("lost"), F.max("spare").alias("spare")).where("lost > spare").select("node", "band")
+    crowded = crowded.join(bound, ["node", "band"], "left_semi")
+    heads = crowded.groupBy("key").agg(F.max(F.struct("tag", "node"))["node"].alias("a"))
+
+    lists = plain.where("members is not null").select("members").union(small).distinct()
     lists = scratch.write(lists.withColumn("list", F.monotonically_increasing_id()), "lists")
-    crowds = deleted.where("leader is not null").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    crowds = scratch.write(crowded.join(heads, "key").where("a != node").select("a", F.col("node").alias("b")).distinct(), "crowds")
     star = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
     pairs = crowds.withColumn("ask", F.lit(True)).union(star.distinct().withColumn("ask", F.lit(False)))
     pairs = scratch.write(pairs.groupBy("a", "b").agg(F.max("ask").alias("ask")), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = scratch.write(_among(d, chosen.join(nodes, "node", "left_semi").select("doc_id")).mapInArrow(_sets, "node long, spread binary, tokens binary"), "sets")
+
+    def of_nodes(pairs: DataFrame) -> DataFrame:
+        """One document for each node of the pairs."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        return _among(d, scratch.write(chosen.join(nodes, "node", "left_semi").select("doc_id"), "wanted"))
+
+    def beside(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+        x, y = rows.select(F.col("node").alias("a"), F.col(name).alias("x")), rows.select(F.col("node").alias("b"), F.col(name).alias("y"))
+        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "ask")
+
+    spreads = scratch.write(of_nodes(pairs).mapInArrow(_spreads, "node long, spread binary"), "spreads")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
-        x, y = sets.select(F.col("node").alias("a"), F.col("spread").alias("x")), sets.select(F.col("node").alias("b"), F.col("spread").alias("y"))
-        pairs = scratch.write(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "ask").mapInArrow(_apart, "a long, b long, ask boolean"), f"{name}-near")
-        x, y = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-        got = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "ask").mapInArrow(_verified, "a long, b long, both long, n_a long, n_b long, fresh array<long>")
-        return scratch.write(got, name)
+        pairs = scratch.write(beside(pairs, spreads, "spread").mapInArrow(_apart, "a long, b long, ask boolean"), f"{name}-near")
+        common.collect_garbage(spark)
+        sets = scratch.write(of_nodes(pairs).mapInArrow(_tokens, "node long, tokens binary"), f"{name}-sets")
+        got = beside(pairs, sets, "tokens").mapInArrow(_verified, "a long, b long, both long, n_a long, n_b long, fresh array<long>")
+        with common.small_batches(spark):
+            out = scratch.write(got, name)
+        scratch.drop(sets)
+        common.collect_garbage(spark)
+        return out
 
-    first = verify(pairs, "verified")
     common.collect_garbage(spark)
+    first = verify(pairs, "verified")
     roots = scratch.write(components(first.where(_linked()).select("a", "b"), scratch), "roots")
-    more = _across_lists(lists, roots).union(_across_crowds(crowds, first, roots)).distinct()
+    more = _across_lists(lists, roots).union(_across_crowds(crowds, first, roots, scratch)).distinct()
     more = more.join(first.select("a", "b"), ["a", "b"], "left_anti").join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     second = verify(more.withColumn("ask", F.lit(False)), "verified-more")
     links = first.where(_linked()).select("a", "b").union(second.where(_linked()).select("a", "b"))
@@ -402,16 +413,22 @@ def _across_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _across_crowds(crowds: DataFrame, verified: DataFrame, roots: DataFrame) -> DataFrame:
+def _across_crowds(crowds: DataFrame, verified: DataFrame, roots: DataFrame, scratch: common.Scratch) -> DataFrame:
     """Pairs of one crowd in different components that the counts against its leader don't exclude."""
     v = crowds.join(verified, ["a", "b"]).select(F.col("a").alias("leader"), F.col("b").alias("node"), F.col("n_b").alias("n"), (F.col("n_b") - F.col("both")).alias("new"), (F.col("n_a") - F.col("both")).alias("gone"), "fresh")
     v = _rooted(v, roots).join(roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root")), "leader", "left")
     v = v.withColumn("out", F.col("root") != F.coalesce("leader_root", "leader"))
-    x, y = v.where("out").alias("x"), v.alias("y")
     apart = F.expr("x.leader = y.leader and x.root != y.root")
-    shared = v.select("leader", "node", "root", "out", F.explode("fresh").alias("token"))
+    v = scratch.write(v, "crowd-members")
+    shared = v.select("leader", "node", "n", F.explode("fresh").alias("token"))
+    shared = shared.withColumn("held", F.count("*").over(Window.partitionBy("leader", "token")))
+    place = F.row_number().over(Window.partitionBy("leader", "node").orderBy("held", "token"))
+    # linked sets share all but SPARE_NEW * n of their new shingles, so one of the rarest of both
+    shared = shared.withColumn("place", place).where("held > 1").where(F.col("place") <= F.floor(F.col("n") * SPARE_NEW) + 1)
+    shared = scratch.write(shared.select("leader", "node", "token"), "crowd-shingles").join(v.select("leader", "node", "root", "out"), ["leader", "node"])
     p, q = shared.where("out").alias("x"), shared.alias("y")
     by_token = p.join(q, apart & F.expr("x.token = y.token")).select("x.node", F.col("y.node").alias("other"))
+    x, y = v.where("out").alias("x"), v.alias("y")
     kinds = v.groupBy("leader", "n", "new", "gone").agg(F.max("out").alias("out"))
     k, r = kinds.where("out").alias("x"), kinds.alias("y")
     near = k.join(r, F.expr(f"x.leader = y.leader and (100 + {PERCENT}) * (x.new + y.new + abs(x.gone - y.gone)) <= (100 - {PERCENT}) * (x.n + y.n)"))
