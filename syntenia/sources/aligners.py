@@ -53,7 +53,7 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
             rows = [(p, *r) for p, t in zip(b["path"], b["text"]) for r in _report(t.splitlines())]
             yield pd.DataFrame(rows, columns=["path", "length", "marks"])
 
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     return files.mapInPandas(run, "path string, length long, marks array<int>")
 
 
