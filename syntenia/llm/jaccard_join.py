@@ -172,16 +172,16 @@ def _batch(keys, nodes, tags) -> pa.RecordBatch:
 
 
 def _deleted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, tag, part, spare) of the nodes that plain segments don't cover; tag: the node's rank as a leader."""
+    """(key, node, band, part, spare) of the nodes that plain segments don't cover."""
     for b in batches:
-        bands, ranks = b.column(b.schema.get_field_index("bands")).to_pylist(), b.column(b.schema.get_field_index("hot")).to_pylist()
+        bands = b.column(b.schema.get_field_index("bands")).to_pylist()
         for i, s in enumerate(_sets_of(b)):
             node = set_id(s)
             for band in bands[i]:
                 key, part, spare = deletion_keys(s, band)
                 n = len(key)
                 full = lambda x: pa.array(np.full(n, x, np.int64))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([pa.array(key), full(node), full(ranks[i]), full(band), pa.array(part.astype(np.int64)), full(spare)], ["key", "node", "tag", "band", "part", "spare"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), full(node), full(band), pa.array(part.astype(np.int64)), full(spare)], ["key", "node", "band", "part", "spare"])
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
@@ -349,19 +349,25 @@ def classes(docs: DataFrame, scratch: common.Scratch | None = None) -> DataFrame
     plain = scratch.write(keys.mapInArrow(_lists, "members array<long>, node long, tag int, hot long"), "plain")
     common.collect_garbage(spark)
     unserved = plain.where("node is not null").groupBy("node", "tag").agg(F.sum("hot").alias("hot"))
-    unserved = unserved.where("hot > (tag & 1048575) - 524288").groupBy("node").agg(F.collect_set(F.shiftright("tag", 20)).alias("bands"), F.max("hot").alias("hot"))
-    unserved = scratch.write(unserved.join(chosen, "node").select("doc_id", "bands", "hot"), "unserved")
-    keys = scratch.write(_among(d, unserved).mapInArrow(_deleted, "key long, node long, tag long, band long, part long, spare long"), "deletions")
+    unserved = unserved.where("hot > (tag & 1048575) - 524288").groupBy("node").agg(F.collect_set(F.shiftright("tag", 20)).alias("bands"))
+    unserved = scratch.write(unserved.join(chosen, "node").select("doc_id", "bands"), "unserved")
+    keys = scratch.write(_among(d, unserved).mapInArrow(_deleted, "key long, node long, band long, part long, spare long"), "deletions")
     sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     small = keys.join(sizes.where(F.col("size") <= CROWD), "key").groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("members")).where("size(members) > 1").select("members")
-    crowded = scratch.write(keys.join(sizes.where(F.col("size") > CROWD).select("key"), "key"), "crowded")
-    bound = crowded.groupBy("node", "band").agg(F.count_distinct("part").alias("lost"), F.max("spare").alias("spare")).where("lost > spare").select("node", "band")
-    crowded = crowded.join(bound, ["node", "band"], "left_semi")
-    heads = crowded.groupBy("key").agg(F.max(F.struct("tag", "node"))["node"].alias("a"))
+    crowded = scratch.write(keys.join(sizes.where(F.col("size") > CROWD), "key"), "crowded")
+    # crowds are led by the node that shares most with others, the one most like all
+    bound = crowded.groupBy("node", "band").agg(F.count_distinct("part").alias("lost"), F.max("spare").alias("spare"), F.sum("size").alias("rank")).where("lost > spare").select("node", "band", "rank")
+    crowded = crowded.join(bound, ["node", "band"])
+    crowded = scratch.write(crowded.select("key", F.struct("rank", "node").alias("who")), "crowds-of-keys")
+    # the leader may be two lists away: copies that share an edit still follow the original
+    head = crowded.groupBy("key").agg(F.max("who").alias("head"))
+    best = crowded.join(head, "key").groupBy("who").agg(F.max("head").alias("best"))
+    followed = crowded.join(best, "who")
+    crowded = followed.select("key", "who").join(followed.groupBy("key").agg(F.max("best").alias("top")), "key")
 
     lists = plain.where("members is not null").select("members").union(small).distinct()
     lists = scratch.write(lists.withColumn("list", F.monotonically_increasing_id()), "lists")
-    crowds = scratch.write(crowded.join(heads, "key").where("a != node").select("a", F.col("node").alias("b")).distinct(), "crowds")
+    crowds = scratch.write(crowded.select(F.col("top.node").alias("a"), F.col("who.node").alias("b")).where("a != b").distinct(), "crowds")
     star = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
     pairs = crowds.withColumn("ask", F.lit(True)).union(star.distinct().withColumn("ask", F.lit(False)))
     pairs = scratch.write(pairs.groupBy("a", "b").agg(F.max("ask").alias("ask")), "pairs")
