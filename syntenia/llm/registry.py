@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from syntenia.llm import decision_list, decontaminate, jaccard_join, licenses, line_templates, mixing, secrets, shards, token_counts, url_rules
+from syntenia.llm import decision_list, decontaminate, jaccard_join, licenses, line_templates, mixing, oracles, secrets, shards, token_counts, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_rules": url_rules.OP8_SQL}
+    return dict(oracles.ORACLES)

@@ -452,3 +452,25 @@ def test_pipeline_stages(spark):
         if name != "mixing":
             assert out.count() <= before
         d, before = out, out.count()
+
+
+# ---- SQL -------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["op3_line_templates", "op8_url_rules", "op10_jaccard_join"])
+def test_oracles(spark, name):
+    import duckdb
+
+    from syntenia.llm import registry
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    df = registry.queries()[name](spark, sf)
+    cols = sorted(df.columns)
+    rel = con.execute(registry.oracle_sql()[name])
+    names = [d[0] for d in rel.description]
+    assert sorted(names) == cols
+    want = sorted(repr(tuple(r[names.index(c)] for c in cols)) for r in rel.fetchall())
+    assert sorted(repr(tuple(r[c] for c in cols)) for r in df.collect()) == want
