@@ -26,7 +26,10 @@ FIT_ROWS = 4000
 #: A rule needs this precision and so many covered rows, on either part of the sample.
 PRECISION, SUPPORT, MAX_RULES, MAX_TERMS, CUTS = 0.97, 8, 12, 4, 48
 
-FEATURES = ("symbol_rate", "repeat_share", "dup_line_share", "mean_chars", "bang_rate", "shout_share", "distinct_share", "bar_rate")
+#: Words of a stretch in which distinct words are counted.
+STRETCH = 100
+
+FEATURES = ("symbol_rate", "repeat_share", "dup_line_share", "mean_chars", "bang_rate", "shout_share", "variety", "bar_rate")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -57,6 +60,13 @@ def repeat_words(words: Column) -> Column:
     return F.when(F.size(words) >= 5, let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(grams(h), many))).otherwise(F.lit(0))
 
 
+def variety(words: Column) -> Column:
+    """Distinct words of each stretch of ``STRETCH`` words, summed; as a share it doesn't fall with the length."""
+    last = F.floor((F.size(words) - 1) / STRETCH).cast("int")
+    each = F.transform(F.sequence(F.lit(0), last), lambda i: F.size(F.array_distinct(F.slice(words, i * STRETCH + 1, F.lit(STRETCH)))))
+    return F.when(F.size(words) > 0, F.aggregate(each, F.lit(0), lambda a, b: a + b)).otherwise(F.lit(0))
+
+
 def statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the contract's statistics and the learner's features of each text (null: no words).
 
@@ -67,7 +77,7 @@ def statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     more = ["kept_row"] if keep else []
     word_lines = F.filter(F.split("t", "\n", -1), lambda x: x.rlike(common.WORD))
     count = lambda pattern: F.regexp_count(F.col("t"), F.lit(pattern)).cast("long")
-    of_words = lambda w: F.struct(F.size(w).alias("n"), repeat_words(w).alias("repeat"), F.size(F.array_distinct(w)).alias("distinct"))
+    of_words = lambda w: F.struct(F.size(w).alias("n"), repeat_words(w).alias("repeat"), variety(w).alias("distinct"))
     of_lines = lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup"))
     d = d.select(
         "doc_id",
@@ -95,7 +105,7 @@ def statistics(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         (F.col("word_chars") / n).alias("mean_chars"),
         (F.col("bangs") / n).alias("bang_rate"),
         (F.col("shouts") / n).alias("shout_share"),
-        (F.col("w.distinct") / n).alias("distinct_share"),
+        (F.col("w.distinct") / n).alias("variety"),
         (F.col("bars") / n).alias("bar_rate"),
     )
 
