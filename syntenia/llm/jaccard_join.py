@@ -85,7 +85,7 @@ def plain_parts(band: int) -> tuple[int, int]:
 
 def deletion_parts(band: int) -> tuple[int, int]:
     h = differences(band)
-    e = -(-h // 6)
+    e = -(-h // 4)
     return h // 2 + 1 + e, e
 
 
