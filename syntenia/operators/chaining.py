@@ -3,17 +3,22 @@
 The chain maximises identical residues less skipped covered positions; every two
 members must be in the same order on protein and sequence and overlap alike on
 both. Left-overs on either side of a chain are chained again. Islands are
-independent, so each is one group of a grouped pandas function; an island is
-bounded by one protein's alignments near one place.
+independent: sorted rows stream through Arrow batches, and only one island is held
+at a time, which is bounded by one protein's alignments near one place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from syntenia import schema
+from syntenia.operators.alignments import KEYS
 from syntenia.options import Scoring
 
 #: Covered nucleotides that cost one identical residue when skipped.
@@ -23,9 +28,9 @@ SKIP = 12
 class _Hits:
     """The alignments of one island, ordered by their end."""
 
-    def __init__(self, rows: pd.DataFrame):
-        rows = rows.sort_values(["loc_endS", "loc_startS", "prot_start", "prot_end"], kind="stable")
-        col = lambda c: rows[c].to_numpy(np.int64)
+    def __init__(self, rows):
+        order = np.lexsort([np.asarray(rows[c]) for c in reversed(ORDER)])
+        col = lambda c: np.asarray(rows[c], np.int64)[order]
         self.s, self.e = col("loc_startS"), col("loc_endS")
         self.p, self.q = np.minimum(col("prot_start"), col("prot_end")), np.maximum(col("prot_start"), col("prot_end"))
         self.a, self.b = np.minimum(col("loc_start"), col("loc_end")), np.maximum(col("loc_start"), col("loc_end"))
@@ -130,20 +135,64 @@ def chains_of(h: _Hits, shrink: int) -> list[tuple]:
     return out
 
 
-def chain_islands(hsps: DataFrame, scoring: Scoring = Scoring()) -> DataFrame:
-    """One row for each chain of each island (``hsp_islands`` gives the islands)."""
-    shrink = scoring.shrink
+ORDER = ("loc_endS", "loc_startS", "prot_start", "prot_end")
+NUMBERS = (*ORDER, "loc_start", "loc_end", "nident")
+
+
+def _chained(batches: Iterable[pa.RecordBatch], shrink: int) -> Iterator[pa.RecordBatch]:
+    """Chains of islands from rows sorted by island and end; an island that goes on is held for the next batch."""
+    held: pa.RecordBatch | None = None
+    for b in batches:
+        b = pa.concat_batches([held, b]) if held is not None else b
+        if not b.num_rows:
+            continue
+        keys, starts = _starts(b)
+        yield _chains_of_batch(b.slice(0, starts[-1]), keys, starts[:-1], shrink)
+        held = b.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield _chains_of_batch(held, *_starts(held), shrink)
+
+
+def _starts(b: pa.RecordBatch) -> tuple[list[tuple], list[int]]:
+    keys = list(zip(*(b.column(i).to_pylist() for i in range(5))))
+    return keys, [i for i, k in enumerate(keys) if not i or k != keys[i - 1]]
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first = rows.iloc[0]
-        found = []
-        for k, (seq, prot, n, on_seq, on_prot) in enumerate(chains_of(_Hits(rows), shrink)):
-            pairs = lambda p: [{"start": a, "end": b} for a, b in p]
-            hull = lambda p: (min(a for a, _ in p), max(b for _, b in p))
-            found.append((first.chr_id, first.strand, first.prot_id, first.prot_len, first.island, k, pairs(seq), pairs(prot), *hull(seq), *hull(prot), n, on_seq, on_prot))
-        return pd.DataFrame(found, columns=[c.split()[0] for c in _COLUMNS])
 
-    return hsps.groupBy("chr_id", "strand", "prot_id", "island").applyInPandas(run, schema.CHAINS)
+def _chains_of_batch(b: pa.RecordBatch, keys: list[tuple], starts: list[int], shrink: int) -> pa.RecordBatch:
+    numbers = {name: b.column(5 + i).to_numpy(zero_copy_only=False) for i, name in enumerate(NUMBERS)}
+    found = []
+    pairs = lambda p: [{"start": a, "end": e} for a, e in p]
+    hull = lambda p: (min(a for a, _ in p), max(e for _, e in p))
+    for i, j in zip(starts, [*starts[1:], b.num_rows]):
+        chr_id, strand, prot_id, island, prot_len = keys[i]
+        for k, (seq, prot, n, on_seq, on_prot) in enumerate(chains_of(_Hits({c: v[i:j] for c, v in numbers.items()}), shrink)):
+            found.append((chr_id, strand, prot_id, prot_len, island, k, pairs(seq), pairs(prot), *hull(seq), *hull(prot), n, on_seq, on_prot))
+    cols = list(zip(*found)) or [()] * len(_COLUMNS)
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    kinds = [pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 3, span, span, *[pa.int64()] * 7]
+    kinds[5] = pa.int32()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], _COLUMNS)
+
+
+def chain_islands(hsps: DataFrame, scoring: Scoring = Scoring()) -> DataFrame:
+    """One row for each chain of each island (``hsp_islands`` gives the islands).
+
+    An island of one alignment is its chain, without Python. The window that counts
+    an island's rows also brings them together, sorted rows then stream through.
+    """
+    shrink = scoring.shrink
+    whole = Window.partitionBy(*KEYS, "island")
+    rows = hsps.select("chr_id", F.col("strand").cast("int").alias("strand"), "prot_id", F.col("island").cast("long").alias("island"), F.col("prot_len").cast("long").alias("prot_len"), *(F.col(c).cast("long").alias(c) for c in NUMBERS))
+    rows = rows.withColumn("__n", F.count("*").over(whole))
+    span = lambda a, b: F.struct(F.least(a, b).alias("start"), F.greatest(a, b).alias("end"))
+    size = lambda a, b: F.abs(F.col(a) - F.col(b)) + 1
+    one = rows.where("__n = 1").select(
+        "chr_id", "strand", "prot_id", "prot_len", "island", F.lit(0).alias("chain"), F.array(span("loc_start", "loc_end")).alias("chr_path"), F.array(span("prot_start", "prot_end")).alias("prot_path"),
+        F.least("loc_start", "loc_end").alias("chr_start"), F.greatest("loc_start", "loc_end").alias("chr_end"), F.least("prot_start", "prot_end").alias("prot_start"), F.greatest("prot_start", "prot_end").alias("prot_end"),
+        "nident", size("loc_start", "loc_end").alias("nhomol_loc"), size("prot_start", "prot_end").alias("nhomol_prot"),
+    )
+    many = rows.where("__n > 1").drop("__n").sortWithinPartitions(*KEYS, "island", *ORDER)
+    return one.unionByName(many.mapInArrow(lambda b: _chained(b, shrink), schema.CHAINS))
 
 
 _COLUMNS = [
