@@ -180,8 +180,8 @@ def _deleted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for band in bands[i]:
                 key, part, spare = deletion_keys(s, band)
                 n = len(key)
-                full = lambda x: pa.array(np.full(n, x, np.int64))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([pa.array(key), full(node), full(band), pa.array(part.astype(np.int64)), full(spare)], ["key", "node", "band", "part", "spare"])
+                full = lambda x: pa.array(np.full(n, x, np.int32))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(n, node, np.int64)), full(band), pa.array(part.astype(np.int32)), full(spare)], ["key", "node", "band", "part", "spare"])
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
@@ -327,6 +327,11 @@ def _among(docs: DataFrame, ids: DataFrame, how: str = "inner") -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, "doc_id", how)
 
 
+def _few_first(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+    """rows joined with few, which is broadcast only while it is."""
+    return rows.join(F.broadcast(few) if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else few, on)
+
+
 def _linked():
     return F.expr(f"100 * both >= {PERCENT} * (n_a + n_b - both)")
 
@@ -351,13 +356,16 @@ def classes(docs: DataFrame, scratch: common.Scratch | None = None) -> DataFrame
     unserved = plain.where("node is not null").groupBy("node", "tag").agg(F.sum("hot").alias("hot"))
     unserved = unserved.where("hot > (tag & 1048575) - 524288").groupBy("node").agg(F.collect_set(F.shiftright("tag", 20)).alias("bands"))
     unserved = scratch.write(unserved.join(chosen, "node").select("doc_id", "bands"), "unserved")
-    keys = scratch.write(_among(d, unserved).mapInArrow(_deleted, "key long, node long, band long, part long, spare long"), "deletions")
-    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    small = keys.join(sizes.where(F.col("size") <= CROWD), "key").groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("members")).where("size(members) > 1").select("members")
-    crowded = scratch.write(keys.join(sizes.where(F.col("size") > CROWD), "key"), "crowded")
+    keys = scratch.write(_among(d, unserved).mapInArrow(_deleted, "key long, node long, band int, part int, spare int"), "deletions")
+    sized = keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
+    sized = scratch.write(sized, "sized")
+    scratch.drop(keys)
+    small = sized.where(F.col("size") <= CROWD).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("members")).where("size(members) > 1").select("members")
+    crowded = sized.where(F.col("size") > CROWD)
     # crowds are led by the node that shares most with others, the one most like all
     bound = crowded.groupBy("node", "band").agg(F.count_distinct("part").alias("lost"), F.max("spare").alias("spare"), F.sum("size").alias("rank")).where("lost > spare").select("node", "band", "rank")
-    crowded = crowded.join(bound, ["node", "band"])
+    bound = scratch.write(bound, "bound")
+    crowded = _few_first(crowded.select("key", "node", "band"), bound, ["node", "band"])
     crowded = scratch.write(crowded.select("key", F.struct("rank", "node").alias("who")), "crowds-of-keys")
     # the leader may be two lists away: copies that share an edit still follow the original
     head = crowded.groupBy("key").agg(F.max("who").alias("head"))
