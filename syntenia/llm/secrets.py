@@ -14,6 +14,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,10 @@ KINDS = ("assign", "access", "hex", "opaque", "endpoint")
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Weak parts: 32 to 128 characters with both cases and a digit; a URL with a host.
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/_=-])")
+#: Weak parts: 32 characters or more with both cases and a digit, URL-escaped ones included; a URL with a host.
+#: A token may follow '=', as in env files and URL parameters; a run before '=' and a value is a name.
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]|%2[BbFf]){32,}+(?:=|%3[Dd]){0,2}+(?![A-Za-z0-9+/_=-])")
+ESCAPE = re.compile(r"%[23][BDFbdf]")
 ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?::[0-9]+)?(?:/[^\s\"'<>]*)?", re.ASCII)
 SCOPE = re.compile(r"\n[\x20\t\r]*\n")
 REACH = 400
@@ -62,28 +65,34 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     scope = lambda p: bisect_left(ends, p)
     opaque = [(m.start(), 3, m.end()) for m in OPAQUE.finditer(text) if _opaque(m[0]) and free(m)] if ids else []
     points = [(m.start(), 4, m.end()) for m in ENDPOINT.finditer(text)] if "http" in text else []
-    near = lambda x, ys: _near(x, ys, scope, reach)
     secrets = sorted([s for s in base if s[1] != 1] + opaque)
+    to_secret, to_point = _upto(secrets), _upto(points)
     found = set()
     for i in ids:
-        parts = near(i, secrets)
+        parts = _near(i, secrets, to_secret, scope, reach)
         found.update(p for p in parts if p[1] == 3)
         if parts:
-            found.update(near(i, points))
+            found.update(_near(i, points, to_point, scope, reach))
     for s in assigned:
-        found.update(near(s, points))
+        found.update(_near(s, points, to_point, scope, reach))
     return sorted(found)
 
 
 def _opaque(t: str) -> bool:
+    t = ESCAPE.sub("", t)
     return any(c.isdigit() for c in t) and any(c.islower() for c in t) and any(c.isupper() for c in t)
 
 
-def _near(x, ys, scope, reach) -> list[tuple[int, int, int]]:
+def _upto(ys) -> list[int]:
+    """The furthest end so far at each of the sorted parts; one long part makes no other search longer."""
+    return list(accumulate((y[2] for y in ys), max))
+
+
+def _near(x, ys, upto, scope, reach) -> list[tuple[int, int, int]]:
     """Interval join of one part with sorted others: same scope, gap within reach."""
-    longest = max((y[2] - y[0] for y in ys), default=0)
-    out, k = [], bisect_left(ys, (x[0] - reach - longest,))
-    for y in ys[k:]:
+    out = []
+    for k in range(bisect_left(upto, x[0] - reach), len(ys)):
+        y = ys[k]
         if y[0] > x[2] + reach:
             break
         if y is not x and max(x[0] - y[2], y[0] - x[2], 0) <= reach and scope(x[0]) == scope(y[0]):
