@@ -20,24 +20,29 @@ from pyspark.sql import functions as F
 from syntenia.llm import common
 from syntenia.llm.decision_list import let
 
-DEPTH, MIN_TOKENS, MIN_GENERAL, MIN_DOCS = 3, 4, 10, 3
+DEPTH, MIN_GENERAL, MIN_DOCS = 3, 10, 3
 #: A token that holds a digit; tried at the starts of tokens only, without backtracking.
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 BROADCAST_ROWS = 500_000
 
 
 def template_keys(line: Column) -> Column:
-    """Hashes of a line's templates; none for lines of fewer than ``MIN_TOKENS`` tokens."""
+    """Hashes of a line's templates; none for blank lines.
+
+    A line of up to ``DEPTH`` tokens that are all variable holds no literal; its own
+    tokens are the template, so that lone numbers recur only as the same number.
+    """
 
     def keys(t: Column) -> Column:
         n = F.size(t)
         half = ((n - DEPTH) / 2).cast("int")
         lead = F.slice(t, 1, DEPTH)
-        literal = F.xxhash64(F.lit(0), n, t)
+        bare = (n <= DEPTH) & (F.size(F.array_remove(t, "<*>")) == 0)
+        literal = F.when(bare, F.xxhash64(F.lit(3), n, F.regexp_extract_all(line, F.lit(common.WORD), 0))).otherwise(F.xxhash64(F.lit(0), n, t))
         first = F.xxhash64(F.lit(1), n, lead, F.slice(t, DEPTH + 1, half))
         second = F.xxhash64(F.lit(2), n, lead, F.slice(t, F.lit(DEPTH + 1) + half, n))
         none = F.array().cast("array<bigint>")
-        return F.when(n >= MIN_GENERAL, F.array(literal, first, second)).when(n >= MIN_TOKENS, F.array(literal)).otherwise(none)
+        return F.when(n >= MIN_GENERAL, F.array(literal, first, second)).when(n >= 1, F.array(literal)).otherwise(none)
 
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
     return let(F.regexp_extract_all(masked, F.lit(common.WORD), 0), keys)
@@ -49,8 +54,8 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     Lines end at line feeds. Null text counts as empty: one empty line, none
     dropped, text stays empty. All occurrences of a recurring template go, the first
     included. Documents with equal texts count once, so copies of a whole document
-    don't make its lines a template. Short lines (fewer than ``MIN_TOKENS`` tokens) stay. An empty table
-    gives no rows; only doc_id and text are read.
+    don't make its lines a template. Blank lines stay. An empty table gives
+    no rows; only doc_id and text are read.
     """
     spark = docs.sparkSession
     scratch = common.Scratch(spark)

@@ -281,6 +281,12 @@ def test_recurring_templates_go(spark):
     assert all(r["n_dropped"] == 0 for r in got)  # copies of a whole document count once
 
 
+def test_short_lines_recur(spark):
+    texts = [f"Home\nRead more\nPage {i}\n \n\n{i * 37}\n2024\n{'abcd'[i]} b c\nown {'efgh'[i]}" for i in range(4)]
+    got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(docs(spark, texts)).collect()}
+    assert all(r["n_lines"] == 9 and r["text"] == f" \n\n{i * 37}\n{'abcd'[i]} b c\nown {'efgh'[i]}" for i, r in got.items())
+
+
 def test_line_templates_on_awkward_rows(spark, awkward):
     got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(awkward).collect()}
     assert len(got) == len(AWKWARD) and got[0]["text"] == "" and got[8]["n_lines"] == 4
