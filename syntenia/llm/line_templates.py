@@ -7,7 +7,15 @@ be a variable field while the other half stays literal. A line thus belongs to
 up to three templates - all literal, first half variable, second half variable -
 and is dropped when one of them recurs in ``MIN_DOCS`` documents.
 
-A template is known by a 64-bit hash. Lines are never shuffled: hashes are
+Leaves also generalise by position, for lines of 3 tokens or more. These leaves
+have at most half of a line's tokens as leading ones. A token that stands at its
+position in fewer than ``MIN_DOCS`` texts of the leaf is a variable field; so is,
+in two stricter templates, one in less than an eighth or a half of the leaf's texts,
+so that values that recur themselves (names, sections) are fields too. A template
+that keeps more than half of the tokens literal and recurs drops its lines. Fields
+among the leading tokens are not recognised unless they hold a digit.
+
+A template is known by a hash whose lowest bit is 0, a leaf by one whose lowest bit is 1. Lines are never shuffled: hashes are
 counted with partial sums, and each document gets back the recurring hashes it
 holds.
 """
@@ -24,6 +32,8 @@ DEPTH, MIN_GENERAL, MIN_DOCS = 3, 10, 3
 #: A token that holds a digit; tried at the starts of tokens only, without backtracking.
 VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 BROADCAST_ROWS = 500_000
+#: A token is literal, by level, in MIN_DOCS texts of the leaf or in one text of so many.
+SHARES = (8, 2)
 
 
 def template_keys(line: Column) -> Column:
@@ -33,19 +43,69 @@ def template_keys(line: Column) -> Column:
     tokens are the template, so that lone numbers recur only as the same number.
     """
 
-    def keys(t: Column) -> Column:
-        n = F.size(t)
-        half = ((n - DEPTH) / 2).cast("int")
-        lead = F.slice(t, 1, DEPTH)
-        bare = (n <= DEPTH) & (F.size(F.array_remove(t, "<*>")) == 0)
-        literal = F.when(bare, F.xxhash64(F.lit(3), n, F.regexp_extract_all(line, F.lit(common.WORD), 0))).otherwise(F.xxhash64(F.lit(0), n, t))
-        first = F.xxhash64(F.lit(1), n, lead, F.slice(t, DEPTH + 1, half))
-        second = F.xxhash64(F.lit(2), n, lead, F.slice(t, F.lit(DEPTH + 1) + half, n))
-        none = F.array().cast("array<bigint>")
-        return F.when(n >= MIN_GENERAL, F.array(literal, first, second)).when(n >= 1, F.array(literal)).otherwise(none)
+    return let(_tokens(line), lambda t: _keys(line, t))
 
+
+def _tokens(line: Column) -> Column:
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, "<*>")).otherwise(line)
-    return let(F.regexp_extract_all(masked, F.lit(common.WORD), 0), keys)
+    return F.regexp_extract_all(masked, F.lit(common.WORD), 0)
+
+
+def _literal(line: Column, t: Column) -> Column:
+    n = F.size(t)
+    bare = (n <= DEPTH) & (F.size(F.array_remove(t, "<*>")) == 0)
+    return F.when(bare, F.xxhash64(F.lit(3), n, F.regexp_extract_all(line, F.lit(common.WORD), 0))).otherwise(F.xxhash64(F.lit(0), n, t)).bitwiseAND(F.lit(-2))
+
+
+def _keys(line: Column, t: Column) -> Column:
+    n = F.size(t)
+    half = ((n - DEPTH) / 2).cast("int")
+    lead = F.slice(t, 1, DEPTH)
+    literal = _literal(line, t)
+    first = F.xxhash64(F.lit(1), n, lead, F.slice(t, DEPTH + 1, half)).bitwiseAND(F.lit(-2))
+    second = F.xxhash64(F.lit(2), n, lead, F.slice(t, F.lit(DEPTH + 1) + half, n)).bitwiseAND(F.lit(-2))
+    none = F.array().cast("array<bigint>")
+    return F.when(n >= MIN_GENERAL, F.array(literal, first, second)).when(n >= 1, F.array(literal)).otherwise(none)
+
+def _lead(n: Column) -> Column:
+    return F.least(F.lit(DEPTH), F.floor(n / 2).cast("int"))
+
+
+def _leaf(t: Column) -> Column:
+    """The leaf of a line's positions; null for lines of fewer than 3 tokens."""
+    n = F.size(t)
+    return F.when(n >= 3, F.xxhash64(F.lit(4), n, F.slice(t, 1, _lead(n))).bitwiseOR(F.lit(1)))
+
+
+def _keys_and_leaf(line: Column) -> Column:
+    return let(_tokens(line), lambda t: F.array_compact(F.concat(_keys(line, t), F.array(_leaf(t)))))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast only while the rows are few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def generalised(d: DataFrame, leaves: DataFrame, min_docs: int, scratch: common.Scratch) -> DataFrame:
+    """(key): literal hashes of the lines whose template by position recurs; leaves are (leaf, texts)."""
+    part = lambda line: let(_tokens(line), lambda t: F.struct(_leaf(t).alias("leaf"), _literal(line, t).alias("key"), t.alias("t")))
+    lines = d.select(F.xxhash64("text").alias("copy"), F.explode(F.transform(F.split("text", "\n", -1), part)).alias("l")).select("copy", "l.*")
+    lines = scratch.write(lines.join(_small(leaves), "leaf").dropDuplicates(["copy", "key"]), "lines")
+    at = F.posexplode("t").alias("pos", "token")
+    literal = (F.col("pos") >= _lead(F.col("n"))) & (F.col("token") != "<*>")
+    n = F.size("t").alias("n")
+    tokens = lines.select("copy", "leaf", "texts", n, at).where(literal).drop("n").distinct().groupBy("leaf", "texts", "pos", "token").agg(F.count("*").alias("c"))
+    level = sum((F.col("c") * s >= F.col("texts")).cast("int") for s in SHARES)
+    tokens = scratch.write(tokens.where(F.col("c") >= min_docs).select("leaf", "pos", "token", level.alias("level")), "tokens")
+    each = lines.dropDuplicates(["key"]).select("leaf", "key", n, F.size(F.array_remove(F.expr("slice(t, 1, least(%d, int(size(t) / 2)))" % DEPTH), "<*>")).alias("lead"), at).where(literal)
+    each = each.join(_small(tokens), ["leaf", "pos", "token"])
+    held = [F.when(F.col("level") >= k, F.xxhash64("pos", "token")) for k in range(len(SHARES) + 1)]
+    sums = [f(h).alias(f"{name}{k}") for k, h in enumerate(held) for f, name in ((F.bit_xor, "x"), (F.count, "m"))]
+    lines_of = each.groupBy("leaf", "key", "n", "lead").agg(*sums)
+    template = F.array_compact(F.array(*[F.when((F.col(f"m{k}") + F.col("lead")) * 2 > F.col("n"), F.xxhash64("leaf", f"m{k}", f"x{k}")) for k in range(len(SHARES) + 1)]))
+    lines_of = scratch.write(lines_of.select("key", F.explode(F.array_distinct(template)).alias("template")), "line-templates")
+    recurring = lines.select("copy", "key").join(_small(lines_of), "key").select("template", "copy").distinct().groupBy("template").agg(F.count("*").alias("c")).where(F.col("c") >= min_docs)
+    return lines_of.join(recurring, "template", "left_semi").select("key").distinct()
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -60,12 +120,14 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame
     spark = docs.sparkSession
     scratch = common.Scratch(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    keyed = d.select("doc_id", F.xxhash64("text").alias("copy"), F.array_distinct(F.flatten(F.transform(F.split("text", "\n", -1), template_keys))).alias("keys"))
+    keyed = d.select("doc_id", F.xxhash64("text").alias("copy"), F.array_distinct(F.flatten(F.transform(F.split("text", "\n", -1), _keys_and_leaf))).alias("keys"))
     keyed = scratch.write(keyed, "keys")
     each = keyed.select("doc_id", "copy", F.explode("keys").alias("key"))
-    recurring = scratch.write(each.select("key", "copy").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("key"), "templates")
-    few = recurring.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    held = each.join(F.broadcast(recurring) if few else recurring, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("bad"))
+    counted = scratch.write(each.select("key", "copy").distinct().groupBy("key").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_docs), "templates")
+    leaf = F.col("key").bitwiseAND(F.lit(1)) == 1
+    fields = generalised(d, counted.where(leaf).select(F.col("key").alias("leaf"), "texts"), min_docs, scratch)
+    recurring = scratch.write(counted.where(~leaf).select("key").union(fields).distinct(), "recurring")
+    held = each.join(_small(recurring), "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("bad"))
     held = scratch.write(held, "held")
 
     def kept(lines: Column, bad: Column) -> Column:

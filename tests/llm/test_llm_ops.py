@@ -287,6 +287,15 @@ def test_short_lines_recur(spark):
     assert all(r["n_lines"] == 9 and r["text"] == f" \n\n{i * 37}\n{'abcd'[i]} b c\nown {'efgh'[i]}" for i, r in got.items())
 
 
+def test_fields_by_position(spark):
+    names = [a + b for a in ("An", "Om", "Li", "Za", "Ru") for b in ("na", "ar", "sa", "ko", "di")]
+    long = "thank you for reading this story by {} from our desk in {} and do come back"
+    texts = [f"Posted by {names[i]} in {names[-i]}\n{long.format(names[i], names[(7 * i + 3) % 25])}\n{names[i]} alone wrote {names[i - 1]}" for i in range(25)]
+    texts += [f"Written by {names[k]} for {names[10 + j]}\n{names[k]}{names[j]} goes {names[k + j]}" for k in range(10) for j in range(10)]
+    got = {r["doc_id"]: r["text"] for r in line_templates.drop_recurring_lines(docs(spark, texts)).collect()}
+    assert all(got[i] == t.split("\n")[-1] for i, t in enumerate(texts))
+
+
 def test_line_templates_on_awkward_rows(spark, awkward):
     got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(awkward).collect()}
     assert len(got) == len(AWKWARD) and got[0]["text"] == "" and got[8]["n_lines"] == 4
