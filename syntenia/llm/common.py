@@ -18,8 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/syntenia"
+    """The shared folder that the cluster names in spark.checkpoint.dir."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir names no shared folder for intermediate tables")
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -54,7 +57,8 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.parquet(path)
+        with lean(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = path
         return out
@@ -84,18 +88,40 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def collect_garbage(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove shuffle files that no plan refers to any more."""
-    spark._jvm.System.gc()
+#: Bytes and rows of an Arrow batch while a scratch table is written.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 4000
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Arrow batches of fewer rows, for plans with wide rows that run inside."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
     try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def lean(spark: SparkSession):
+    """Arrow batches of bounded bytes, and shuffle files that go when their query ends."""
+    return settings(
+        spark,
+        {
+            "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+            "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+            "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        },
+    )
+
+
+def few(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Narrow rows, marked for broadcast only while they are few."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def row_key() -> Column:
+    """A hash that names rows by doc_id and text; either may be null."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), text_or_empty())

@@ -15,18 +15,25 @@ mostly shared passages, sets that leave segments empty) are joined among
 themselves: with m' = H // 2 + 1 + E' segments, E' + 1 have at most one
 difference, so full segments are indexed with their one-deletion neighbourhoods.
 Segments of fewer than two shingles and segments with a crowded list may again
-be left out, up to E' of them; only nodes with more keep crowded lists, and
-those whose small segments alone are too many index each shingle as well, the
-partition's finest form. The allocation is by cost: one entry for each segment
-where that is enough, neighbourhoods, single shingles and crowded lists only for
-the few nodes that need them.
-
-Candidates that a spread over ``BUCKETS`` counters doesn't exclude are verified
-exactly on the whole sets. An index list yields one
-star of candidates first; once components are known, only members of different
-components are compared. In a crowded list the exact counts against its leader
-exclude nearly all of those: members x, y that share no shingle outside the
-leader differ in at least x_new + y_new + |x_gone - y_gone| shingles.
+be left out, up to E' of them.
+
+The few nodes that leave out more even so are bound to crowds. They are joined by
+the partition's finest form, single shingles, and the cheapest subset of them: at
+most a fifth of a set is missing from a linked one, so of the fifth (and one more)
+that fewest nodes hold, in one order for all, linked sets share one, and the first
+they share stands in both subsets. The allocation is by cost: one entry for each
+segment where that is enough, neighbourhoods and single shingles only for the nodes
+that need them.
+
+An index list yields one star of candidates first; once components are known, only
+members of different components are compared. Nodes that first meet in a crowded
+list share no shingle that few nodes hold, so they differ in all of those: the
+numbers of such shingles exclude nearly all pairs of a crowd that its star leaves.
+
+Candidates that parity sketches don't exclude (the bits in which two sketches
+differ are never more than the shingles in which the sets do) are verified exactly:
+each set is sent once to each partner it is compared with, beside which it stands
+sorted.
 """
 
 from __future__ import annotations
@@ -47,12 +54,14 @@ PERCENT = 80
 RATIO = 1.6
 CROWD = 8
 SLICE = 256
-#: Of its shingles, a set has at most this share that a linked set lacks (rounded up).
-SPARE_NEW = 0.25
-#: Buckets that a set is spread over for a first comparison.
-BUCKETS = 128
-#: Rows of 8 bytes that may be broadcast.
-BROADCAST_ROWS = 500_000
+#: Bits of a parity sketch, as powers of two; between them, four to eight for each shingle.
+LEAST_BITS, MOST_BITS = 8, 16
+#: Sets that one task compares with a leader before another task takes over.
+BESIDE = 512
+#: Bytes of an Arrow batch that carries whole sets.
+SENT = 4 << 20
+#: Stands for a null doc_id, so that it comes last.
+NO_ID = (1 << 63) - 1
 
 
 def _edges() -> list[int]:
@@ -113,8 +122,7 @@ def plain_keys(tokens: np.ndarray, band: int) -> tuple[np.ndarray, int]:
 def deletion_keys(tokens: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Keys of segments and of segments less one shingle, their segments, and how many more may be left out.
 
-    If too many segments are small (below 0), the keys of single shingles are there
-    too, each as a segment of its own.
+    Below 0: too many segments are small.
     """
     m, e = deletion_parts(band)
     t, starts, seg, sums = _cut(tokens, band, m, 2)
@@ -122,12 +130,7 @@ def deletion_keys(tokens: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray
     at = np.repeat(np.arange(len(seg)), sizes)
     some = sizes[at] > 1
     less = _key((sums[at] - t)[some], seg[at][some], band, 2)
-    keys, parts = np.concatenate([_key(sums, seg, band, 2), less]), np.concatenate([seg, seg[at][some]])
-    spare = e - (m - int((sizes > 1).sum()))
-    if spare < 0:
-        keys = np.concatenate([keys, _key(t, np.zeros(len(t), np.int64), band, 3)])
-        parts = np.concatenate([parts, m + np.arange(len(t))])
-    return keys, parts, spare
+    return np.concatenate([_key(sums, seg, band, 2), less]), np.concatenate([seg, seg[at][some]]), e - (m - int((sizes > 1).sum()))
 
 
 def _sets_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -140,7 +143,7 @@ def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sets = [(len(s), set_id(s)) for s in _sets_of(b)]
         n = pa.array([x[0] for x in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x[1] for x in sets], pa.int64()), n], ["doc_id", "node", "n_shingles"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[1] for x in sets], pa.int64()), n], ["doc_id", "row", "node", "n_shingles"])
 
 
 def _plain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +154,9 @@ def _plain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _sets_of(b):
             if len(s) == 0 or (node := set_id(s)) in seen:
                 continue
-            if len(seen) < 1_000_000:
-                seen.add(node)
+            if len(seen) > 100_000:
+                seen.clear()
+            seen.add(node)
             for band in bands_of(len(s)):
                 if differences(band):
                     key, spare = plain_keys(s, band)
@@ -271,69 +275,186 @@ def _lists(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _spreads(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _by_node(batches, _spread, "spread")
+def _singles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, node, n) of every shingle."""
+    for b in batches:
+        for s in _sets_of(b):
+            full = np.full(len(s), set_id(s), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(full), pa.array(np.full(len(s), len(s), np.int32))], ["token", "node", "n"])
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """For each bucket whether an odd number of shingles falls into it."""
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (4 * len(tokens) - 1).bit_length()))
+    odd = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _by_node(batches, lambda s: s, "tokens")
+def apart(x: bytes, y: bytes) -> int:
+    """A lower bound of the differences of two sets, from their sketches; the longer one is folded."""
+    if len(x) < len(y):
+        x, y = y, x
+    v, bits = int.from_bytes(x, "little"), 8 * len(x)
+    while bits > 8 * len(y):
+        bits //= 2
+        v = (v >> bits) ^ (v & ((1 << bits) - 1))
+    return (v ^ int.from_bytes(y, "little")).bit_count()
 
 
-def _by_node(batches: Iterable[pa.RecordBatch], what: Callable[[np.ndarray], np.ndarray], name: str) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for k in range(0, b.num_rows, SLICE):
-            sets = list(_sets_of(b.slice(k, SLICE)))
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([what(s).tobytes() for s in sets], pa.binary())], ["node", name])
+        rows = [(set_id(s), len(s), sketch(s)) for s in _sets_of(b)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["node", "n", "sketch"])
 
 
-def _spread(tokens: np.ndarray) -> np.ndarray:
-    """How many shingles fall into each bucket; the differences of two such rows bound the sets' difference."""
-    return np.minimum(np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8)
+def _near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that sizes and sketches don't exclude."""
+    for b in batches:
+        rows = zip(*(b.column(i).to_pylist() for i in range(2, 6)))
+        near = [PERCENT * max(n, m) <= 100 * min(n, m) and (100 + PERCENT) * apart(x, y) <= (100 - PERCENT) * (n + m) for n, x, m, y in rows]
+        yield pa.RecordBatch.from_arrays([b.column(i).filter(pa.array(near, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
 
-def _apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs that the buckets don't exclude, and those whose counts are asked for."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, 2048):
-            part = batch.slice(k, 2048)
-            x, y = (np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int32) for i in (2, 3))
-            differ = np.abs(x - y).sum(1)
-            near = (100 + PERCENT) * differ <= (100 - PERCENT) * (x.sum(1) + y.sum(1))
-            near |= (x == 255).any(1) | (y == 255).any(1) | part.column(4).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(near)) for i in (0, 1, 4)], ["a", "b", "ask"])
+def _sent(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, part, member, node, tokens): each set beside every leader it is compared with, a leader (member 0) beside its members."""
+    names = ["a", "part", "member", "node", "tokens"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    for b in batches:
+        rows, held = [], 0
+        to = b.column(b.schema.get_field_index("beside"))
+        for i, s in enumerate(_sets_of(b)):
+            node, tokens = set_id(s), s.tobytes()
+            for d in to[i].as_py():
+                rows.append((d["a"], d["part"], int(d["a"] != node), node, tokens))
+                held += len(tokens)
+                if held > SENT:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, both, n_a, n_b, fresh) of each pair; fresh: shingles of b that aren't in a, where they are asked for."""
+def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The linked pairs, from rows of ``_sent`` that are sorted so that a leader precedes its members."""
+    at, leader = None, np.empty(0, np.uint64)
     for batch in batches:
-        for k in range(0, batch.num_rows, SLICE):
-            part = batch.slice(k, SLICE)
-            both, n_a, n_b, fresh = [], [], [], []
-            for x, y, ask in zip(part.column(2), part.column(3), part.column(4).to_pylist()):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(s, t)
-                hit = s[np.minimum(at, len(s) - 1)] == t
-                both.append(int(hit.sum()))
-                n_a.append(len(s))
-                n_b.append(len(t))
-                fresh.append(t[~hit].view(np.int64) if ask else None)
-            kinds = pa.int64()
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(both, kinds), pa.array(n_a, kinds), pa.array(n_b, kinds), pa.array(fresh, pa.list_(kinds))], ["a", "b", "both", "n_a", "n_b", "fresh"])
+        out: list[tuple[int, int]] = []
+        for a, part, member, node, tokens in zip(*(batch.column(i) for i in range(5))):
+            s = np.frombuffer(tokens.as_buffer(), np.uint64)
+            who = (a.as_py(), part.as_py())
+            if not member.as_py():
+                at, leader = who, s.copy()
+                continue
+            if who != at:
+                raise RuntimeError("a set without the leader it is compared with")
+            both = int((leader[np.minimum(np.searchsorted(leader, s), len(leader) - 1)] == s).sum())
+            if 100 * both >= PERCENT * (len(leader) + len(s) - both):
+                out.append((who[0], node.as_py()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The text of one document for each row of ``wanted``, which is broadcast only while small."""
+    return docs.select("row", "text").join(common.few(wanted, 200_000), "row")
 
 
-def _among(docs: DataFrame, ids: DataFrame, how: str = "inner") -> DataFrame:
-    """Documents joined with ids on doc_id; the ids are broadcast only while few."""
-    few = ids.select("doc_id").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", how)
+def _crowds(rare: DataFrame) -> DataFrame:
+    """(a, b): members b of crowded lists beside their leader, the node that shares most with others.
+
+    A leader may be two lists away: copies that share an edit still follow the original.
+    """
+    crowded = rare.where(F.col("held") > CROWD).select("token", F.struct("rank", "node").alias("who"))
+    head = crowded.groupBy("token").agg(F.max("who").alias("head"))
+    best = crowded.join(head, "token").groupBy("who").agg(F.max("head").alias("best"))
+    followed = crowded.join(best, "who")
+    top = followed.groupBy("token").agg(F.max("best").alias("top"))
+    return crowded.join(top, "token").select(F.col("top.node").alias("a"), F.col("who.node").alias("b")).distinct()
+
 
+def _rare(tokens: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(token, node, held, n, cold, rank): of each node the shared shingles among its fifth, and one more, that fewest hold.
 
-def _few_first(rows: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
-    """rows joined with few, which is broadcast only while it is."""
-    return rows.join(F.broadcast(few) if few.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else few, on)
+    held: nodes that hold the shingle; cold: shingles of the node that at most CROWD hold; rank: how much the node shares.
+    """
+    held = scratch.write(tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "held")
+    of = Window.partitionBy("node")
+    shared = tokens.join(common.few(held), "token").select(
+        "*",
+        F.row_number().over(of.orderBy("held", "token")).alias("place"),
+        F.count("*").over(of).alias("shared"),
+        F.sum((F.col("held") > CROWD).cast("int")).over(of).alias("hot"),
+        F.sum("held").over(of).alias("rank"),
+    )
+    fifth = F.floor(F.col("n") * (100 - PERCENT) / 100) + 1
+    return shared.where(F.col("n") - F.col("shared") + F.col("place") <= fifth).select("token", "node", "held", "n", (F.col("n") - F.col("hot")).alias("cold"), "rank")
+
+
+def _classified(docs: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(doc_id, row, n_shingles, first) of each row; first: (id, row) of the class's first document, null without shingles."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.row_key().alias("row"), common.text_or_empty().alias("text"))
+    members = scratch.write(d.mapInArrow(_members, "doc_id long, row long, node long, n_shingles long"), "members")
+    who = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "row")
+    chosen = scratch.write(members.where("n_shingles > 0").groupBy("node").agg(F.min(who).alias("who")), "chosen")
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        return _texts(d, scratch.write(nodes.join(chosen.select("node", "who.row"), "node").drop("node"), "wanted"))
+
+    def members_of(rows: DataFrame, key: str) -> DataFrame:
+        return rows.groupBy(key).agg(F.array_sort(F.collect_set("node")).alias("members")).where("size(members) > 1").select("members")
+
+    keys = d.select("text").mapInArrow(_plain, "key long, node long, tag int").repartition("key").sortWithinPartitions("key", "node")
+    plain = scratch.write(keys.mapInArrow(_lists, "members array<long>, node long, tag int, hot long"), "plain")
+    unserved = plain.where("node is not null").groupBy("node", "tag").agg(F.sum("hot").alias("hot"))
+    unserved = unserved.where("hot > (tag & 1048575) - 524288").groupBy("node").agg(F.collect_set(F.shiftright("tag", 20)).alias("bands"))
 
+    keys = scratch.write(texts(unserved).mapInArrow(_deleted, "key long, node long, band int, part int, spare int"), "deletions")
+    sized = scratch.write(keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key"), "sized")
+    lost = sized.where(F.col("size") > CROWD).groupBy("node", "band").agg(F.count_distinct("part").alias("lost"))
+    bound = keys.groupBy("node", "band").agg(F.max("spare").alias("spare")).join(lost, ["node", "band"], "left")
+    bound = bound.where(F.coalesce("lost", F.lit(0)) > F.col("spare")).select("node").distinct()
 
-def _linked():
-    return F.expr(f"100 * both >= {PERCENT} * (n_a + n_b - both)")
+    rare = scratch.write(_rare(scratch.write(texts(bound).mapInArrow(_singles, "token long, node long, n int").distinct(), "shingles"), scratch), "rare")
+    lists = plain.where("members is not null").select("members")
+    lists = lists.union(members_of(sized.where(F.col("size") <= CROWD), "key")).union(members_of(rare.where(F.col("held") <= CROWD), "token")).distinct()
+    lists = scratch.write(lists.withColumn("list", F.monotonically_increasing_id()), "lists")
+    crowds = scratch.write(_crowds(rare), "crowds")
+    star = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
+    pairs = scratch.write(crowds.where("a != b").union(star).distinct(), "pairs")
+
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sketches = scratch.write(texts(nodes).mapInArrow(_sketches, "node long, n int, sketch binary"), "sketches")
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs that link."""
+        side = lambda k: sketches.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"sketch_{k}"))
+        near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b")
+        near = scratch.write(near.mapInArrow(_near, "a long, b long").distinct(), f"{name}-near")
+        parts = F.ceil(F.col("size") / BESIDE).cast("int")
+        near = near.join(near.groupBy("a").agg(F.count("*").alias("size")), "a").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
+        beside = near.select(F.col("b").alias("node"), "a", "part").union(near.select(F.col("a").alias("node"), "a", "part").distinct())
+        beside = beside.groupBy("node").agg(F.collect_list(F.struct("a", "part")).alias("beside"))
+        rows = texts(beside).mapInArrow(_sent, "a long, part int, member int, node long, tokens binary")
+        rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", "member")
+        return scratch.write(rows.mapInArrow(_compared, "a long, b long").distinct(), name)
+
+    def rooted(links: DataFrame) -> DataFrame:
+        """(node, root) by links; root: (id, row) of the first document."""
+        for k in ("a", "b"):
+            links = links.join(chosen.select(F.col("node").alias(k), F.col("who").alias(f"who_{k}")), k)
+        roots = components(links.select(F.col("who_a").alias("a"), F.col("who_b").alias("b")), scratch)
+        return scratch.write(chosen.join(roots.withColumnRenamed("node", "who"), "who").select("node", "root"), "roots")
+
+    first = linked(pairs, "links")
+    roots = rooted(first)
+    marks = rare.where(F.col("held") > CROWD).select("node", "n", "cold").distinct()
+    more = _across_lists(lists, roots).union(_across_crowds(crowds, marks, roots, scratch)).distinct()
+    for x, y in (("a", "b"), ("b", "a")):
+        more = more.join(pairs.select(F.col(x).alias("a"), F.col(y).alias("b")), ["a", "b"], "left_anti")
+    second = linked(scratch.write(more, "more"), "links-across")
+    roots = rooted(first.union(second)) if not second.isEmpty() else roots
+    of_node = chosen.join(roots, "node", "left").select("node", F.coalesce("root", "who").alias("first"))
+    return members.join(of_node, "node", "left").select("doc_id", "row", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("first")).alias("first"))
 
 
 def classes(docs: DataFrame, scratch: common.Scratch | None = None) -> DataFrame:
@@ -341,82 +462,21 @@ def classes(docs: DataFrame, scratch: common.Scratch | None = None) -> DataFrame
 
     component_id is the smallest doc_id reachable by links. Null and empty texts
     have no shingles and link with nothing (component_id is their own id). Equal
-    sets are linked whatever the texts. Repeated rows give a row each; an empty
-    table gives no rows; other columns are not read. Shingles are 64-bit hashes.
+    sets are linked whatever the texts. Rows whose doc_id is null take part like
+    others; component_id is null only where all of a class are so. Rows that share a
+    doc_id but not the text are documents of their own. Repeated rows give a row
+    each; an empty table gives no rows; other columns are not read. Shingles are
+    64-bit hashes.
     """
-    spark = docs.sparkSession
-    scratch = scratch or common.Scratch(spark)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
-    members = scratch.write(d.mapInArrow(_members, "doc_id long, node long, n_shingles long"), "members")
-    chosen = members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    rows = _classified(docs, scratch or common.Scratch(docs.sparkSession))
+    least = F.when(F.col("first.id") != NO_ID, F.col("first.id"))
+    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, least).otherwise(F.col("doc_id")).alias("component_id"))
 
-    keys = d.mapInArrow(_plain, "key long, node long, tag int").repartition("key").sortWithinPartitions("key", "node")
-    plain = scratch.write(keys.mapInArrow(_lists, "members array<long>, node long, tag int, hot long"), "plain")
-    common.collect_garbage(spark)
-    unserved = plain.where("node is not null").groupBy("node", "tag").agg(F.sum("hot").alias("hot"))
-    unserved = unserved.where("hot > (tag & 1048575) - 524288").groupBy("node").agg(F.collect_set(F.shiftright("tag", 20)).alias("bands"))
-    unserved = scratch.write(unserved.join(chosen, "node").select("doc_id", "bands"), "unserved")
-    keys = scratch.write(_among(d, unserved).mapInArrow(_deleted, "key long, node long, band int, part int, spare int"), "deletions")
-    sized = keys.withColumn("size", F.count("*").over(Window.partitionBy("key"))).where("size > 1")
-    sized = scratch.write(sized, "sized")
-    scratch.drop(keys)
-    small = sized.where(F.col("size") <= CROWD).groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("members")).where("size(members) > 1").select("members")
-    crowded = sized.where(F.col("size") > CROWD)
-    # crowds are led by the node that shares most with others, the one most like all
-    bound = crowded.groupBy("node", "band").agg(F.count_distinct("part").alias("lost"), F.max("spare").alias("spare"), F.sum("size").alias("rank")).where("lost > spare").select("node", "band", "rank")
-    bound = scratch.write(bound, "bound")
-    crowded = _few_first(crowded.select("key", "node", "band"), bound, ["node", "band"])
-    crowded = scratch.write(crowded.select("key", F.struct("rank", "node").alias("who")), "crowds-of-keys")
-    # the leader may be two lists away: copies that share an edit still follow the original
-    head = crowded.groupBy("key").agg(F.max("who").alias("head"))
-    best = crowded.join(head, "key").groupBy("who").agg(F.max("head").alias("best"))
-    followed = crowded.join(best, "who")
-    crowded = followed.select("key", "who").join(followed.groupBy("key").agg(F.max("best").alias("top")), "key")
 
-    lists = plain.where("members is not null").select("members").union(small).distinct()
-    lists = scratch.write(lists.withColumn("list", F.monotonically_increasing_id()), "lists")
-    crowds = scratch.write(crowded.select(F.col("top.node").alias("a"), F.col("who.node").alias("b")).where("a != b").distinct(), "crowds")
-    star = lists.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
-    pairs = crowds.withColumn("ask", F.lit(True)).union(star.distinct().withColumn("ask", F.lit(False)))
-    pairs = scratch.write(pairs.groupBy("a", "b").agg(F.max("ask").alias("ask")), "pairs")
-
-    def of_nodes(pairs: DataFrame) -> DataFrame:
-        """One document for each node of the pairs."""
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        return _among(d, scratch.write(chosen.join(nodes, "node", "left_semi").select("doc_id"), "wanted"))
-
-    def beside(pairs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
-        x, y = rows.select(F.col("node").alias("a"), F.col(name).alias("x")), rows.select(F.col("node").alias("b"), F.col(name).alias("y"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", "ask")
-
-    spreads = scratch.write(of_nodes(pairs).mapInArrow(_spreads, "node long, spread binary"), "spreads")
-
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.write(beside(pairs, spreads, "spread").mapInArrow(_apart, "a long, b long, ask boolean"), f"{name}-near")
-        common.collect_garbage(spark)
-        sets = scratch.write(of_nodes(pairs).mapInArrow(_tokens, "node long, tokens binary"), f"{name}-sets")
-        got = beside(pairs, sets, "tokens").mapInArrow(_verified, "a long, b long, both long, n_a long, n_b long, fresh array<long>")
-        with common.small_batches(spark):
-            out = scratch.write(got, name)
-        scratch.drop(sets)
-        common.collect_garbage(spark)
-        return out
-
-    common.collect_garbage(spark)
-    first = verify(pairs, "verified")
-    roots = scratch.write(components(first.where(_linked()).select("a", "b"), scratch), "roots")
-    more = _across_lists(lists, roots).union(_across_crowds(crowds, first, roots, scratch)).distinct()
-    more = more.join(first.select("a", "b"), ["a", "b"], "left_anti").join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    second = verify(more.withColumn("ask", F.lit(False)), "verified-more")
-    links = first.where(_linked()).select("a", "b").union(second.where(_linked()).select("a", "b"))
-    roots = scratch.write(components(links, scratch), "roots") if not second.where(_linked()).isEmpty() else roots
-    rooted = members.join(roots, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("root", "node")).alias("root"))
-    least = rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rooted.join(least, "root", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-
-
-def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _rooted(rows: DataFrame, roots: DataFrame, key: str = "node") -> DataFrame:
+    """Rows with the component of a node; a node without links is named by itself."""
+    found = roots.select(F.col("node").alias(key), F.col("root.row").alias("root"))
+    return rows.join(found, key, "left").withColumn("root", F.coalesce("root", key))
 
 
 def _across_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -427,30 +487,21 @@ def _across_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _across_crowds(crowds: DataFrame, verified: DataFrame, roots: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """Pairs of one crowd in different components that the counts against its leader don't exclude."""
-    v = crowds.join(verified, ["a", "b"]).select(F.col("a").alias("leader"), F.col("b").alias("node"), F.col("n_b").alias("n"), (F.col("n_b") - F.col("both")).alias("new"), (F.col("n_a") - F.col("both")).alias("gone"), "fresh")
-    v = _rooted(v, roots).join(roots.select(F.col("node").alias("leader"), F.col("root").alias("leader_root")), "leader", "left")
-    v = v.withColumn("out", F.col("root") != F.coalesce("leader_root", "leader"))
-    apart = F.expr("x.leader = y.leader and x.root != y.root")
-    v = scratch.write(v, "crowd-members")
-    shared = v.select("leader", "node", "n", F.explode("fresh").alias("token"))
-    shared = shared.withColumn("held", F.count("*").over(Window.partitionBy("leader", "token")))
-    place = F.row_number().over(Window.partitionBy("leader", "node").orderBy("held", "token"))
-    # linked sets share all but SPARE_NEW * n of their new shingles, so one of the rarest of both
-    shared = shared.withColumn("place", place).where("held > 1").where(F.col("place") <= F.floor(F.col("n") * SPARE_NEW) + 1)
-    shared = scratch.write(shared.select("leader", "node", "token"), "crowd-shingles").join(v.select("leader", "node", "root", "out"), ["leader", "node"])
-    p, q = shared.where("out").alias("x"), shared.alias("y")
-    by_token = p.join(q, apart & F.expr("x.token = y.token")).select("x.node", F.col("y.node").alias("other"))
-    x, y = v.where("out").alias("x"), v.alias("y")
-    kinds = v.groupBy("leader", "n", "new", "gone").agg(F.max("out").alias("out"))
-    k, r = kinds.where("out").alias("x"), kinds.alias("y")
-    near = k.join(r, F.expr(f"x.leader = y.leader and (100 + {PERCENT}) * (x.new + y.new + abs(x.gone - y.gone)) <= (100 - {PERCENT}) * (x.n + y.n)"))
-    near = near.select("x.leader", *[F.col(f"x.{c}").alias(f"x_{c}") for c in ("n", "new", "gone")], *[F.col(f"y.{c}").alias(f"y_{c}") for c in ("n", "new", "gone")]).alias("k")
-    same = lambda s: F.expr(f"k.leader = {s}.leader and k.{s}_n = {s}.n and k.{s}_new = {s}.new and k.{s}_gone = {s}.gone")
-    by_count = near.join(x, same("x")).join(y, same("y") & F.expr("x.root != y.root")).select("x.node", F.col("y.node").alias("other"))
-    both = by_token.union(by_count)
-    return both.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+def _across_crowds(crowds: DataFrame, marks: DataFrame, roots: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """Pairs of one crowd in different components that may link though they share no shingle that few hold.
+
+    Such sets differ in their cold shingles and, of the others, at least by number.
+    """
+    v = _rooted(crowds.select(F.col("a").alias("leader"), F.col("b").alias("node")).join(marks, "node"), roots)
+    led = _rooted(crowds.select(F.col("a").alias("leader")).distinct(), roots, "leader").withColumnRenamed("root", "leader_root")
+    v = scratch.write(v.join(led, "leader").withColumn("out", F.col("root") != F.col("leader_root")), "crowd-members")
+    kinds = v.groupBy("leader", "n", "cold").agg(F.max("out").alias("out"))
+    differ = "x.cold + y.cold + abs(x.n - x.cold - y.n + y.cold)"
+    near = kinds.where("out").alias("x").join(kinds.alias("y"), F.expr(f"x.leader = y.leader and (100 + {PERCENT}) * ({differ}) <= (100 - {PERCENT}) * (x.n + y.n)"))
+    near = near.select("x.leader", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("n", "cold")]).alias("k")
+    same = lambda s: F.expr(f"k.leader = {s}.leader and k.{s}_n = {s}.n and k.{s}_cold = {s}.cold")
+    found = near.join(v.where("out").alias("x"), same("x")).join(v.alias("y"), same("y") & F.expr("x.root != y.root"))
+    return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,10 +511,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one kept of each class: the one with the smallest doc_id.
 
-    Rows that repeat that id stay with it. Documents without words are linked with
-    nothing and stay.
+    Documents without an id come after all others of their class. Rows that repeat
+    the kept one's id and text stay with it; unlike texts that share the id of a
+    dropped one stay. Documents without words are linked with nothing and stay.
     """
-    spark = docs.sparkSession
-    c = classes(docs)
-    gone = common.Scratch(spark).write(c.where("doc_id != component_id").select("doc_id").distinct(), "gone")
-    return _among(docs, gone, "left_anti")
+    scratch = common.Scratch(docs.sparkSession)
+    rows = _classified(docs, scratch).where("n_shingles > 0 and row != first.row")
+    gone = scratch.write(rows.select(F.col("row").alias("__row")).distinct(), "gone")
+    return docs.join(common.few(gone), common.row_key() == F.col("__row"), "left_anti")
