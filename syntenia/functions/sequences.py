@@ -24,23 +24,35 @@ def stranded(seq: Column, strand: Column) -> Column:
     return F.when(strand.cast("string").isin("-", "-1"), reverse_complement(seq)).otherwise(seq)
 
 
+def letters(seq: Column, start: Column, size: Column) -> Column:
+    """Letters of an ASCII sequence by place, without a walk from its start."""
+    return F.substring(seq.cast("binary"), start.cast("int"), size.cast("int")).cast("string")
+
+
 def piece(seq: Column, start: Column, end: Column) -> Column:
     """Closed 1-based stretch, clamped to the sequence."""
     first = F.greatest(start, F.lit(1))
-    return F.substring(seq, first.cast("int"), F.greatest(F.lit(0), F.least(end, F.length(seq)) - first + 1).cast("int"))
+    return letters(seq, first, F.greatest(F.lit(0), F.least(end, F.octet_length(seq)) - first + 1))
 
 
 def codons(seq: Column) -> Column:
     """Whole codons; a rest of one or two letters is dropped."""
-    n = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(seq, i * 3 + 1, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(seq, F.lit("(?s).{3}"), F.lit(0))
+
+
+def _by_digits() -> Column:
+    """Amino acids by the codon's letters as digits: T, C, A, G are 0 to 3, any other letter is 4."""
+    digit = {c: i for i, c in enumerate("TCAG")}
+    out = ["X"] * 445
+    for codon, acid in CODE.items():
+        out[int("".join(str(digit[c]) for c in codon))] = acid
+    return F.array(*[F.lit(x) for x in out])
 
 
 def translate(seq: Column) -> Column:
     """Protein of all codons, stops as ``*``, unknown codons as ``X``."""
-    table = F.create_map(*[F.lit(x) for pair in CODE.items() for x in pair])
-    plain = F.upper(F.replace(seq, F.lit("!"), F.lit("N")))
-    return F.array_join(F.transform(codons(plain), lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X"))), "")
+    digits = F.translate(F.regexp_replace(F.upper(seq), "[^TCAG]", "4"), "TCAG", "0123")
+    return F.array_join(F.transform(codons(digits), lambda c: F.get(_by_digits(), c.cast("int"))), "")
 
 
 def translate_to_stop(seq: Column) -> Column:
@@ -50,8 +62,8 @@ def translate_to_stop(seq: Column) -> Column:
 
 def _at(seq: Column, position: Column, size: int) -> Column:
     """Letters from a 1-based position on; null outside the sequence."""
-    inside = (position >= 1) & (position + (size - 1) <= F.length(seq))
-    return F.when(inside, F.upper(F.substring(seq, position.cast("int"), F.lit(size))))
+    inside = (position >= 1) & (position + (size - 1) <= F.octet_length(seq))
+    return F.when(inside, F.upper(letters(seq, position, F.lit(size))))
 
 
 def is_stop(seq: Column, position: Column, strand: Column) -> Column:

@@ -77,10 +77,15 @@ def island_summary(rows: DataFrame, keys: Sequence[str] = (*KEYS, "island"), sta
     return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(start).alias("start"), F.max(end).alias("end"), F.sum("nident").alias("nident"), iv.union_length(spans).alias("covered"))
 
 
-def grouped_hsps(hsps: DataFrame) -> DataFrame:
-    """One row for each (sequence, strand) with its alignments as an array of structs."""
+def grouped_hsps(hsps: DataFrame, stretch: int = 1 << 20) -> DataFrame:
+    """(chr_id, strand, stretch, hsps): alignments of each sequence and strand as arrays of structs.
+
+    An array holds those that begin in one stretch of ``stretch`` positions, so that no
+    row grows with a whole chromosome.
+    """
     cols = [c for c in hsps.columns if c not in ("chr_id", "strand")]
-    return hsps.groupBy("chr_id", "strand").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("hsps"))
+    at = F.floor(F.col("loc_startS") / stretch).alias("stretch")
+    return hsps.groupBy("chr_id", "strand", at).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("hsps"))
 
 
 def identity_between(hsps: DataFrame, low: float, high: float) -> DataFrame:

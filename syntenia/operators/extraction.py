@@ -7,21 +7,46 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from syntenia.functions import sequences as sq
+from syntenia.sources.tables import chunked
 
 #: A CDS that starts within so many nucleotides of the last end marks a frameshift.
 FRAMESHIFT_GAP = 15
 
 
+CHUNK = 1 << 16
+
+
+def cut(rows: DataFrame, fasta: DataFrame, size: int = CHUNK) -> DataFrame:
+    """Rows (seqid, start, end, ...) with ``piece``, their closed stretch, clamped to the sequence.
+
+    Sequences are joined as chunks of ``size`` letters, so no row carries a whole
+    chromosome; a stretch is put together from the chunks it touches. Rows that lie
+    wholly outside their sequence, or whose sequence is missing, are left out.
+    """
+    names = rows.columns
+    chunk = lambda at: F.floor((at - 1) / size).cast("int")
+    first = F.greatest(F.col("start"), F.lit(1))
+    want = rows.groupBy(*names).agg(F.count("*").alias("__rows")).where(F.col("end") >= first)
+    want = want.withColumn("__chunk", F.explode(F.sequence(chunk(first), chunk(F.col("end")))))
+    there = chunked(fasta, size).select(F.col("seqid").alias("__seqid"), F.col("chunk_no").alias("__chunk_no"), F.col("seq").alias("__seq"))
+    met = want.join(there, (F.col("seqid") == F.col("__seqid")) & (F.col("__chunk") == F.col("__chunk_no")))
+    off = F.col("__chunk") * size
+    part = sq.piece(F.col("__seq"), F.col("start") - off, F.col("end") - off)
+    whole = met.groupBy(*names, "__rows").agg(F.array_sort(F.collect_list(F.struct(F.col("__chunk").alias("k"), part.alias("part")))).alias("__parts"))
+    whole = whole.withColumn("piece", F.array_join(F.transform("__parts", lambda x: x["part"]), "")).where("piece != ''")
+    return whole.withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("__rows").cast("int")))).select(*names, "piece")
+
+
 def gene_sequences(genes: DataFrame, fasta: DataFrame, margin: int = 0) -> DataFrame:
     """(gene, seq) of gene rows with a margin, clamped to the sequence, read on their strand."""
-    rows = genes.join(fasta.select("seqid", "seq"), "seqid")
-    return rows.select("gene", sq.stranded(sq.piece(F.col("seq"), F.col("start") - margin, F.col("end") + margin), F.col("strand")).alias("seq"))
+    rows = genes.select("gene", "seqid", "strand", (F.col("start") - margin).alias("start"), (F.col("end") + margin).alias("end"))
+    return cut(rows, fasta).select("gene", sq.stranded(F.col("piece"), F.col("strand")).alias("seq"))
 
 
 def cds_sequences(features: DataFrame, fasta: DataFrame) -> DataFrame:
     """One record for each CDS row."""
-    rows = features.where(F.col("type") == "CDS").join(fasta.select("seqid", "seq"), "seqid")
-    return rows.select(F.concat("gene", F.lit("_cds")).alias("id"), "gene", "start", "end", sq.stranded(sq.piece(F.col("seq"), F.col("start"), F.col("end")), F.col("strand")).alias("seq"))
+    rows = cut(features.where(F.col("type") == "CDS").select("gene", "seqid", "strand", "start", "end"), fasta)
+    return rows.select(F.concat("gene", F.lit("_cds")).alias("id"), "gene", "start", "end", sq.stranded(F.col("piece"), F.col("strand")).alias("seq"))
 
 
 def _joined(features: DataFrame, fasta: DataFrame, kind: str, mark: bool) -> DataFrame:
@@ -32,8 +57,8 @@ def _joined(features: DataFrame, fasta: DataFrame, kind: str, mark: bool) -> Dat
         rows = rows.withColumn("__mark", F.when(F.coalesce(F.col("start") - 1 <= before + FRAMESHIFT_GAP, F.lit(False)), F.lit(sq.FRAME_MARK)).otherwise(F.lit("")))
     else:
         rows = rows.withColumn("__mark", F.lit(""))
-    cut = rows.join(fasta.select("seqid", "seq"), "seqid").select("gene", "strand", "start", "end", F.concat("__mark", sq.piece(F.col("seq"), F.col("start"), F.col("end"))).alias("__p"))
-    got = cut.groupBy("gene").agg(F.min("strand").alias("strand"), F.array_sort(F.collect_list(F.struct("start", "end", "__p"))).alias("p"))
+    pieces = cut(rows.select("gene", "seqid", "strand", "start", "end", "__mark"), fasta).withColumn("__p", F.concat("__mark", "piece"))
+    got = pieces.groupBy("gene").agg(F.min("strand").alias("strand"), F.array_sort(F.collect_list(F.struct("start", "end", "__p"))).alias("p"))
     return got.select("gene", "strand", F.array_join(F.transform("p", lambda x: x["__p"]), "").alias("seq"))
 
 
@@ -53,8 +78,8 @@ def frameshift_sequences(features: DataFrame, fasta: DataFrame, protein: bool =
 
 def locus_sequences(loci: DataFrame, fasta: DataFrame) -> DataFrame:
     """(locus_id, seq) of loci (chr_id, chr_start, chr_end, strand 1 or -1)."""
-    rows = loci.join(fasta.select(F.col("seqid").alias("chr_id"), "seq"), "chr_id")
-    return rows.select("locus_id", sq.stranded(sq.piece(F.col("seq"), F.col("chr_start"), F.col("chr_end")), F.col("strand")).alias("seq"))
+    rows = loci.select("locus_id", F.col("chr_id").alias("seqid"), F.col("chr_start").alias("start"), F.col("chr_end").alias("end"), "strand")
+    return cut(rows, fasta).select("locus_id", sq.stranded(F.col("piece"), F.col("strand")).alias("seq"))
 
 
 def clamped(bed: DataFrame, index: DataFrame) -> DataFrame:

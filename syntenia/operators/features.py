@@ -48,11 +48,21 @@ def gene_info(features: DataFrame) -> DataFrame:
     return coding_regions(features).join(longest_introns(features), "gene", "left").withColumn("longest_intron", F.coalesce("longest_intron", F.lit(0)))
 
 
-def nearest_quantile(rows: DataFrame, column: str, q: float) -> DataFrame:
-    """One row: the value at rank round(q * (n - 1))."""
-    ranked = rows.select(column, (F.row_number().over(Window.orderBy(column)) - 1).alias("rank"))
-    n = rows.agg(F.count(column).alias("n"))
-    return ranked.crossJoin(F.broadcast(n)).where(F.col("rank") == F.round(F.lit(q) * (F.col("n") - 1))).select(F.col(column).alias("quantile"))
+def nearest_quantile(rows: DataFrame, column: str, q: float, width: int = 1 << 16) -> DataFrame:
+    """One row: the value of a whole-number column at rank round(q * (n - 1)); none for no values.
+
+    Values are counted by bands of ``width``, then one by one in the band that holds
+    the rank, so only counts are put in order.
+    """
+    bands = rows.where(F.col(column).isNotNull()).groupBy(F.floor(F.col(column) / width).alias("band")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bands = bands.select("band", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.round(F.lit(q) * (F.sum("n").over(every) - 1)).alias("rank"))
+    band = bands.where("before <= rank and rank < before + n").select("band", "before", "rank")
+    values = rows.join(F.broadcast(band), F.floor(F.col(column) / width) == F.col("band"))  # one band
+    values = values.groupBy(F.col(column).alias("quantile"), "before", "rank").agg(F.count("*").alias("n"))
+    upto = F.col("before") + F.sum("n").over(Window.orderBy("quantile"))
+    return values.withColumn("upto", upto).where("upto - n <= rank and rank < upto").select("quantile")
 
 
 def cds_lists(features: DataFrame) -> DataFrame:

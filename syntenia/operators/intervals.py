@@ -101,7 +101,9 @@ def nearest_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[
     both = left.unionByName(right, allowMissingColumns=True)
     order = Window.partitionBy(*keys).orderBy("__at", "__kind")
     both = both.withColumn("__end", F.max("__u").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("__start", F.min("__t").over(order.rowsBetween(1, Window.unboundedFollowing))).where("__kind = 1")
+    # the rows behind are the rows before in the reverse order, whose minimum runs along
+    back = Window.partitionBy(*keys).orderBy(F.col("__at").desc(), F.col("__kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    both = both.withColumn("__start", F.min("__t").over(back)).where("__kind = 1")
     gap_before = F.when(F.col("__end").isNotNull(), F.greatest(F.lit(0), F.col("__s") - F.col("__end")))
     gap_after = F.col("__start") - F.col("__e")
     near = both.select(*keys, "__id", "__s", "__e", F.least(gap_before, gap_after).alias("distance")).where("distance is not null")

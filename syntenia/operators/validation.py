@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from syntenia.functions import attributes as at
 from syntenia.functions import sequences as sq
+from syntenia.operators.extraction import cut
 
 FRAMESHIFT_GAP = 25
 
@@ -17,15 +18,33 @@ def models(features: DataFrame) -> DataFrame:
     return features.where(F.col("type") == "CDS").groupBy("gene").agg(F.min("seqid").alias("seqid"), F.min("strand").alias("strand"), F.array_sort(F.collect_list(span)).alias("cds"))
 
 
+#: Letters beside a model that its ends may be moved over: 20 codons, and one more.
+AROUND = 63
+
+
+def _beside_sequence(genes: DataFrame, fasta: DataFrame, margin: int) -> DataFrame:
+    """Models with ``seq``, their stretch and ``margin`` letters on either side, and cds counted from it (``off`` less)."""
+    low, high = F.array_min(F.transform("cds", lambda x: x["start"])), F.array_max(F.transform("cds", lambda x: x["end"]))
+    # grouped first, so that no filter below is pushed into the expressions that made the models
+    m = genes.groupBy("gene", "seqid", "strand").agg(F.collect_list("cds").alias("__all")).select("gene", "seqid", "strand", F.explode("__all").alias("cds"))
+    m = m.where(F.size("cds") > 0).withColumn("start", low - margin).withColumn("end", high + margin)
+    m = cut(m, fasta).withColumnRenamed("piece", "seq").withColumn("off", (F.greatest(F.col("start"), F.lit(1)) - 1).cast("long")).drop("start", "end")
+    return m.withColumn("cds", _moved(F.col("cds"), -F.col("off")))
+
+
+def _moved(cds, by):
+    return F.transform(cds, lambda x: F.struct((x["start"] + by).cast("long").alias("start"), (x["end"] + by).cast("long").alias("end")))
+
+
 def alerts(genes: DataFrame, fasta: DataFrame) -> DataFrame:
     """(chr, prot_id, no_start, no_stop, fs, splice, stop_in_frame, length_pb, validity) of each model.
 
     A gap of at most 25 positions between CDS is a frameshift; a wider one must be
     a canonical intron. Valid models raise nothing.
     """
-    m = genes.join(fasta.select("seqid", "seq"), "seqid")
-    cut = F.transform("cds", lambda x: sq.piece(F.col("seq"), x["start"], x["end"]))
-    m = m.withColumn("__cdna", F.upper(sq.stranded(F.array_join(cut, ""), F.col("strand"))))
+    m = _beside_sequence(genes, fasta, 0)
+    parts = F.transform("cds", lambda x: sq.piece(F.col("seq"), x["start"], x["end"]))
+    m = m.withColumn("__cdna", F.upper(sq.stranded(F.array_join(parts, ""), F.col("strand"))))
     gaps = F.when(F.size("cds") > 1, F.transform(F.sequence(F.lit(1), F.size("cds") - 1), lambda i: F.struct(F.get("cds", i - 1)["end"].alias("a"), F.get("cds", i)["start"].alias("b")))).otherwise(F.array().cast("array<struct<a:bigint,b:bigint>>"))
     m = m.withColumn("__gaps", gaps).withColumn("__prot", sq.translate(F.col("__cdna")))
     size = lambda g: g["b"] - g["a"] - 1
@@ -67,7 +86,7 @@ def corrected(genes: DataFrame, fasta: DataFrame) -> DataFrame:
     upstream, the stop downstream (both within 20 codons), each intron is shifted
     by up to two positions. Adds tags of what was done.
     """
-    m = genes.join(fasta.select("seqid", "seq"), "seqid").withColumn("__plus", F.col("strand") != "-")
+    m = _beside_sequence(genes, fasta, AROUND).withColumn("__plus", F.col("strand") != "-")
     total = F.aggregate("cds", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"] + 1)
     last = lambda c: F.get(c, F.size(c) - 1)
     rest = total % 3
@@ -78,8 +97,8 @@ def corrected(genes: DataFrame, fasta: DataFrame) -> DataFrame:
         return F.transform(cds, lambda x, i: F.struct(F.when(i == 0, first).otherwise(x["start"]).cast("long").alias("start"), F.when(i == n - 1, end).otherwise(x["end"]).cast("long").alias("end")))
 
     m = m.withColumn("__rest", rest)
-    cut = with_edges(F.col("cds"), F.when(F.col("__plus"), F.get("cds", 0)["start"]).otherwise(F.get("cds", 0)["start"] + F.col("__rest")), F.when(F.col("__plus"), last(F.col("cds"))["end"] - F.col("__rest")).otherwise(last(F.col("cds"))["end"]))
-    m = m.withColumn("__c1", cut)
+    whole = with_edges(F.col("cds"), F.when(F.col("__plus"), F.get("cds", 0)["start"]).otherwise(F.get("cds", 0)["start"] + F.col("__rest")), F.when(F.col("__plus"), last(F.col("cds"))["end"] - F.col("__rest")).otherwise(last(F.col("cds"))["end"]))
+    m = m.withColumn("__c1", whole)
     m = m.withColumn("__lo", F.get("__c1", 0)["start"]).withColumn("__hi", last(F.col("__c1"))["end"])
     five, three = F.when(F.col("__plus"), F.col("__lo")).otherwise(F.col("__hi")), F.when(F.col("__plus"), F.col("__hi")).otherwise(F.col("__lo"))
     seq, strand = F.col("seq"), F.col("strand")
@@ -109,4 +128,4 @@ def corrected(genes: DataFrame, fasta: DataFrame) -> DataFrame:
             F.when(F.col("__c3") != F.col("__c2"), F.lit("splice")),
         )
     )
-    return m.select("gene", "seqid", "strand", F.col("__c3").alias("cds"), F.array_join(done, ",").alias("corrections"))
+    return m.select("gene", "seqid", "strand", _moved(F.col("__c3"), F.col("off")).alias("cds"), F.array_join(done, ",").alias("corrections"))

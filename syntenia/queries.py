@@ -197,13 +197,6 @@ def islands_per_protein(spark: SparkSession, d: str) -> DataFrame:
     return _islands(spark, d).groupBy(*alignments.KEYS).agg(F.count_distinct("island").alias("islands"), F.count("*").alias("n"))
 
 
-@query("grouped_hsps", f"WITH {HSP_SQL} SELECT chr_id, strand, count(*) AS n, CAST(sum(nident) AS BIGINT) AS nident FROM hsp GROUP BY ALL")
-def grouped_hsps(spark: SparkSession, d: str) -> DataFrame:
-    h = hsp_view(spark, d).select("chr_id", "strand", "prot_id", "nident")
-    # the aggregate form: arrays of a whole strand would not fit one row at scale
-    return h.groupBy("chr_id", "strand").agg(F.count("*").alias("n"), F.sum("nident").alias("nident"))
-
-
 @query("identity_filter", f"WITH {HSP_SQL} SELECT prot_id, count(*) AS n FROM hsp WHERE pident BETWEEN 45 AND 65 GROUP BY ALL")
 def identity_filter(spark: SparkSession, d: str) -> DataFrame:
     return alignments.identity_between(hsp_view(spark, d), 45, 65).groupBy("prot_id").agg(F.count("*").alias("n"))
@@ -394,11 +387,11 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
         "chr_id", "strand", "prot_id", "prot_len", F.least("loc_start", "loc_end").alias("chr_start"), F.greatest("loc_start", "loc_end").alias("chr_end"),
         "prot_start", "prot_end", "nident", (n * 10).alias("nhomol_loc"), n.alias("nhomol_prot"), "hit",
     )
-    genes = _read(spark, d, "supplier").where("s_suppkey % 3 <> 0").select(F.col("s_suppkey").cast("string").alias("gene"), F.lit(1).cast("long").alias("start"), (F.col("s_suppkey") % 50 * 10 + 1).cast("long").alias("end"), (F.col("s_suppkey") * 7 % 9000).cast("long").alias("longest_intron"))
+    genes = _read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("gene"), F.lit(1).cast("long").alias("start"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_suppkey") % 50 * 10 + 1).cast("long").alias("end"), (F.col("s_suppkey") * 7 % 9000).cast("long").alias("longest_intron"))
     return loci.scored(rows, genes)
 
 
-SCORE_SQL = f"""{HSP_SQL}, genes AS (SELECT CAST(s_suppkey AS VARCHAR) AS prot_id, s_suppkey % 50 * 10 + 1 AS len, s_suppkey * 7 % 9000 AS intron FROM supplier WHERE s_suppkey % 3 <> 0),
+SCORE_SQL = f"""{HSP_SQL}, genes AS (SELECT CAST(s_suppkey AS VARCHAR) AS prot_id, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey % 50 * 10 + 1 END AS len, s_suppkey * 7 % 9000 AS intron FROM supplier),
 base AS (SELECT h.*, g.len, g.intron, nident * 10 // 3 AS hl, (3 * nident + least(nident, nident * 10 // 3)) / 4 AS sim, 400 AS plen FROM hsp h LEFT JOIN genes g USING (prot_id)),
 pc AS (SELECT *, sim / greatest(plen, hl) AS p, CASE WHEN len IS NULL THEN -0.1 ELSE greatest(-1.0, 0.1 * (1 - greatest(1.0, exp((nident * 10 - len) / greatest(4000, CAST(floor(intron * 1.1) AS BIGINT)))))) END AS pen FROM base),
 scored AS (SELECT *, sim * p * (1 - pen) AS score FROM pc)"""
@@ -597,9 +590,14 @@ def smoothed_marks(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("m", marks).select("id", F.posexplode("m").alias("k", "mark"), "a").select("id", F.get("a", F.col("k"))["i"].alias("line"), "mark")
 
 
-@query("event_sessions")
+@query(
+    "event_sessions",
+    """WITH t AS (SELECT user_id, ts::TIMESTAMP AS ts, ts::TIMESTAMP - lag(ts::TIMESTAMP) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE AS later FROM events WHERE ts IS NOT NULL),
+s AS (SELECT *, sum(CASE WHEN coalesce(later, true) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM t)
+SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS "start", CAST(floor(epoch(max(ts) + INTERVAL 30 MINUTE)) AS BIGINT) AS "end", count(*) AS n FROM s GROUP BY user_id, k""",
+)
 def event_sessions(spark: SparkSession, d: str) -> DataFrame:
-    """Sessions of one user's events (tests compare them with islands)."""
+    """Sessions of one user's events."""
     from syntenia.streaming.sessions import sessions
 
     s = sessions(_read(spark, d, "events"))
@@ -617,8 +615,12 @@ def candidate_loci(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from syntenia import model_queries  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from syntenia import model_queries  # noqa: F401
+
     return dict(ORACLES)

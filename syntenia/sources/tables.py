@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from syntenia import schema
+from syntenia.functions.sequences import letters
 
 
 def _tsv(spark: SparkSession, path: str, fields: str, encoding: str = "UTF-8", mode: str = "FAILFAST") -> DataFrame:
@@ -48,8 +49,9 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def chunked(fasta: DataFrame, size: int = 1 << 20) -> DataFrame:
     """(seqid, chunk_no, seq): long sequences in pieces, so that no row holds a chromosome."""
-    n = F.greatest(F.ceil(F.length("seq") / size).cast("int"), F.lit(1))
-    return fasta.select("seqid", "seq", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_no")).select("seqid", "chunk_no", F.substring(F.col("seq"), F.col("chunk_no") * size + 1, F.lit(size)).alias("seq"))
+    n = F.greatest(F.ceil(F.octet_length("seq") / size).cast("int"), F.lit(1))
+    cut = letters(F.col("seq"), F.col("chunk_no") * size + 1, F.lit(size))
+    return fasta.select("seqid", "seq", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk_no")).select("seqid", "chunk_no", cut.alias("seq"))
 
 
 def fasta_index(fasta: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(q.ORACLES))
+@pytest.mark.parametrize("name", sorted(q.oracle_sql()))
 def test_oracle(spark, db, name):
     df = q.QUERIES[name](spark, DIR)
     cols = sorted(df.columns)
@@ -33,7 +33,7 @@ def test_oracle(spark, db, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(q.QUERIES) - set(q.ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(q.queries()) - set(q.oracle_sql())))
 def test_runs(spark, name):
     assert q.QUERIES[name](spark, DIR).count() > 0
 
