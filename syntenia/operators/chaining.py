@@ -75,15 +75,19 @@ def _union(intervals: list[tuple[int, int]]) -> int:
     return total
 
 
-def pair_costs(h: _Hits) -> np.ndarray:
-    """costs[i, j]: residues counted twice if i comes before j in a chain; -1 if they don't go together."""
-    size_p, size_s = h.q - h.p + 1, h.e - h.s + 1
-    shared = lambda s, e: np.maximum(0, np.minimum(e[:, None], e[None, :]) - np.maximum(s[:, None], s[None, :]) + 1)
+def _costs(h: _Hits, i: np.ndarray, j: np.ndarray | int) -> np.ndarray:
+    """Residues counted twice if i comes before j in a chain; -1 if they don't go together."""
+    shared = lambda s, e: np.maximum(0, np.minimum(e[i], e[j]) - np.maximum(s[i], s[j]) + 1)
+    least = np.minimum(np.minimum((h.q - h.p + 1)[i], (h.q - h.p + 1)[j]), np.minimum((h.e - h.s + 1)[i] // 3, (h.e - h.s + 1)[j] // 3))
     on_seq, on_prot = -(-shared(h.s, h.e) // 3), shared(h.p, h.q)
-    least = np.minimum(np.minimum(size_p[:, None], size_p[None, :]), np.minimum(size_s[:, None] // 3, size_s[None, :] // 3))
-    good = (h.p[:, None] < h.p[None, :]) & (h.s[:, None] < h.s[None, :]) & (np.abs(on_seq - on_prot) <= 0.5 * least)
-    twice = np.minimum(np.maximum(on_seq, on_prot), np.minimum(h.n[:, None], h.n[None, :]))
-    return np.where(good, twice, -1)
+    good = (h.p[i] < h.p[j]) & (h.s[i] < h.s[j]) & (np.abs(on_seq - on_prot) <= 0.5 * least)
+    return np.where(good, np.minimum(np.maximum(on_seq, on_prot), np.minimum(h.n[i], h.n[j])), -1)
+
+
+def pair_costs(h: _Hits) -> np.ndarray:
+    """costs[i, j] of all pairs of a few alignments."""
+    at = np.arange(len(h))
+    return _costs(h, at[:, None], at[None, :])
 
 
 def best_chain(h: _Hits) -> list[int]:
@@ -91,15 +95,16 @@ def best_chain(h: _Hits) -> list[int]:
 
     Of equal predecessors the nearest wins, of equal ends the first.
     """
-    costs, upto = pair_costs(h), _coverage(h.s, h.e)
+    upto = _coverage(h.s, h.e)
     at_start, at_end = upto(h.s), upto(h.e)
     value = lambda n, skipped: n - int(skipped / SKIP)
     chains: list[tuple[int, int, list[int]]] = []
     for j in range(len(h)):
+        costs = _costs(h, np.arange(j), j)  # one row at a time, an island may be large
         best = (int(h.n[j]), int(at_start[j]), [j])
         for i in range(j - 1, -1, -1):
             n, skipped, path = chains[i]
-            twice = costs[path, j]
+            twice = costs[path]
             if (twice < 0).any():
                 continue
             gap = int(at_start[j] - at_end[i] + 1) if h.s[j] >= h.e[i] else 0

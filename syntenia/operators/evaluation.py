@@ -79,3 +79,18 @@ def unusual_counts(logs: DataFrame, count: str = "lines") -> DataFrame:
 def alert_counts(alerts: DataFrame, by: str = "family") -> DataFrame:
     flags = ("no_start", "no_stop", "fs", "splice", "stop_in_frame", "length_pb")
     return alerts.groupBy(by).agg(F.count("*").alias("n"), *(F.count_if(F.col(f)).alias(f) for f in flags))
+
+
+def evaluation_listing(reference: DataFrame, matches: DataFrame, min_score: float = 0.1) -> DataFrame:
+    """(seqid, kind, candidate, reference, loci_overlap, cds_overlap): matches, then missed genes, with three decimals."""
+    three = lambda c: F.format_string("%.3f", F.col(c)).alias(c)
+    none = F.lit(None).cast("string")
+    good = matches.where(F.col("loci_overlap") >= min_score).select("seqid", F.lit("match").alias("kind"), "candidate", "reference", three("loci_overlap"), three("cds_overlap"))
+    lost = missed(reference, matches, min_score).select("seqid", F.lit("missed").alias("kind"), none.alias("candidate"), F.col("gene").alias("reference"), none.alias("loci_overlap"), none.alias("cds_overlap"))
+    return good.unionByName(lost)
+
+
+def count_lines(features: DataFrame) -> DataFrame:
+    """One column ``value``: the counts of ``model_counts`` as lines of text."""
+    name = F.when(F.col("name") == "", F.lit("all")).otherwise(F.col("name"))
+    return model_counts(features).select(F.concat_ws("\t", "kind", name, F.col("n").cast("string")).alias("value"))

@@ -117,6 +117,25 @@ def lifted(rows: DataFrame, target: str = "target", strand: str = "strand", back
     return rows.withColumn("__x", span).withColumn("start", F.col("__x.start")).withColumn("end", F.col("__x.end")).drop("__x")
 
 
+DRAFT_KEYS = ("target", "method", "seqid", "strand")
+
+
+def draft_models(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """An aligner's CDS rows on targets as cleaned CDS rows of the genome.
+
+    rows: (target, method, start, end) in coordinates of the target, whose id ends in
+    its origin; targets: (target, seqid, strand). Rows are lifted, then cleaned as by
+    ``cleaned_draft``; those of an unknown target are left out.
+    """
+    placed = rows.select("target", "method", "start", "end").join(targets.select("target", "seqid", "strand"), "target")
+    return cleaned_draft(lifted(placed, back=True), list(DRAFT_KEYS))
+
+
+def hit_models(hits: DataFrame, targets: DataFrame, method: str = "mapping") -> DataFrame:
+    """CDS rows of the genome from a target's consistent hits (target, qstart, qend, sstart, send), and the same cleaning."""
+    return draft_models(hits_as_cds(hits, ["target"]).withColumn("method", F.lit(method)), targets)
+
+
 def protein_lengths(cds: DataFrame, keys: Sequence[str]) -> DataFrame:
     """floor((sum of |end - start| + 3) / 3) of each model."""
     return cds.groupBy(*keys).agg(F.floor((F.sum(F.abs(F.col("end") - F.col("start"))) + 3) / 3).alias("aa"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from syntenia.functions import attributes as at
@@ -79,14 +79,50 @@ def commented(rows: DataFrame, info: DataFrame, identity: str = "ident", coverag
     return joined.withColumn("tags", tags).withColumn("color", at.colour(F.col("validity") == "Valid", same))
 
 
+def parted(cds: Column) -> Column:
+    """Sorted CDS, of which none starts before the end of one before it: starts move by whole codons, what vanishes goes."""
+
+    def step(acc: Column, x: Column) -> Column:
+        short = F.greatest(F.lit(0), F.coalesce(acc["end"] - x["start"] + 1, F.lit(0)))
+        start = (x["start"] + F.ceil(short / 3) * 3).cast("long")
+        own = F.struct(start.alias("start"), x["end"].cast("long").alias("end"))
+        kept = F.when(start <= x["end"], F.concat(acc["cds"], F.array(own))).otherwise(acc["cds"])
+        return F.struct(kept.alias("cds"), F.greatest(acc["end"], x["end"].cast("long")).alias("end"))
+
+    zero = F.struct(F.array().cast("array<struct<start:bigint,end:bigint>>").alias("cds"), F.lit(None).cast("long").alias("end"))
+    return F.aggregate(F.array_sort(cds), zero, step, lambda acc: acc["cds"])
+
+
+def stops_in_frame(genes: DataFrame, fasta: DataFrame) -> DataFrame:
+    """(gene, stops): stop codons of each model's CDS, read as one frame."""
+    m = _beside_sequence(genes, fasta, 0)
+    cdna = sq.stranded(F.array_join(F.transform("cds", lambda x: sq.piece(F.col("seq"), x["start"], x["end"])), ""), F.col("strand"))
+    return m.select("gene", F.regexp_count(sq.translate(cdna), F.lit("\\*")).alias("stops"))
+
+
+def merged_where_no_stop_comes(genes: DataFrame, merged: DataFrame, fasta: DataFrame) -> DataFrame:
+    """Of each model the merged form, unless that has more stops in frame than the one before."""
+    before, after = (stops_in_frame(g, fasta).withColumnRenamed("stops", name) for g, name in ((genes, "__before"), (merged, "__after")))
+    worse = before.join(after, "gene").where("__after > __before").select("gene")
+    return merged.join(worse, "gene", "left_anti").unionByName(genes.join(worse, "gene", "left_semi"))
+
+
+def verified(models: DataFrame, fasta: DataFrame, info: DataFrame) -> DataFrame:
+    """Models (gene, seqid, strand, cds, origin, method, ident, cov) with alerts, penalty, tags, colour, family, class and comment."""
+    own = models.select(F.col("gene").alias("prot_id"), "origin", "method", "ident", "cov")
+    rows = penalty(alerts(models, fasta)).join(own, "prot_id")
+    out = commented(rows, info)
+    return out.withColumn("comment", at.model_comment(F.col("origin"), F.col("method"), F.col("ident"), F.col("cov")))
+
+
 def corrected(genes: DataFrame, fasta: DataFrame) -> DataFrame:
     """Moves a model's ends to start and stop codons and its introns to canonical sites.
 
-    In this order: the last partial codon is dropped, the start is looked for
-    upstream, the stop downstream (both within 20 codons), each intron is shifted
-    by up to two positions. Adds tags of what was done.
+    In this order: overlapping CDS are parted by whole codons, the last partial codon
+    is dropped, the start is looked for upstream, the stop downstream (both within 20
+    codons), each intron is shifted by up to two positions. Adds tags of what was done.
     """
-    m = _beside_sequence(genes, fasta, AROUND).withColumn("__plus", F.col("strand") != "-")
+    m = _beside_sequence(genes.withColumn("cds", parted(F.col("cds"))), fasta, AROUND).withColumn("__plus", F.col("strand") != "-")
     total = F.aggregate("cds", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"] + 1)
     last = lambda c: F.get(c, F.size(c) - 1)
     rest = total % 3

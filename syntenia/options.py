@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ class Workflow:
     reference_genome: str = ""
     reference_gff: str = ""
     reference_locus_info: str = ""
-    prefix: str = "LRRt"
+    prefix: str = ""
     out_dir: str = "results"
     prebuilt: str = "NULL"
     ignore_errors: bool = False
@@ -62,6 +62,11 @@ class Workflow:
             object.__setattr__(self, "prebuilt", "NULL")
 
 
+def run_log(options: Workflow, commit: str, when: str) -> list[str]:
+    """Lines that tell when, by which version and with which options a workflow ran."""
+    return [f"date\t{when}", f"version\t{commit}", *(f"{f.name}\t{getattr(options, f.name)}" for f in fields(options))]
+
+
 def positive(value: int, name: str) -> int:
     """A whole number of at least 0."""
     if int(value) < 0:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,13 +11,15 @@ from syntenia.operators import alignments, chaining, features, loci
 from syntenia.options import LocusOptions
 
 
-def find_candidate_loci(hsps: DataFrame, annotation: DataFrame, options: LocusOptions = LocusOptions()) -> DataFrame:
+def find_candidate_loci(hsps: DataFrame, annotation: DataFrame, options: LocusOptions = LocusOptions(), chromosomes: Sequence[str] | None = None) -> DataFrame:
     """Loci of each sequence.
 
     Islands of alignments are chained, scored against their gene, filtered, made
     disjoint and, with ``options.expansion``, widened. ``annotation`` is a resolved
-    feature table.
+    feature table. ``chromosomes`` limits the search to some sequences; the filter reaches the scan.
     """
+    if chromosomes is not None:
+        hsps = hsps.where(F.col("chr_id").isin(*chromosomes))
     info = features.gene_info(annotation)
     found = alignments.hsp_islands(alignments.oriented(hsps), info, options.clustering)
     if options.clustering.min_distance:

@@ -13,17 +13,22 @@ from syntenia.operators import prediction, validation
 METHODS = ("mapping", "cdna2genome", "cdna2genomeExon", "cds2genome", "cds2genomeExon", "prot2genome", "prot2genomeExon")
 
 
-def best_models(drafts: DataFrame, fasta: DataFrame, scores: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def best_models(drafts: DataFrame, fasta: DataFrame, scores: Callable[[DataFrame], DataFrame], guard: bool = False) -> DataFrame:
     """The best corrected model of each target.
 
     ``drafts``: (target, method, seqid, strand, start, end) CDS rows in genome
     coordinates. ``scores`` gets (target, method, cds, ...) and adds n_identical,
-    n_positive, template_len and own_len, from an aligner or a table.
+    n_positive, template_len and own_len, from an aligner or a table. ``guard``: CDS are
+    not merged where that brings more stops in frame (off gives the established result).
     """
     keys = ["target", "method", "seqid", "strand"]
-    cds = prediction.merged_in_frame(prediction.cleaned_draft(drafts, keys), keys)
+    clean = prediction.cleaned_draft(drafts, keys)
+    cds = prediction.merged_in_frame(clean, keys)
     span = F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    models = cds.groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("cds")).withColumn("gene", F.concat_ws("|", "target", "method"))
+    lists = lambda rows: rows.groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("cds")).withColumn("gene", F.concat_ws("|", "target", "method"))
+    models = lists(cds)
+    if guard:
+        models = validation.merged_where_no_stop_comes(lists(clean), models, fasta)
     fixed = validation.corrected(models, fasta).join(models.select("gene", "target", "method"), "gene")
     flags = validation.penalty(validation.alerts(fixed.select("gene", "seqid", "strand", "cds"), fasta)).withColumnRenamed("prot_id", "gene")
     rows = scores(fixed).join(flags.drop("chr"), "gene")

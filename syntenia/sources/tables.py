@@ -47,6 +47,13 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.regexp_extract(head, r"^\S+", 0).alias("seqid"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), seq.alias("seq"), F.length(seq).cast("long").alias("len"))
 
 
+def unique_ids(fasta: DataFrame) -> DataFrame:
+    """The same records; a job that reads them fails if an id stands twice."""
+    n = fasta.groupBy("seqid").agg(F.count("*").alias("__n"))
+    one = F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("repeated sequence id "), "seqid")).cast("boolean"))
+    return fasta.join(n, "seqid").where(one).drop("__n").select(*fasta.columns)
+
+
 def chunked(fasta: DataFrame, size: int = 1 << 20) -> DataFrame:
     """(seqid, chunk_no, seq): long sequences in pieces, so that no row holds a chromosome."""
     n = F.greatest(F.ceil(F.octet_length("seq") / size).cast("int"), F.lit(1))
