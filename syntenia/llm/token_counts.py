@@ -9,12 +9,16 @@ A boundary is stable when the token before it ends at or before a white-space
 character and the next token starts after it: the vocabularies served here
 split at white space before any merge, their normalisers map each white-space
 run to one space and compose no characters across it, and no special string
-holds white space. Both encodings must give ``AGREE`` equal tokens (ids and
-absolute offsets) on each side of the boundary, or reach an end of the text.
+holds white space. In text without spaces, so is the end of a run of letters before
+a digit or a mark, where the vocabulary's pre-tokenizer is seen to cut there: a run of
+letters ends whatever stands around it, and normalisers compose no digit or mark with
+a letter. Both encodings must give ``AGREE`` equal tokens (ids and absolute offsets)
+on each side of the boundary, or reach an end of the text.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,6 +40,7 @@ class Spliced:
     def __init__(self, tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP):
         self.tokenizer, self.chunk, self.overlap = tokenizer, chunk, overlap
         self.widened = 0
+        self.letters_end = _cuts_letters(tokenizer)
 
     def _encode(self, text: str, lo: int, hi: int) -> list[tuple[int, int, int]]:
         e = self.tokenizer.encode(text[lo:hi], add_special_tokens=False)
@@ -72,8 +77,13 @@ class Spliced:
     def count(self, text: str) -> int:
         return sum(map(len, self.pieces(text)))
 
-    @staticmethod
-    def _stable(text, left, right, lo) -> tuple[int, int] | None:
+    def _ends(self, text: str, a: int) -> bool:
+        """Whether tokens can't reach over position a whatever stands around it."""
+        if text[a - 1].isspace():
+            return True
+        return self.letters_end and text[a - 1].isalpha() and unicodedata.category(text[a])[0] in "NPS"
+
+    def _stable(self, text, left, right, lo) -> tuple[int, int] | None:
         """Positions in left and right of the middlemost proven boundary."""
         at = {a: j for j, (_, a, _) in reversed(list(enumerate(right)))}
         first = next((i for i in range(len(left) - 1, -1, -1) if left[i][1] < lo), -1) + 1
@@ -81,7 +91,7 @@ class Spliced:
         for i in range(first, len(left)):
             a = left[i][1]
             j = at.get(a)
-            if j is None or a == 0 or not text[a - 1].isspace() or left[i - 1][2] > a:
+            if j is None or a == 0 or not self._ends(text, a) or left[i - 1][2] > a:
                 continue
             before, after = left[max(first, i - AGREE) : i], left[i : i + AGREE]
             if len(before) < AGREE or len(after) < AGREE or j < AGREE:
@@ -91,6 +101,15 @@ class Spliced:
         return found[len(found) // 2] if found else None
 
 
+def _cuts_letters(tokenizer) -> bool:
+    """Whether the pre-tokenizer ends runs of letters before digits and marks, and so starts anew there."""
+    sample = "ab1cd.ef,g_h/i=日本2語。x<y'z"
+    ends = {i for i in range(1, len(sample)) if sample[i - 1].isalpha() and not sample[i].isalpha()}
+    if tokenizer.pre_tokenizer is None:
+        return False
+    return ends <= {a for _, (a, _) in tokenizer.pre_tokenizer.pre_tokenize_str(sample)}
+
+
 class WordCounts(dict):
     """Tokens of the pieces between spaces and line feeds, kept for the pieces seen lately.
 
@@ -151,7 +170,8 @@ def token_counts(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit:
     Null text counts as empty (0 bytes, 0 tokens). Repeated rows and ids give a
     row each; an empty table gives no rows; other columns of ``docs`` are not
     read, so names cannot clash. Texts of any length: the memory of a task is a
-    chunk's encoding and the ids of one text.
+    batch of texts and a chunk's encoding; a text that has no stable boundary at all
+    (one run of letters) is encoded in ever larger parts.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
