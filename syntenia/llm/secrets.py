@@ -59,8 +59,9 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     assigned = [s for s in base if s[1] == 0]
     if not ids and not assigned:
         return []
-    taken = [(a, b) for a, _, b in base]
-    free = lambda m: all(m.end() <= a or m.start() >= b for a, b in taken)
+    starts, upto = [a for a, _, _ in base], _upto(base)
+    before = lambda p: bisect_left(starts, p) - 1
+    free = lambda m: before(m.end()) < 0 or upto[before(m.end())] <= m.start()
     ends = [m.start() for m in SCOPE.finditer(text)]
     scope = lambda p: bisect_left(ends, p)
     opaque = [(m.start(), 3, m.end()) for m in OPAQUE.finditer(text) if _opaque(m[0]) and free(m)] if ids else []
