@@ -31,6 +31,14 @@ TEMPLATES = {
     "mpl-2.0": "subject to the terms of the mozilla public license [v] [version] 2 0",
     "cc-by-notice": "licensed under [a] [the] {cc|creative commons} {by|attribution} [<kind:3>] <version:2>",
     "copyright-notice": "copyright [c] <holder:8> all rights reserved",
+    "mit-body": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files [the software] to deal in the software without restriction "
+    "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+    "subject to the following conditions the above copyright notice and this permission notice [including the next paragraph] shall be included in all copies or substantial portions of the software",
+    "isc-body": "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "bsd-body": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "[1] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "[2] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+    "[[3] neither the name of [the] <holder:12> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission]",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
 }
 
@@ -53,6 +61,7 @@ class Automaton:
         self.edges: list[list[tuple[bytes | None, int]]] = [[]]
         self.free: list[set[int]] = [set()]
         self.mandatory = 0
+        self.wording: set[bytes] = set()  # words that every accepted notice holds
         end = self._sequence(re.findall(r"\[|\]|\{[^}]*\}|<\w+:\d+>|\||\w+", template.lower()), 0)
         self.last = end
         self.start = self._closure({0})
@@ -68,6 +77,8 @@ class Automaton:
             nxt = self._new()
             self.edges[at].append((w.encode(), nxt))
             self.mandatory += not depth
+            if not depth:
+                self.wording.add(w.encode())
             at = nxt
         return at
 
@@ -128,8 +139,8 @@ class Automaton:
 AUTOMATA = {label: Automaton(t) for label, t in TEMPLATES.items()}
 #: A notice can begin only at these words.
 STARTS = {w for a in AUTOMATA.values() for w in a.first}
-#: A text without any of these holds neither a phrase nor a notice.
-HINTS = (b"license", b"licence", b"reserved", b"cc", b"creative", b"permission", b"copyright")
+#: The longest mandatory word of each template: a text without any of these holds no notice.
+HINTS = {max(sorted(a.wording), key=len) for a in AUTOMATA.values()}
 
 
 def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
