@@ -198,12 +198,16 @@ def learn(rows: list[dict]) -> list[Rule]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[Rule]:
-    """Rules learned from at most ``fit_rows`` labelled documents; labels that are null count as none."""
+    """Rules learned from at most ``fit_rows`` labelled documents; labels that are null count as none.
+
+    Of candidate terms that tie in gain the first by feature and threshold is taken; rows are ordered by id.
+    """
     marked = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("quality") == 0).cast("int")).alias("bad"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = statistics(docs.where("text is not null").join(F.broadcast(sample.select(F.col("doc_id"))), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
-    got = [r.asDict() for r in rows.select("doc_id", "bad", *FEATURES, "n_words").orderBy("doc_id", "n_words").collect()]
-    return learn([x for x in got if x["n_words"]])
+    # one row for each sampled id, however often it is repeated; of rows that share it, that with the least values
+    one = rows.where("n_words > 0").groupBy("doc_id", "bad").agg(F.min(F.struct("n_words", *FEATURES)).alias("x"))
+    return learn([r.asDict() for r in one.select("doc_id", "bad", "x.*").orderBy("doc_id").collect()])
 
 
 def emit(rules: list[Rule]) -> Column:
