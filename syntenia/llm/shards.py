@@ -1,62 +1,102 @@
 """Sharding by size-tiered compaction.
 
 A store is a folder of immutable Parquet shards and of manifests, one for each
-version. ``append`` writes arrivals as small shards and commits a version that
-lists them beside the old ones. ``compact`` puts shards into tiers by size (each
-tier ``FAN`` times the one below) and merges the shards of a tier, largest
-first, into files of about the target size: Spark's file reader packs whole
-small files into one task up to the target, and each task writes one shard, so
+version. ``append`` writes arrivals as small shards and commits a version that adds
+them. ``compact`` puts shards into tiers by size (each tier ``FAN`` times the one
+below) and merges the shards of a tier, largest first, into files of about the
+target size, again and again while that makes them fewer: Spark's file reader packs
+whole small files into one task up to the target, and each task writes one shard, so
 nothing is shuffled. ``vacuum`` deletes shards that kept versions don't list.
 
-A version is committed by renaming a complete manifest to its final name; the
-rename fails if the name exists, so of two writers one wins and the other tries
-again on the new version. Readers see a version whole or not at all.
+A version is a table of changes, shards added and dropped; every ``BASE``-th lists
+all shards instead, so a commit costs what it changes. It is committed by renaming
+the complete table to its final name; the rename fails if the name exists, so of two
+writers one wins and the other tries again on the new version. A compaction whose
+shards another one has replaced by then is given up. Readers see a version whole or
+not at all. Shards keep the schema they came with; a version's schema is all
+columns of its shards, and arrivals that give a known column another type are refused.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from syntenia.llm import common
 
 TARGET_BYTES, FAN, SMALLEST = 64 << 20, 4, 1 << 20
 ARRIVAL_ROWS = 2048
-BROADCAST_ROWS = 100_000
+BASE = 16
+CHANGES = "kind string, path string, folder string, in_folder long, rows long, bytes long, tier int, since int, schema string"
+SHARDS = "path string, folder string, in_folder long, rows long, bytes long, tier int, since int, schema string"
 
 
 class Conflict(RuntimeError):
     """Another writer committed the version first."""
 
 
+def merged_schema(schemas: list[str]) -> StructType:
+    """All columns of some schemas, as JSON, in order of appearance; raises ValueError if their types differ."""
+    out: dict[str, dict] = {}
+    for text in schemas:
+        for field in json.loads(text)["fields"]:
+            known = out.setdefault(field["name"], field)
+            if known["type"] != field["type"]:
+                raise ValueError(f"column {field['name']} is {known['type']} and {field['type']}")
+    return StructType.fromJson({"type": "struct", "fields": [f | {"nullable": True} for f in out.values()]})
+
+
 class ShardStore:
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES, arrival_rows: int = ARRIVAL_ROWS):
         self.spark, self.root = spark, root.rstrip("/")
         self.target, self.arrival_rows = target_bytes, arrival_rows
-        path, self.fs = common.hadoop_path(spark, self.root)
+        _, self.fs = common.hadoop_path(spark, self.root)
         self.fs.mkdirs(self._path("manifests"))
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
+    def versions(self) -> list[int]:
+        """The committed versions that are kept."""
+        names = [s.getPath().getName() for s in self.fs.listStatus(self._path("manifests"))]
+        return sorted(int(n[1:]) for n in names if n.startswith("v"))
+
     def version(self) -> int:
         """The latest committed version; 0 if there is none."""
-        names = [s.getPath().getName() for s in self.fs.listStatus(self._path("manifests"))]
-        return max((int(n[1:]) for n in names if n.startswith("v")), default=0)
+        return max(self.versions(), default=0)
 
     def manifest(self, version: int | None = None) -> DataFrame:
-        """(path, rows, bytes, tier, since): the shards of a version."""
+        """(path, folder, in_folder, rows, bytes, tier, since, schema): the shards of a version."""
         v = self.version() if version is None else version
-        schema = "path string, rows long, bytes long, tier int, since int"
-        return self.spark.read.schema(schema).parquet(f"{self.root}/manifests/v{v:08d}") if v else self.spark.createDataFrame([], schema)
-
-    def commit(self, shards: DataFrame, base: int) -> int:
-        """Publishes the shards as the version after ``base``, or raises Conflict."""
-        jvm = self.spark._jvm
-        tmp, final = f"manifests/_{uuid.uuid4().hex}", f"manifests/v{base + 1:08d}"
-        shards.coalesce(1).write.parquet(f"{self.root}/{tmp}")
+        if not v:
+            return self.spark.createDataFrame([], SHARDS)
+        first = max(1, v - v % BASE)
+        read = lambda n: self.spark.read.schema(CHANGES).parquet(f"{self.root}/manifests/v{n:08d}")
+        changes = read(first)
+        for n in range(first + 1, v + 1):
+            changes = changes.union(read(n))
+        added = changes.where("kind = 'add'").drop("kind")
+        return added.join(changes.where("kind = 'drop'").select("path"), "path", "left_anti") if v > first else added
+
+    def commit(self, added: DataFrame, dropped: DataFrame | None, base: int) -> int:
+        """Publishes the changes as the version after ``base``, or raises Conflict."""
+        jvm, version = self.spark._jvm, base + 1
+        changes = added
+        if version % BASE == 0:
+            old = self.manifest(base)
+            changes = (old if dropped is None else old.join(dropped.select("path"), "path", "left_anti")).unionByName(added)
+        changes = changes.select(F.lit("add").alias("kind"), *changes.columns)
+        if dropped is not None and version % BASE:
+            nothing = [F.lit(None).alias(c) for c in ("folder", "in_folder", "rows", "bytes", "tier", "since", "schema")]
+            changes = changes.unionByName(dropped.select(F.lit("drop").alias("kind"), "path", *nothing))
+        schema = self.spark.createDataFrame([], CHANGES).schema
+        changes = changes.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        tmp, final = f"manifests/_{uuid.uuid4().hex}", f"manifests/v{version:08d}"
+        changes.write.parquet(f"{self.root}/{tmp}")
         rename = jvm.org.apache.hadoop.fs.Options.Rename
         how = self.spark.sparkContext._gateway.new_array(rename, 1)
         how[0] = getattr(rename, "NONE")
@@ -68,79 +108,119 @@ class ShardStore:
             if self.fs.exists(self._path(final)):
                 raise Conflict(final) from e
             raise
-        return base + 1
+        return version
 
-    def _described(self, folder: str, since: int) -> DataFrame:
+    def _described(self, folder: str, since: int, schema: str) -> DataFrame:
         """Manifest rows of the files in a folder."""
         path = f"{self.root}/{folder}"
         sizes = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.col("length").alias("bytes"))
-        rows = self.spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"))
+        rows = self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"))
         tier = F.greatest(F.lit(0), F.ceil(F.log(F.col("bytes") / SMALLEST) / F.log(F.lit(float(FAN))))).cast("int")
-        return sizes.join(rows, "file").select(F.concat(F.lit(f"{folder}/"), "file").alias("path"), "rows", "bytes", tier.alias("tier"), F.lit(since).alias("since"))
+        held = sizes.join(rows, "file")
+        return held.select(F.concat(F.lit(f"{folder}/"), "file").alias("path"), F.lit(folder).alias("folder"), F.lit(sizes.count()).alias("in_folder"), "rows", "bytes", tier.alias("tier"), F.lit(since).alias("since"), F.lit(schema).alias("schema"))
 
-    def _commit_retrying(self, folder: str, replaced: DataFrame | None, tries: int = 5) -> int:
+    def schema(self, version: int | None = None) -> StructType:
+        """All columns of a version's shards; no columns for an empty store."""
+        kinds = self.manifest(version).groupBy("schema").agg(F.min("since").alias("since")).orderBy("since", "schema")
+        return merged_schema([r["schema"] for r in kinds.collect()])
+
+    def _commit_retrying(self, folder: str, schema: StructType, dropped: DataFrame | None, tries: int = 5) -> int:
         for _ in range(tries):
             base = self.version()
-            old = self.manifest(base)
-            if replaced is not None:
-                old = old.join(replaced, "path", "left_anti")
+            if dropped is None:
+                merged_schema([self.schema(base).json(), schema.json()])
+            elif not dropped.join(self.manifest(base), "path", "left_anti").isEmpty():
+                break  # another compaction has replaced some of these shards
             try:
-                return self.commit(old.union(self._described(folder, base + 1)), base)
+                return self.commit(self._described(folder, base + 1, schema.json()), dropped, base)
             except Conflict:
                 continue
-        raise Conflict(f"no version after {tries} tries")
+        common.drop_path(self.spark, f"{self.root}/{folder}")
+        raise Conflict(f"{folder} was not committed")
 
     def append(self, rows: DataFrame) -> int:
-        """Adds arrivals as small immutable shards; returns the version."""
+        """Adds arrivals as small immutable shards; returns the version.
+
+        No rows commit nothing. Raises ValueError if a column has another type in the store.
+        """
+        merged_schema([self.schema().json(), rows.schema.json()])
         folder = f"data/{uuid.uuid4().hex}"
         rows.write.option("maxRecordsPerFile", self.arrival_rows).option("compression", "zstd").parquet(f"{self.root}/{folder}")
-        if rows.sparkSession.read.schema(rows.schema).parquet(f"{self.root}/{folder}").isEmpty():
+        if self.spark.read.schema(rows.schema).parquet(f"{self.root}/{folder}").isEmpty():
+            common.drop_path(self.spark, f"{self.root}/{folder}")
             return self.version()
-        return self._commit_retrying(folder, None)
+        return self._commit_retrying(folder, rows.schema, None)
 
     def compact(self) -> int:
-        """Merges the shards of every tier below the target; returns the version."""
-        spark, conf = self.spark, self.spark.conf
-        small = self.manifest().where(F.col("bytes") * 4 < 3 * self.target)
-        tiers = [r["tier"] for r in small.groupBy("tier").count().where("count > 1").select("tier").orderBy("tier").collect()]
-        want = {"spark.sql.files.maxPartitionBytes": str(self.target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
-        before = {k: conf.get(k, None) for k in want}
-        version = self.version()
-        for tier in tiers:
-            # paths, as the reader itself lists them on the driver
-            paths = [r["path"] for r in small.where(F.col("tier") == tier).select("path").collect()]
-            folder = f"data/{uuid.uuid4().hex}"
+        """Merges the shards of every tier below the target while that makes them fewer; returns the version.
+
+        If another compaction replaces the same shards meanwhile, its version holds and the rest is tried again.
+        """
+        done: set[int] = set()
+        conflicts = 0
+        while True:
+            small = self.manifest().where(F.col("bytes") * 4 < 3 * self.target)
+            tiers = [r["tier"] for r in small.groupBy("tier").count().where("count > 1").select("tier").orderBy("tier").collect()]
+            tiers = [t for t in tiers if t not in done]
+            if not tiers:
+                return self.version()
             try:
-                for k, v in want.items():
-                    conf.set(k, v)
-                spark.read.parquet(*[f"{self.root}/{p}" for p in paths]).write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
-            finally:
-                for k, v in before.items():
-                    conf.set(k, v) if v is not None else conf.unset(k)
-            version = self._commit_retrying(folder, spark.createDataFrame([(p,) for p in paths], "path string"))
-        return version
+                if not self._merge(small.where(F.col("tier") == tiers[0])):
+                    done.add(tiers[0])
+            except Conflict:
+                conflicts += 1
+                if conflicts == 5:
+                    raise
+
+    def _merge(self, shards: DataFrame) -> bool:
+        """Writes some shards anew as fewer ones and commits them; False if they are no fewer."""
+        schema, old = self.schema(), shards.count()
+        want = {"spark.sql.files.maxPartitionBytes": str(self.target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+        folder = f"data/{uuid.uuid4().hex}"
+        with common.settings(self.spark, want):
+            self.spark.read.schema(schema).parquet(*self._places(shards)).write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
+        if self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{self.root}/{folder}").count() >= old:
+            common.drop_path(self.spark, f"{self.root}/{folder}")
+            return False
+        # paths of one tier's shards; the session would read the manifest again after the commit
+        paths = self.spark.createDataFrame([(r["path"],) for r in shards.select("path").collect()], "path string")
+        self._commit_retrying(folder, schema, paths)
+        return True
+
+    def _places(self, shards: DataFrame) -> list[str]:
+        """What the reader has to list: folders of which all shards are wanted, else single shards."""
+        whole = shards.groupBy("folder", "in_folder").agg(F.count("*").alias("n"), F.collect_list("path").alias("paths"))
+        rows = whole.select("folder", F.when(F.col("n") < F.col("in_folder"), F.col("paths")).alias("paths")).collect()
+        return [f"{self.root}/{p}" for r in rows for p in (r["paths"] or [r["folder"]])]
 
     def vacuum(self, keep: int = 1) -> int:
         """Deletes shards and manifests that the last ``keep`` versions don't need; returns the number of shards."""
-        last = self.version()
-        kept = [self.manifest(v).select("path") for v in range(max(1, last - keep + 1), last + 1)]
+        versions = self.versions()
+        last = max(versions, default=0)
+        kept = None
+        for v in range(max(1, last - keep + 1), last + 1):
+            paths = self.manifest(v).select("path", "folder")
+            kept = paths if kept is None else kept.union(paths)
+        if kept is None:
+            return 0
         gone = 0
-        for v in range(1, last - keep + 1):
-            if not self.fs.exists(self._path(f"manifests/v{v:08d}")):
-                continue
-            old = self.manifest(v).select("path")
-            for k in kept:
-                old = old.join(k, "path", "left_anti")
-            for r in old.toLocalIterator():
+        base = max(1, (last - keep + 1) - (last - keep + 1) % BASE)
+        for v in [v for v in versions if v <= last - keep]:
+            old = self.spark.read.schema(CHANGES).parquet(f"{self.root}/manifests/v{v:08d}").where("kind = 'add'")
+            old = old.join(kept, "path", "left_anti").join(kept.select("folder", F.lit(True).alias("held")).distinct(), "folder", "left")
+            for r in old.where("held").select("path").toLocalIterator():
                 gone += self.fs.delete(self._path(r["path"]), False)
-            self.fs.delete(self._path(f"manifests/v{v:08d}"), True)
+            for r in old.where("held is null").groupBy("folder").agg(F.count("*").alias("n")).toLocalIterator():
+                gone += r["n"] * self.fs.delete(self._path(r["folder"]), True)
+            if v < base:
+                self.fs.delete(self._path(f"manifests/v{v:08d}"), True)
         return gone
 
-    def read(self, version: int | None = None, schema=None) -> DataFrame:
-        """All rows of a version."""
-        paths = [f"{self.root}/{r['path']}" for r in self.manifest(version).select("path").collect()]
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(*paths)
+    def read(self, version: int | None = None, schema: StructType | None = None) -> DataFrame:
+        """All rows of a version, with all its columns; an empty store has neither."""
+        shards = self.manifest(version)
+        schema, places = schema or self.schema(version), self._places(shards)
+        return self.spark.read.schema(schema).parquet(*places) if places else self.spark.createDataFrame([], schema)
 
 
 def sharded(docs: DataFrame, root: str | None = None, target_bytes: int = TARGET_BYTES) -> DataFrame:
@@ -161,7 +241,7 @@ def sharded(docs: DataFrame, root: str | None = None, target_bytes: int = TARGET
     if not version:
         return spark.createDataFrame([], schema)
     m = store.manifest(version).select(F.regexp_extract("path", "[^/]+$", 0).alias("shard"), F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"), "tier")
-    m = F.broadcast(m) if m.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else m
+    m = common.few(m, 100_000)
     rows = store.read(version).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_metadata.file_name").alias("shard"), F.col("_metadata.row_index").alias("row_in_shard"))
     return rows.join(m, "shard").select("doc_id", "source", "shard", "row_in_shard", "shard_rows", "shard_bytes", "tier", F.lit(version).alias("version"))
 
