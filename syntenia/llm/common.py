@@ -45,14 +45,15 @@ class Scratch:
     """Tables written to the shared folder, to cut lineage.
 
     A lost executor costs a re-read, not a recomputation. Each table is one
-    Parquet folder; ``drop`` deletes one that no later plan reads.
+    Parquet folder; ``drop`` deletes one that no later plan reads, ``keep`` all
+    but those that a result reads.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = scratch_path(spark, "").rstrip("/")
         self._n = 0
-        self._paths: dict[int, str] = {}
+        self._tables: list[tuple[DataFrame, str]] = []
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
@@ -60,13 +61,21 @@ class Scratch:
         with lean(self.spark):
             df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
+        self._tables.append((out, path))
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self._paths.pop(id(df), None)
-        if path:
-            drop_path(self.spark, path)
+        self.keep(*(t for t, _ in self._tables if t is not df))
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Deletes all tables but these, which are all that a result still reads."""
+        held = []
+        for table, path in self._tables:
+            if any(table is t for t in tables):
+                held.append((table, path))
+            else:
+                drop_path(self.spark, path)
+        self._tables = held
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -453,6 +453,7 @@ def _classified(docs: DataFrame, scratch: common.Scratch) -> DataFrame:
         more = more.join(pairs.select(F.col(x).alias("a"), F.col(y).alias("b")), ["a", "b"], "left_anti")
     second = linked(scratch.write(more, "more"), "links-across")
     roots = rooted(first.union(second)) if not second.isEmpty() else roots
+    scratch.keep(members, chosen, roots)
     of_node = chosen.join(roots, "node", "left").select("node", F.coalesce("root", "who").alias("first"))
     return members.join(of_node, "node", "left").select("doc_id", "row", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("first")).alias("first"))
 
@@ -518,4 +519,5 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     scratch = common.Scratch(docs.sparkSession)
     rows = _classified(docs, scratch).where("n_shingles > 0 and row != first.row")
     gone = scratch.write(rows.select(F.col("row").alias("__row")).distinct(), "gone")
+    scratch.keep(gone)
     return docs.join(common.few(gone), common.row_key() == F.col("__row"), "left_anti")
