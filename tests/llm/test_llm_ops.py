@@ -37,33 +37,75 @@ def words(t):
 # ---- mixing ----------------------------------------------------------------
 
 
-def test_water_fill_caps_and_reshares():
-    t = mixing.water_fill({0: 10, 1: 100, 2: 1000}, {0: 1, 1: 2, 2: 3}, 1110, 3)
-    assert t[0] == 30 and t[1] == 300 and math.isclose(sum(t.values()), 1110)
-    assert mixing.water_fill({}, {}, 0, 3) == {}
+def water_fill(sizes, weights, total, most):
+    """Targets in proportion to weights, none above ``most`` times its size, by capping one source at a time."""
+    capped = set()
+    while True:
+        open_ = [i for i in range(len(sizes)) if i not in capped and sizes[i]]
+        left = total - sum(most * sizes[i] for i in capped)
+        share = {i: left * weights[i] / sum(weights[j] for j in open_) for i in open_}
+        over = [i for i in open_ if share[i] > most * sizes[i]]
+        if not over:
+            return [most * n if i in capped else share.get(i, 0.0) for i, n in enumerate(sizes)]
+        capped.add(min(over, key=lambda i: sizes[i] / weights[i]))
+
+
+def mix_case(spark, texts, sources):
+    """Checks sizes, targets and closeness of a mix; returns copies by doc_id."""
+    d = docs(spark, texts, sources)
+    got = mixing.mix(d)[0].select("doc_id", "source", "size", "source_size", "target", "copies").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(texts)))
+    order = sorted(set(sources), key=lambda s: (s is None, s or ""))
+    sizes = [sum(len(words(t)) for t, x in zip(texts, sources) if x == s) for s in order]
+    target = water_fill(sizes, [i % 3 + 1 for i in range(len(order))], sum(sizes), 3)
+    taken = collections.Counter()
+    for r in got:
+        i = order.index(r["source"])
+        assert r["source_size"] == sizes[i] and math.isclose(r["target"], target[i]) and r["size"] == len(words(texts[r["doc_id"]]))
+        assert r["copies"] in (int(target[i] / sizes[i] + 1e-12) if sizes[i] else 0, min(3, 1 + int(target[i] / sizes[i] + 1e-12)) if sizes[i] else 0)
+        taken[i] += r["copies"] * r["size"]
+    for i, n in enumerate(sizes):
+        left = [r["size"] for r in got if r["source"] == order[i] and r["size"] and r["copies"] == int(target[i] / n + 1e-12)] if n else []
+        assert abs(taken[i] - target[i]) <= max(target[i] / 500, min(left, default=0))
+    return d, {r["doc_id"]: r["copies"] for r in got}
+
+
+def test_water_fill_caps_and_reshares(spark):
+    scratch = common.Scratch(spark)
+    for sizes in ([10, 100, 1000], [5], [0, 7, 7, 7, 900, 1, 0, 40], []):
+        rows = spark.createDataFrame([(f"s{i:02d}", n) for i, n in enumerate(sizes)], "source string, weight long")
+        got = {r["source"]: r["target"] for r in mixing.targets(rows, scratch).collect()}
+        want = water_fill(sizes, [i % 3 + 1 for i in range(len(sizes))], sum(sizes), 3) if sizes else []
+        assert got == {f"s{i:02d}": pytest.approx(t) for i, t in enumerate(want)}
 
 
 def test_mixing_meets_targets(spark):
     rnd = random.Random(1)
     texts = [" ".join("w" for _ in range(rnd.randint(1, 60))) for _ in range(900)]
     sources = [rnd.choice(["a", "b", "b", "b", "c", None]) for _ in texts]
-    d = docs(spark, texts, sources)
-    rows, _ = mixing.mix(d)
-    got = rows.select("doc_id", "source", "size", "source_size", "target", "copies").collect()
-    sizes = collections.Counter()
-    for t, s in zip(texts, sources):
-        sizes[s] += len(words(t))
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    target = mixing.water_fill({i: sizes[s] for i, s in enumerate(order)}, {i: i % 3 + 1 for i in range(len(order))}, sum(sizes.values()), 3)
-    taken = collections.Counter()
-    for r in got:
-        assert r["source_size"] == sizes[r["source"]] and math.isclose(r["target"], target[order.index(r["source"])])
-        assert r["copies"] <= 3 and r["size"] == len(words(texts[r["doc_id"]]))
-        taken[r["source"]] += r["copies"] * r["size"]
-    for i, s in enumerate(order):
-        assert abs(taken[s] - target[i]) <= 30
+    d, copies = mix_case(spark, texts, sources)
     again, _ = mixing.mix(d.repartition(7))
-    assert sorted(map(tuple, again.select("doc_id", "copies").collect())) == sorted((r["doc_id"], r["copies"]) for r in got)
+    assert dict(map(tuple, again.select("doc_id", "copies").collect())) == copies
+    # the sample follows the keys: what is taken once more has the smaller ones
+    rows = mixing.sized(d).where("source = 'b'").select("doc_id", "key").collect()
+    more = [r["key"] for r in rows if copies[r["doc_id"]] == max(copies[x["doc_id"]] for x in rows)]
+    assert len(more) < len(rows) and sum(k <= sorted(r["key"] for r in rows)[len(more)] for k in more) >= len(more) - 3
+
+
+def test_mixing_goes_on_behind_a_huge_document(spark):
+    texts = ["w " * 4000] + ["w " * n for n in range(1, 90)] + ["w " * 11] * 200
+    for seed in ("x", "y"):
+        mix_case(spark, [f"{seed} {t}" for t in texts], ["a"] * 100 + ["b"] * 190)
+
+
+def test_mixing_takes_a_part_of_repeated_rows(spark):
+    rows = [(5, "w " * 50, "en", "a", 1)] * 300 + [(6, "v " * 50, "en", "b", 1)] * 100
+    d = spark.createDataFrame(rows, DOCS).repartition(5)
+    got = mixing.mix(d)[0].groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most"), F.count("*").alias("n")).collect()
+    assert {r["source"]: r["n"] for r in got} == {"a": 300, "b": 100}
+    assert all(abs(r["taken"] - r["target"]) <= 50 and r["most"] <= 3 for r in got)
+    out = mixing.mixed_documents(d).groupBy("source").agg(F.count("*").alias("n")).collect()
+    assert {r["source"]: 50 * r["n"] for r in out} == {r["source"]: r["taken"] for r in got}
 
 
 def test_mixed_documents_repeat_rows_as_taken(spark, awkward):
@@ -296,6 +338,12 @@ def test_fields_by_position(spark):
     assert all(got[i] == t.split("\n")[-1] for i, t in enumerate(texts))
 
 
+def test_rows_without_an_id_lose_their_lines_too(spark):
+    rows = [(i if i else None, f"one recurring line of text\nown {'abc'[i]}", "en", "s", 1) for i in range(3)]
+    got = line_templates.drop_recurring_lines(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r["text"] for r in got) == ["own a", "own b", "own c"]
+
+
 def test_line_templates_on_awkward_rows(spark, awkward):
     got = {r["doc_id"]: r for r in line_templates.drop_recurring_lines(awkward).collect()}
     assert len(got) == len(AWKWARD) and got[0]["text"] == "" and got[8]["n_lines"] == 4
@@ -362,6 +410,42 @@ def test_classes_on_awkward_rows(spark, awkward):
     assert kept.columns == awkward.columns and {r["doc_id"] for r in kept.collect()} == {i for i, (_, c) in enumerate(brute_classes(AWKWARD)) if c == i}
 
 
+def test_large_group_and_a_chain_without_a_leader(spark):
+    rnd = random.Random(3)
+    texts = near_copies(rnd, 1000, 120, 12, 10**6)
+    # versions of versions: each links with its neighbours, the ends share nothing
+    chain = [f"c{i}" for i in range(100)]
+    for i in range(60):
+        chain[i] = f"d{i}"
+        texts += [" ".join(chain)] if i % 3 else []
+    shared = [f"s{i}" for i in range(70)]
+    texts += [" ".join([f"u{rnd.randint(0, 9)}" for _ in range(rnd.randint(5, 30))] + shared) for _ in range(150)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(docs(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_classes(texts)))
+
+
+def test_rows_without_an_id_and_shared_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other = base.replace("w59", "x"), "quite another text with words of its own"
+    rows = [(None, base), (None, near), (4, near + " y"), (4, other), (7, base), (None, None), (9, "lone words here")]
+    d = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    got = [r["component_id"] for r in jaccard_join.classes(d).where("n_shingles > 30").collect()]
+    assert got == [4] * 4
+    kept = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(d).collect()), key=repr)
+    assert kept == sorted([(4, near + " y"), (4, other), (None, None), (9, "lone words here")], key=repr)
+    alone = spark.createDataFrame([(None, base, "en", "s", 1), (None, near, "en", "s", 1)], DOCS)
+    assert jaccard_join.one_of_each(alone).count() == 1 and jaccard_join.classes(alone).where("component_id is not null").count() == 0
+
+
+def test_sketches_bound_differences():
+    rnd = np.random.default_rng(4)
+    for n, m, both in ((10, 9, 8), (300, 280, 250), (70, 60, 0), (40_000, 33_000, 30_000)):
+        a, b, c = (rnd.integers(0, 1 << 63, k, dtype=np.uint64) for k in (n - both, m - both, both))
+        x, y = np.r_[a, c], np.r_[b, c]
+        low = jaccard_join.apart(jaccard_join.sketch(x), jaccard_join.sketch(y))
+        assert 0.5 * (n + m - 2 * both) <= low <= n + m - 2 * both
+
+
 def test_large_texts_have_the_same_shingles(monkeypatch):
     whole = [s.tolist() for s in shingles.shingle_sets([LONG, "a b c d e f", None])]
     monkeypatch.setattr(shingles, "PART", 100)
@@ -407,6 +491,39 @@ def test_planted_items_are_found_and_clean_documents_left(spark):
     assert {r["doc_id"] for r in clean.collect()} == set(range(300)) - {i for i, _ in got}
 
 
+def test_paraphrases_are_recalled(spark):
+    """Cosine search with a basis of few documents against every passage, verified alike."""
+    rnd = random.Random(12)
+    vocabulary = ["the", "of", "and", "in"] * 40 + ["".join(rnd.choice("aeioubcdrstlmn") for _ in range(rnd.randint(3, 9))) for _ in range(4000)]
+    items = [prose(rnd, rnd.randint(16, 120), vocabulary) for _ in range(40)]
+    texts = []
+    for i in range(800):
+        w = prose(rnd, rnd.randint(60, 300), vocabulary).split()
+        if i % 4 == 0:
+            item = items[rnd.randrange(len(items))].split()
+            changed = [rnd.choice(vocabulary) if rnd.random() < 0.02 * (i % 9) else x for x in item]
+            at = rnd.randrange(len(w))
+            w[at:at] = changed
+        texts.append(" ".join(w))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    d = docs(spark, texts)
+    want = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(d, bench, cosine=-2.0).collect()}
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(d, bench, fit_docs=100).collect()}
+    assert len(want) > 150 and got <= want and len(got) >= 0.9 * len(want)
+
+
+def test_items_across_the_edge_of_a_piece_and_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PIECE", 3000)
+    monkeypatch.setattr(decontaminate, "LAP", 200)
+    item = " ".join(f"i{k}" for k in range(2500))
+    text = " ".join(f"x{k}" for k in range(1900)) + " " + item + " " + " ".join(f"y{k}" for k in range(5000))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    d = spark.createDataFrame([(None, text, "en", "s", 1), (2, "clean words only " * 40, "en", "s", 1), (None, "clean too", "en", "s", 1)], DOCS)
+    got = decontaminate.leaks(d, bench).collect()
+    assert [r["doc_id"] for r in got] == [None] and got[0]["common_words"] >= 0.95 * 2500  # as near as a search goes on
+    assert sorted(r["text"][:5] for r in decontaminate.clean_documents(d, bench).collect()) == ["clean", "clean"]
+
+
 def test_decontamination_on_awkward_rows(spark, awkward):
     bench = spark.createDataFrame([(1, "lorem ipsum dolor sit amet consectetur lorem ipsum dolor sit amet consectetur")], "item_id long, text string")
     assert {r["doc_id"] for r in decontaminate.leaks(awkward, bench).collect()} == {4}
@@ -447,10 +564,53 @@ def test_commit_conflicts(spark, tmp_path):
     store = shards.ShardStore(spark, str(tmp_path / "store"))
     store.append(docs(spark, ["a"]))
     with pytest.raises(shards.Conflict):
-        store.commit(store.manifest(), 0)
+        store.commit(store.manifest(), None, 0)
     assert store.version() == 1
 
 
+def test_two_compactors_keep_every_row_once(spark, tmp_path):
+    store = shards.ShardStore(spark, str(tmp_path / "store"), target_bytes=1 << 20, arrival_rows=20)
+    store.append(docs(spark, [f"text {i}" for i in range(200)]))
+    late = shards.ShardStore(spark, store.root, target_bytes=1 << 20)
+    merge, raced = late._commit_retrying, []
+
+    def second(folder, schema, dropped, tries=5):
+        if not raced:
+            raced.append(store.compact())  # the other one commits while this one has written its shards
+        return merge(folder, schema, dropped, tries)
+
+    late._commit_retrying = second
+    late.compact()
+    assert raced and sorted(r["doc_id"] for r in late.read().collect()) == list(range(200))
+
+
+def test_columns_that_arrive_later_stay(spark, tmp_path):
+    store = shards.ShardStore(spark, str(tmp_path / "store"), target_bytes=1 << 20, arrival_rows=10)
+    assert store.read().count() == 0 and store.compact() == 0 and store.vacuum() == 0
+    a = docs(spark, [f"text {i}" for i in range(30)])
+    store.append(a)
+    store.append(docs(spark, [f"more {i}" for i in range(30)], first=100).withColumn("extra", F.col("doc_id") * 2))
+    for _ in range(2):
+        got = store.read()
+        assert got.columns == [*a.columns, "extra"] and got.where("extra = 2 * doc_id").count() == 30 and got.where("extra is null").count() == 30
+        store.compact()
+    with pytest.raises(ValueError, match="extra"):
+        store.append(a.withColumn("extra", F.lit("text")))
+    assert store.read().count() == 60
+
+
+def test_many_versions(spark, tmp_path):
+    store = shards.ShardStore(spark, str(tmp_path / "store"), target_bytes=1 << 20)
+    for i in range(shards.BASE + 3):
+        store.append(docs(spark, [f"text {i}"], first=i))
+        if i == 7:
+            store.compact()
+    assert sorted(r["doc_id"] for r in store.read().collect()) == list(range(shards.BASE + 3))
+    assert sorted(r["doc_id"] for r in store.read(5).collect()) == list(range(5))
+    assert store.compact() > 0 and store.vacuum() > 0
+    assert sorted(r["doc_id"] for r in store.read().collect()) == list(range(shards.BASE + 3))
+
+
 def test_sharded(spark, awkward):
     out = shards.sharded(awkward.union(awkward), target_bytes=1 << 20).collect()
     assert sorted(r["doc_id"] for r in out) == sorted(2 * list(range(len(AWKWARD))))
