@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir."""
+    """The shared folder that the cluster names in spark.checkpoint.dir; one of our own where a local session sets none."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        raise ValueError("spark.checkpoint.dir names no shared folder for intermediate tables")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir names no shared folder for intermediate tables")
+        return "/tmp/checkpoints/syntenia"
     return path
 
 
