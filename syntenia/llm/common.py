@@ -137,3 +137,18 @@ def few(df: DataFrame, rows: int = 500_000) -> DataFrame:
 def row_key() -> Column:
     """A hash that names rows by doc_id and text; either may be null."""
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), text_or_empty())
+
+
+#: A key is hot when it holds more than one in this many rows; so there are at most as many hot keys.
+HOT_SHARE = 1000
+
+
+def join_table(rows: DataFrame, weighted: DataFrame, on: list[str], total: int, share: int = HOT_SHARE) -> DataFrame:
+    """``rows`` with the columns of ``weighted``, which has one row for each key and counts the rows of it in ``weight``.
+
+    Keys of more than one in ``share`` of ``total`` rows are fewer than ``share``, whatever the
+    input's size: these are broadcast. The others are joined by a shuffle that no key can skew.
+    """
+    heavy = F.col("weight") * share > total
+    hot = F.broadcast(weighted.where(heavy))
+    return rows.join(hot, on).unionByName(rows.join(hot.select(*on), on, "left_anti").join(weighted.where(~heavy), on))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from syntenia.llm.centroid_clusters import op13_sql
+from syntenia.llm.hard_negatives import OP12_SQL
 from syntenia.llm.url_rules import OP8_SQL
 
 #: Words, the templates of every line, those by position in each leaf, and the lines of none that recurs.
@@ -59,4 +61,4 @@ SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, least(w.doc_id, coalesce((SELEC
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id
 """
 
-ORACLES = {"op3_line_templates": OP3_SQL, "op8_url_rules": OP8_SQL, "op10_jaccard_join": OP10_SQL}
+ORACLES = {"op3_line_templates": OP3_SQL, "op8_url_rules": OP8_SQL, "op10_jaccard_join": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_weighted_clusters": op13_sql()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from syntenia.llm import decision_list, decontaminate, jaccard_join, licenses, line_templates, mixing, oracles, secrets, shards, token_counts, url_rules
+from syntenia.llm import centroid_clusters, decision_list, decontaminate, hard_negatives, jaccard_join, language_id, licenses, line_templates, mixing, oracles, secrets, shards, token_counts, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_rules": url_rules.op8_url_rules,
         "op9_license_templates": licenses.op9_license_templates,
         "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+        "op11_language_id": language_id.op11_language_id,
+        "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+        "op13_weighted_clusters": centroid_clusters.op13_weighted_clusters,
     }
 
 
