@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
@@ -28,7 +28,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: Weak parts: 32 characters or more with both cases and a digit, URL-escaped ones included; a URL with a host.
 #: A token may follow '=', as in env files and URL parameters; a run before '=' and a value is a name.
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]|%2[BbFf]){32,}+(?:=|%3[Dd]){0,2}+(?![A-Za-z0-9+/_=-])")
+#: It doesn't begin inside an escape, so one long run is looked at once.
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])(?!(?<=%)[23][BbDdFf])(?:[A-Za-z0-9+/_-]|%2[BbFf]){32,}+(?:=|%3[Dd]){0,2}+(?![A-Za-z0-9+/_=-])")
 ESCAPE = re.compile(r"%[23][BDFbdf]")
 ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+\.[A-Za-z]{2,}(?::[0-9]+)?(?:/[^\s\"'<>]*)?", re.ASCII)
 SCOPE = re.compile(r"\n[\x20\t\r]*\n")
@@ -66,16 +67,16 @@ def linked_spans(text: str, base: list[tuple[int, int, int]], reach: int = REACH
     scope = lambda p: bisect_left(ends, p)
     opaque = [(m.start(), 3, m.end()) for m in OPAQUE.finditer(text) if _opaque(m[0]) and free(m)] if ids else []
     points = [(m.start(), 4, m.end()) for m in ENDPOINT.finditer(text)] if "http" in text else []
-    secrets = sorted([s for s in base if s[1] != 1] + opaque)
-    to_secret, to_point = _upto(secrets), _upto(points)
+    secrets = [_Parts(x) for x in (assigned, [s for s in base if s[1] == 2], opaque)]
+    at = _Parts(points)
     found = set()
     for i in ids:
-        parts = _near(i, secrets, to_secret, scope, reach)
-        found.update(p for p in parts if p[1] == 3)
-        if parts:
-            found.update(_near(i, points, to_point, scope, reach))
+        strong, runs, weak = (p.near(i, scope, reach) for p in secrets)
+        found.update(weak)
+        if strong or runs or weak:
+            found.update(at.near(i, scope, reach))
     for s in assigned:
-        found.update(_near(s, points, to_point, scope, reach))
+        found.update(at.near(s, scope, reach))
     return sorted(found)
 
 
@@ -85,20 +86,22 @@ def _opaque(t: str) -> bool:
 
 
 def _upto(ys) -> list[int]:
-    """The furthest end so far at each of the sorted parts; one long part makes no other search longer."""
+    """The furthest end so far at each of the sorted parts."""
     return list(accumulate((y[2] for y in ys), max))
 
 
-def _near(x, ys, upto, scope, reach) -> list[tuple[int, int, int]]:
-    """Interval join of one part with sorted others: same scope, gap within reach."""
-    out = []
-    for k in range(bisect_left(upto, x[0] - reach), len(ys)):
-        y = ys[k]
-        if y[0] > x[2] + reach:
-            break
-        if y is not x and max(x[0] - y[2], y[0] - x[2], 0) <= reach and scope(x[0]) == scope(y[0]):
-            out.append(y)
-    return out
+class _Parts:
+    """The parts of one kind: they don't overlap, so both their starts and their ends are sorted."""
+
+    def __init__(self, parts: list[tuple[int, int, int]]):
+        self.parts = parts
+        self.starts, self.ends = [a for a, _, _ in parts], [b for _, _, b in parts]
+
+    def near(self, x: tuple[int, int, int], scope, reach: int) -> list[tuple[int, int, int]]:
+        """Interval join with one part: same scope, gap within reach; only parts in reach are looked at."""
+        here = scope(x[0])
+        inside = slice(bisect_left(self.ends, x[0] - reach), bisect_right(self.starts, x[2] + reach))
+        return [y for y in self.parts[inside] if y != x and scope(y[0]) == here]
 
 
 def _joined(spans) -> str:
@@ -117,8 +120,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Offsets are code points, ends exclusive. Null and empty texts have no spans
     (counts 0, digest of the empty string, empty span list). Repeated rows give a
-    row each; an empty table gives no rows; only doc_id and text are read. Linear
-    in the text but for parts inside one reach.
+    row each; an empty table gives no rows; only doc_id and text are read. A text costs
+    its length, and for each identifier or assignment the parts in its reach, however
+    long and nested other parts are.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
