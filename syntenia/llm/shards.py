@@ -3,10 +3,12 @@
 A store is a folder of immutable Parquet shards and of manifests, one for each
 version. ``append`` writes arrivals as small shards and commits a version that adds
 them. ``compact`` puts shards into tiers by size (each tier ``FAN`` times the one
-below) and merges the shards of a tier, largest first, into files of about the
-target size, again and again while that makes them fewer: Spark's file reader packs
-whole small files into one task up to the target, and each task writes one shard, so
-nothing is shuffled. ``vacuum`` deletes shards that kept versions don't list.
+below) and merges the shards of a tier once there are ``FAN`` of them, into files of
+about the target size: Spark's file reader packs whole small files into one task up
+to the target, and each task writes one shard, so nothing is shuffled. What a merge
+writes is at least one tier higher, so a row is rewritten as often as the logarithm
+of the number of arrivals. ``vacuum`` deletes shards that kept versions don't list,
+and what lost writers left.
 
 A version is a table of changes, shards added and dropped; every ``BASE``-th lists
 all shards instead, so a commit costs what it changes. It is committed by renaming
@@ -20,6 +22,7 @@ columns of its shards, and arrivals that give a known column another type are re
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +34,10 @@ from syntenia.llm import common
 TARGET_BYTES, FAN, SMALLEST = 64 << 20, 4, 1 << 20
 ARRIVAL_ROWS = 2048
 BASE = 16
+#: Shards of a tier that one merge takes; the next one takes others.
+MERGED = 4096
+#: Seconds for which vacuum leaves alone what no version lists: a writer may still commit it.
+GRACE = 24 * 3600
 CHANGES = "kind string, path string, folder string, in_folder long, rows long, bytes long, tier int, since int, schema string"
 SHARDS = "path string, folder string, in_folder long, rows long, bytes long, tier int, since int, schema string"
 
@@ -56,6 +63,8 @@ class ShardStore:
         self.target, self.arrival_rows = target_bytes, arrival_rows
         _, self.fs = common.hadoop_path(spark, self.root)
         self.fs.mkdirs(self._path("manifests"))
+        self._schemas: dict[int, StructType] = {}  # of versions, which never change
+        self._merging: dict[str, tuple[int, int]] = {}  # of a merge's folder: the version it read, the tier it reaches
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -110,31 +119,39 @@ class ShardStore:
             raise
         return version
 
-    def _described(self, folder: str, since: int, schema: str) -> DataFrame:
-        """Manifest rows of the files in a folder."""
-        path = f"{self.root}/{folder}"
-        sizes = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.col("length").alias("bytes"))
-        rows = self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("rows"))
-        tier = F.greatest(F.lit(0), F.ceil(F.log(F.col("bytes") / SMALLEST) / F.log(F.lit(float(FAN))))).cast("int")
-        held = sizes.join(rows, "file")
-        return held.select(F.concat(F.lit(f"{folder}/"), "file").alias("path"), F.lit(folder).alias("folder"), F.lit(sizes.count()).alias("in_folder"), "rows", "bytes", tier.alias("tier"), F.lit(since).alias("since"), F.lit(schema).alias("schema"))
+    def _files(self, folder: str) -> int:
+        """Parquet files in a folder."""
+        return sum(f.getPath().getName().endswith(".parquet") for f in self.fs.listStatus(self._path(folder)))
+
+    def _described(self, folder: str, since: int, schema: str, least: int) -> DataFrame:
+        """Manifest rows of the files in a folder, in tier ``least`` or a higher one."""
+        meta = self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{self.root}/{folder}")
+        held = meta.groupBy(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(F.count("*").alias("rows"))
+        tier = F.greatest(F.lit(least), F.ceil(F.log(F.col("bytes") / SMALLEST) / F.log(F.lit(float(FAN))))).cast("int")
+        return held.select(F.concat(F.lit(f"{folder}/"), "file").alias("path"), F.lit(folder).alias("folder"), F.lit(self._files(folder)).alias("in_folder"), "rows", "bytes", tier.alias("tier"), F.lit(since).alias("since"), F.lit(schema).alias("schema"))
 
     def schema(self, version: int | None = None) -> StructType:
         """All columns of a version's shards; no columns for an empty store."""
-        kinds = self.manifest(version).groupBy("schema").agg(F.min("since").alias("since")).orderBy("since", "schema")
-        return merged_schema([r["schema"] for r in kinds.collect()])
+        v = self.version() if version is None else version
+        if v not in self._schemas:
+            kinds = self.manifest(v).groupBy("schema").agg(F.min("since").alias("since")).orderBy("since", "schema")
+            self._schemas[v] = merged_schema([r["schema"] for r in kinds.collect()])
+        return self._schemas[v]
 
     def _commit_retrying(self, folder: str, schema: StructType, dropped: DataFrame | None, tries: int = 5) -> int:
+        """Commits a folder's shards in place of those that are dropped."""
+        seen, least = self._merging.pop(folder, (-1, 0))
         for _ in range(tries):
             base = self.version()
-            if dropped is None:
-                merged_schema([self.schema(base).json(), schema.json()])
-            elif not dropped.join(self.manifest(base), "path", "left_anti").isEmpty():
+            both = merged_schema([self.schema(base).json(), schema.json()])
+            if dropped is not None and base != seen and not dropped.join(self.manifest(base), "path", "left_anti").isEmpty():
                 break  # another compaction has replaced some of these shards
             try:
-                return self.commit(self._described(folder, base + 1, schema.json()), dropped, base)
+                version = self.commit(self._described(folder, base + 1, schema.json(), least), dropped, base)
             except Conflict:
                 continue
+            self._schemas[version] = both
+            return version
         common.drop_path(self.spark, f"{self.root}/{folder}")
         raise Conflict(f"{folder} was not committed")
 
@@ -151,75 +168,92 @@ class ShardStore:
             return self.version()
         return self._commit_retrying(folder, rows.schema, None)
 
-    def compact(self) -> int:
-        """Merges the shards of every tier below the target while that makes them fewer; returns the version.
+    def compact(self, least: int = FAN) -> int:
+        """Merges the shards of every tier below the target that has ``least`` of them; returns the version.
 
-        If another compaction replaces the same shards meanwhile, its version holds and the rest is tried again.
+        With ``least`` 2 all small shards of a tier are merged, as for a store that is complete. If another
+        compaction replaces the same shards meanwhile, its version holds and the rest is tried again.
         """
         done: set[int] = set()
         conflicts = 0
         while True:
-            small = self.manifest().where(F.col("bytes") * 4 < 3 * self.target)
-            tiers = [r["tier"] for r in small.groupBy("tier").count().where("count > 1").select("tier").orderBy("tier").collect()]
+            seen = self.version()
+            small = self.manifest(seen).where(F.col("bytes") * 4 < 3 * self.target)
+            tiers = [r["tier"] for r in small.groupBy("tier").count().where(F.col("count") >= max(2, least)).select("tier").orderBy("tier").collect()]
             tiers = [t for t in tiers if t not in done]
             if not tiers:
                 return self.version()
             try:
-                if not self._merge(small.where(F.col("tier") == tiers[0])):
+                if not self._merge(small.where(F.col("tier") == tiers[0]), tiers[0], seen):
                     done.add(tiers[0])
             except Conflict:
                 conflicts += 1
                 if conflicts == 5:
                     raise
 
-    def _merge(self, shards: DataFrame) -> bool:
-        """Writes some shards anew as fewer ones and commits them; False if they are no fewer."""
-        schema, old = self.schema(), shards.count()
+    def _merge(self, shards: DataFrame, tier: int, seen: int) -> bool:
+        """Writes up to MERGED shards of a tier anew as fewer ones, a tier higher, and commits them; False if they are no fewer."""
+        old = shards.select("path", "folder", "in_folder").orderBy("since", "path").limit(MERGED).collect()
+        schema = self.schema(seen)
         want = {"spark.sql.files.maxPartitionBytes": str(self.target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
         folder = f"data/{uuid.uuid4().hex}"
         with common.settings(self.spark, want):
-            self.spark.read.schema(schema).parquet(*self._places(shards)).write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
-        if self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{self.root}/{folder}").count() >= old:
+            self.spark.read.schema(schema).parquet(*self._places(old)).write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
+        if self._files(folder) >= len(old):
             common.drop_path(self.spark, f"{self.root}/{folder}")
             return False
-        # paths of one tier's shards; the session would read the manifest again after the commit
-        paths = self.spark.createDataFrame([(r["path"],) for r in shards.select("path").collect()], "path string")
-        self._commit_retrying(folder, schema, paths)
+        self._merging[folder] = seen, tier + 1
+        self._commit_retrying(folder, schema, self.spark.createDataFrame([(r["path"],) for r in old], "path string"))
         return True
 
-    def _places(self, shards: DataFrame) -> list[str]:
-        """What the reader has to list: folders of which all shards are wanted, else single shards."""
-        whole = shards.groupBy("folder", "in_folder").agg(F.count("*").alias("n"), F.collect_list("path").alias("paths"))
-        rows = whole.select("folder", F.when(F.col("n") < F.col("in_folder"), F.col("paths")).alias("paths")).collect()
-        return [f"{self.root}/{p}" for r in rows for p in (r["paths"] or [r["folder"]])]
+    def _places(self, shards: list) -> list[str]:
+        """What the reader has to list for (path, folder, in_folder): folders of which all shards are wanted, else single shards."""
+        of: dict[tuple[str, int], list[str]] = {}
+        for r in shards:
+            of.setdefault((r["folder"], r["in_folder"]), []).append(r["path"])
+        return [f"{self.root}/{p}" for (folder, n), paths in of.items() for p in ([folder] if len(paths) == n else paths)]
+
+    def vacuum(self, keep: int = 1, grace: float = GRACE) -> int:
+        """Deletes shards and manifests that the last ``keep`` versions don't need; returns the number of shards.
 
-    def vacuum(self, keep: int = 1) -> int:
-        """Deletes shards and manifests that the last ``keep`` versions don't need; returns the number of shards."""
+        Folders and unfinished manifests that no version lists are what lost writers left. They go once
+        they are older than ``grace`` seconds, so that a writer between write and commit keeps its own.
+        """
         versions = self.versions()
         last = max(versions, default=0)
-        kept = None
+        kept = self.spark.createDataFrame([], "path string, folder string")
         for v in range(max(1, last - keep + 1), last + 1):
-            paths = self.manifest(v).select("path", "folder")
-            kept = paths if kept is None else kept.union(paths)
-        if kept is None:
-            return 0
+            kept = kept.union(self.manifest(v).select("path", "folder"))
+        folders = kept.select("folder", F.lit(True).alias("held")).distinct()
+        old_versions = [v for v in versions if v <= last - keep]
         gone = 0
-        base = max(1, (last - keep + 1) - (last - keep + 1) % BASE)
-        for v in [v for v in versions if v <= last - keep]:
-            old = self.spark.read.schema(CHANGES).parquet(f"{self.root}/manifests/v{v:08d}").where("kind = 'add'")
-            old = old.join(kept, "path", "left_anti").join(kept.select("folder", F.lit(True).alias("held")).distinct(), "folder", "left")
+        if old_versions:
+            read = lambda v: self.spark.read.schema(CHANGES).parquet(f"{self.root}/manifests/v{v:08d}").where("kind = 'add'").select("path", "folder")
+            old = read(old_versions[0])
+            for v in old_versions[1:]:
+                old = old.union(read(v))
+            old = old.distinct().join(kept, "path", "left_anti").join(folders, "folder", "left")
             for r in old.where("held").select("path").toLocalIterator():
                 gone += self.fs.delete(self._path(r["path"]), False)
             for r in old.where("held is null").groupBy("folder").agg(F.count("*").alias("n")).toLocalIterator():
                 gone += r["n"] * self.fs.delete(self._path(r["folder"]), True)
-            if v < base:
-                self.fs.delete(self._path(f"manifests/v{v:08d}"), True)
+        before = 1000 * (time.time() - grace)
+        late = lambda name: [s.getPath().getName() for s in self.fs.listStatus(self._path(name)) if s.getModificationTime() <= before] if self.fs.exists(self._path(name)) else []
+        unlisted = self.spark.createDataFrame([(f"data/{n}",) for n in late("data")], "folder string").join(folders, "folder", "left_anti")
+        for r in unlisted.toLocalIterator():
+            gone += self._files(r["folder"])
+            self.fs.delete(self._path(r["folder"]), True)
+        first = max(1, (last - keep + 1) - (last - keep + 1) % BASE)
+        for name in [f"v{v:08d}" for v in old_versions if v < first] + [n for n in late("manifests") if n.startswith("_")]:
+            self.fs.delete(self._path(f"manifests/{name}"), True)
         return gone
 
     def read(self, version: int | None = None, schema: StructType | None = None) -> DataFrame:
         """All rows of a version, with all its columns; an empty store has neither."""
-        shards = self.manifest(version)
-        schema, places = schema or self.schema(version), self._places(shards)
+        v = self.version() if version is None else version
+        whole = self.manifest(v).groupBy("folder", "in_folder").agg(F.count("*").alias("n"), F.collect_list("path").alias("paths"))
+        rows = whole.select("folder", F.when(F.col("n") < F.col("in_folder"), F.col("paths")).alias("paths")).collect()
+        schema, places = schema or self.schema(v), [f"{self.root}/{p}" for r in rows for p in (r["paths"] or [r["folder"]])]
         return self.spark.read.schema(schema).parquet(*places) if places else self.spark.createDataFrame([], schema)
 
 
@@ -247,4 +281,5 @@ def sharded(docs: DataFrame, root: str | None = None, target_bytes: int = TARGET
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each row of ``documents`` stands in a compacted store; edge cases as in ``sharded``."""
     return sharded(common.table(spark, sf_dir, "documents"))
