@@ -461,6 +461,68 @@ def test_bands_hold_every_pair():
             assert large + small - 2 * -(-4 * (large + small) // 9) <= jaccard_join.differences(jaccard_join.bands_of(large)[0])
 
 
+def naive_links(text, reach=secrets.REACH):
+    """Every identifier or assignment against every other part."""
+    base = secrets.base_spans(text)
+    ends = [m.start() for m in secrets.SCOPE.finditer(text)]
+    scope = lambda p: sum(e < p for e in ends)
+    gap = lambda x, y: max(x[0] - y[2], y[0] - x[2], 0)
+    near = lambda x, ys: [y for y in ys if y != x and gap(x, y) <= reach and scope(x[0]) == scope(y[0])]
+    ids, assigned = ([s for s in base if s[1] == k] for k in (1, 0))
+    free = lambda m: all(b <= m.start() or a >= m.end() for a, _, b in base)
+    opaque = [(m.start(), 3, m.end()) for m in secrets.OPAQUE.finditer(text) if secrets._opaque(m[0]) and free(m)]
+    points = [(m.start(), 4, m.end()) for m in secrets.ENDPOINT.finditer(text)]
+    out = set()
+    for i in ids:
+        parts = near(i, [s for s in base if s[1] != 1] + opaque)
+        out |= {p for p in parts if p[1] == 3} | set(near(i, points) if parts else [])
+    for s in assigned:
+        out |= set(near(s, points))
+    return sorted({*base, *out}) if ids or assigned else base
+
+
+def secret_text(rnd, n):
+    pieces = [
+        lambda: "AKIA" + "".join(rnd.choice("ABCXYZ0189") for _ in range(rnd.choice([12, 16, 40]))),
+        lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(rnd.choice([20, 24, 64]))),
+        lambda: "aB3" + "".join(rnd.choice("abcXYZ019/+") for _ in range(rnd.choice([20, 40, 700]))),
+        lambda: rnd.choice(["password=", "api_key: ", "token = ", "secret:"]) + "v" * rnd.choice([3, 8, 900]),
+        lambda: rnd.choice(["https://api.example.com/v1/", "http://x.io"]) + "p" * rnd.choice([0, 5, 600]),
+        lambda: "word " * rnd.choice([1, 20, 120]),
+    ]
+    return "".join(rnd.choice(pieces)() + rnd.choice([" ", " ", ".", "\n", "\n\n", "_", "="]) for _ in range(n))
+
+
+def test_linked_secrets_match_a_naive_scan_through_the_query(spark, tmp_path):
+    rnd = random.Random(17)
+    texts = [secret_text(rnd, rnd.randint(1, 40)) for _ in range(300)]
+    docs(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = secrets.op7_secret_links(spark, str(tmp_path))
+    assert got.dtypes == [("doc_id", "bigint"), ("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"), ("base_sha256", "string"), ("spans", "string")]
+    linked = 0
+    for r in got.collect():
+        base = secrets.base_spans(texts[r["doc_id"]])
+        spans = naive_links(texts[r["doc_id"]])
+        linked += len(spans) > len(base)
+        assert r["spans"] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base).encode()).hexdigest()
+    assert linked > 50
+
+
+def test_a_megabyte_of_nested_secrets_takes_about_a_second(spark):
+    import time
+
+    rnd = random.Random(2)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    nested = "password=" + "".join("AKIA" + hexes(16).upper() + "." + hexes(24) + "_" for _ in range(21_000))
+    escapes = "AKIA" + "A" * 20 + " " + "aB1%2B" * 170_000 + "=x"
+    urls = "secret=abcdefgh " + "http://x.io/a " * 70_000
+    for text in (nested, escapes, urls):
+        began = time.process_time()
+        secrets.scan_text(text)
+        assert time.process_time() - began < 4  # quadratic: minutes
+
+
 # ---- decontamination -------------------------------------------------------
 
 
@@ -512,6 +574,41 @@ def test_paraphrases_are_recalled(spark):
     assert len(want) > 150 and got <= want and len(got) >= 0.9 * len(want)
 
 
+@pytest.mark.parametrize("fit_docs", [60, 4000])
+def test_verbatim_items_of_every_length_are_recalled(spark, fit_docs):
+    """Items of 3 to 120 words cut from texts; every place where they stand word for word counts."""
+    rnd = random.Random(21)
+    vocabulary = ["the", "of", "and", "in"] * 60 + ["".join(rnd.choice("aeioubcdrstlmn") for _ in range(rnd.randint(3, 9))) for _ in range(900)]
+    texts = [prose(rnd, rnd.randint(20, 300), vocabulary).split() for _ in range(400)]
+    items = []
+    for n in (3, 4, 5, 7, 9, 11, 13, 15, 16, 24, 40, 80, 120) * 4:
+        source = rnd.choice([t for t in texts if len(t) > n])
+        at = rnd.randrange(len(source) - n)
+        items.append(source[at : at + n])
+        for t in rnd.sample(texts, 6):
+            k = rnd.randrange(len(t))
+            t[k:k] = items[-1]
+    whole = [" " + " ".join(t) + " " for t in texts]
+    want = {(i, j) for j, q in enumerate(items) for i, t in enumerate(whole) if " " + " ".join(q) + " " in t}
+    bench = spark.createDataFrame([(j, " ".join(q)) for j, q in enumerate(items)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs(spark, whole), bench, fit_docs=fit_docs).collect()}
+    for few, many in ((3, 4), (5, 15), (16, 120)):
+        part = {(i, j) for i, j in want if few <= len(items[j]) <= many}
+        assert len(part) > 40 and len(part & got) >= 0.95 * len(part), (few, len(part), len(part & got))
+    # what is found besides holds four fifths of an item's words in order, or three fifths and its answer
+    for i, j in got - want:
+        a, b = decontaminate.words_of(" ".join(items[j])).tolist(), decontaminate.words_of(whole[i]).tolist()
+        assert decontaminate.lcs(a, b) >= decontaminate.LIKELY * len(a)
+
+
+def test_repeated_documents_and_short_items_of_common_words(spark):
+    texts = ["a b c d e f g h i j k l m n", "a b c d e f g h i j k l m n", "x the of and x", "the the of of and", "THE Of AND in"]
+    bench = spark.createDataFrame([(1, "the of and in"), (2, "e f g h"), (3, "e f g h"), (4, "zz")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["common_words"]) for r in decontaminate.leaks(docs(spark, texts), bench).collect())
+    assert [g for g in got if g[1] in (2, 3)] == [(0, 2, 4), (0, 3, 4), (1, 2, 4), (1, 3, 4)]
+    assert (4, 1, 4) in got and not [g for g in got if g[1] == 4]
+
+
 def test_items_across_the_edge_of_a_piece_and_rows_without_an_id(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "PIECE", 3000)
     monkeypatch.setattr(decontaminate, "LAP", 200)
@@ -599,6 +696,59 @@ def test_columns_that_arrive_later_stay(spark, tmp_path):
     assert store.read().count() == 60
 
 
+def rewritten(spark, store):
+    """Rows that merges wrote, over all versions."""
+    changes = spark.read.schema(shards.CHANGES).option("recursiveFileLookup", True).parquet(f"{store.root}/manifests")
+    return changes.where("kind = 'add'").dropDuplicates(["path"]).agg(F.sum("rows")).first()[0]
+
+
+def test_a_row_is_rewritten_as_often_as_the_tiers_are_many(spark, tmp_path):
+    store = shards.ShardStore(spark, str(tmp_path / "store"), target_bytes=1 << 20)
+    for i in range(17):
+        store.append(docs(spark, [f"text {i} {j}" for j in range(10)], first=10 * i).coalesce(1))
+        before = store.version()
+        assert (store.compact() > before) == ((i + 1) % shards.FAN == 0)  # a tier waits for FAN runs
+    assert sorted(r["doc_id"] for r in store.read().collect()) == list(range(170))
+    # 17 arrivals: 16 of them merged by fours, and the four merged runs once more
+    assert rewritten(spark, store) == 170 + 160 + 160
+    assert store.manifest().count() == 2 and sorted(r["tier"] for r in store.manifest().collect()) == [0, 2]
+    store.compact(least=2)
+    assert sorted(r["doc_id"] for r in store.read().collect()) == list(range(170))
+
+
+def test_vacuum_takes_what_lost_writers_left(spark, tmp_path, monkeypatch):
+    store = shards.ShardStore(spark, str(tmp_path / "store"))
+    store.append(docs(spark, ["a", "b"]))
+
+    def lost(*_):
+        raise KeyboardInterrupt  # the driver goes between write and commit
+
+    monkeypatch.setattr(store, "_commit_retrying", lost)
+    with pytest.raises(KeyboardInterrupt):
+        store.append(docs(spark, ["c"], first=7))
+    monkeypatch.undo()
+    (tmp_path / "store" / "manifests" / "_unfinished").mkdir()
+    assert len(list((tmp_path / "store" / "data").iterdir())) == 2
+    store.vacuum()  # younger than the grace period: the writer may still be there
+    assert len(list((tmp_path / "store" / "data").iterdir())) == 2
+    assert store.vacuum(grace=-5) > 0
+    assert len(list((tmp_path / "store" / "data").iterdir())) == 1 and not (tmp_path / "store" / "manifests" / "_unfinished").exists()
+    assert sorted(r["doc_id"] for r in store.read().collect()) == [0, 1]
+
+
+def test_sharding_columns_match_a_recount_of_the_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    d = docs(spark, [f"text {i} " * (i % 40) for i in range(900)], [None if i % 3 else "s" for i in range(900)])
+    out = shards.sharded(d, root=str(tmp_path / "store"), target_bytes=1 << 20).collect()
+    files = {f.name: f for f in (tmp_path / "store" / "data").rglob("*.parquet")}
+    held = {n: pq.read_table(f).to_pylist() for n, f in files.items()}
+    assert len(out) == 900 and {r["shard"] for r in out} == set(files)
+    for r in out:
+        assert r["shard_rows"] == len(held[r["shard"]]) and r["shard_bytes"] == files[r["shard"]].stat().st_size
+        assert held[r["shard"]][r["row_in_shard"]]["doc_id"] == r["doc_id"] and held[r["shard"]][r["row_in_shard"]]["source"] == r["source"]
+
+
 def test_many_versions(spark, tmp_path):
     store = shards.ShardStore(spark, str(tmp_path / "store"), target_bytes=1 << 20)
     for i in range(shards.BASE + 3):
