@@ -95,25 +95,87 @@ def best_chain(h: _Hits) -> list[int]:
 
     Of equal predecessors the nearest wins, of equal ends the first.
     """
+    return best_path(h)[0]
+
+
+def best_path(h: _Hits) -> tuple[list[int], int]:
+    """Positions of the best chain's members, and its identical residues.
+
+    A chain is kept as its last member and a link to the chain it extends. For each
+    alignment the predecessors are tried from the best possible score down - the gain
+    less what overlaps the predecessor itself - until none can be better. What earlier
+    members overlap is found along the links, back to where neither an end on the
+    sequence nor the furthest end on the protein reaches the new alignment.
+    """
+    m = len(h)
     upto = _coverage(h.s, h.e)
     at_start, at_end = upto(h.s), upto(h.e)
-    value = lambda n, skipped: n - int(skipped / SKIP)
-    chains: list[tuple[int, int, list[int]]] = []
-    for j in range(len(h)):
-        costs = _costs(h, np.arange(j), j)  # one row at a time, an island may be large
-        best = (int(h.n[j]), int(at_start[j]), [j])
-        for i in range(j - 1, -1, -1):
-            n, skipped, path = chains[i]
-            twice = costs[path]
-            if (twice < 0).any():
+    n, skipped = h.n.copy(), at_start.copy()
+    back, reach = np.full(m, -1, np.int64), h.q.copy()
+    score = n - skipped // SKIP
+    for j in range(1, m):
+        # a pair's skipped positions and gain before any overlap is known
+        gap = np.where(h.s[j] >= h.e[:j], at_start[j] - at_end[:j] + 1, 0)
+        most = n[:j] + h.n[j] - (skipped[:j] + gap) // SKIP
+        i = np.flatnonzero((most > score[j]) & (h.p[:j] < h.p[j]) & (h.s[:j] < h.s[j]))
+        if not len(i):
+            continue
+        costs = _costs(h, i, j)
+        bound = np.where(costs < 0, score[j], most[i] - costs)
+        best, least = -1, int(score[j])
+        for k in _from_the_top(bound, least):
+            x = int(i[k])
+            if int(bound[k]) < least or int(bound[k]) == least and x < best:
+                break
+            twice = _shared(h, back, reach, x, j, int(costs[k]))
+            if twice is None:
                 continue
-            gap = int(at_start[j] - at_end[i] + 1) if h.s[j] >= h.e[i] else 0
-            grown = (n + int(h.n[j]) - int(twice.sum()), skipped + gap)
-            if value(*grown) > value(*best[:2]):
-                best = (*grown, [*path, j])
-        chains.append(best)
-    scores = [value(n, skipped) for n, skipped, _ in chains]
-    return chains[scores.index(max(scores))][2]
+            got = int(n[x] + h.n[j]) - twice - int(skipped[x] + gap[x]) // SKIP
+            if got > least or got == least and x > best >= 0:
+                best, least, lost = x, got, twice
+        if best >= 0:
+            n[j], skipped[j], back[j] = n[best] + h.n[j] - lost, skipped[best] + gap[best], best
+            reach[j], score[j] = max(reach[j], reach[best]), least
+    last = int(score.argmax())
+    path, residues = [last], int(n[last])
+    while back[path[-1]] >= 0:
+        path.append(int(back[path[-1]]))
+    return path[::-1], residues
+
+
+def _from_the_top(bound: np.ndarray, least: int) -> Iterator[int]:
+    """Positions whose bound exceeds ``least``, from the highest down; of equal ones the last first."""
+    open_ = np.flatnonzero(bound > least)
+    size = 8
+    while len(open_):
+        if len(open_) > 2 * size:  # most often the first few settle it
+            cut = np.partition(bound[open_], len(open_) - size)[len(open_) - size]
+            now = bound[open_] >= cut
+        else:
+            now = np.ones(len(open_), bool)
+        part = open_[now]
+        yield from part[np.lexsort((-part, -bound[part]))].tolist()
+        open_, size = open_[~now], 8 * size
+
+
+def _shared(h: _Hits, back: np.ndarray, reach: np.ndarray, i: int, j: int, cost: int) -> int | None:
+    """Residues that j shares with the chain that ends at i, whose own cost is known; None if some member doesn't go with j."""
+    total, i = cost, int(back[i])
+    s, p = h.s[j], h.p[j]
+    while i >= 0 and (h.e[i] >= s or reach[i] >= p):
+        cost = int(_cost(h, i, j))
+        if cost < 0:
+            return None
+        total, i = total + cost, int(back[i])
+    return total
+
+
+def _cost(h: _Hits, i: int, j: int) -> int:
+    """``_costs`` of one pair that is in order."""
+    on_seq = -(-max(0, int(min(h.e[i], h.e[j]) - max(h.s[i], h.s[j])) + 1) // 3)
+    on_prot = max(0, int(min(h.q[i], h.q[j]) - max(h.p[i], h.p[j])) + 1)
+    least = min(int(h.q[i] - h.p[i]) + 1, int(h.q[j] - h.p[j]) + 1, (int(h.e[i] - h.s[i]) + 1) // 3, (int(h.e[j] - h.s[j]) + 1) // 3)
+    return min(max(on_seq, on_prot), int(h.n[i]), int(h.n[j])) if abs(on_seq - on_prot) <= 0.5 * least else -1
 
 
 def chains_of(h: _Hits, shrink: int) -> list[tuple]:
@@ -122,13 +184,9 @@ def chains_of(h: _Hits, shrink: int) -> list[tuple]:
     todo = [h]
     while todo:
         h = todo.pop()
-        path = [0] if len(h) == 1 else best_chain(h)
+        path, n = ([0], int(h.n[0])) if len(h) == 1 else best_path(h)
         seq = sorted(zip(h.a[path].tolist(), h.b[path].tolist()))
         prot = sorted(zip(h.p[path].tolist(), h.q[path].tolist()))
-        n = int(h.n[path].sum())
-        if len(path) > 1:
-            costs = pair_costs(h.take(path))
-            n -= int(costs[np.triu_indices(len(path), 1)].clip(0).sum())
         out.append((seq, prot, n, _union(seq), _union(prot)))
         lo, hi = int(h.s[path].min()), int(h.e[path].max())
         size, rest = h.e - h.s + 1, np.ones(len(h), bool)
