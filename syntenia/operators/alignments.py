@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from syntenia.functions import intervals as iv
+from syntenia.operators.stretches import Before, UpTo, running
 from syntenia.options import Clustering
 
 KEYS = ("chr_id", "strand", "prot_id")
@@ -49,12 +50,19 @@ def gap_limit(longest_intron: Column, options: Clustering) -> Column:
     return F.greatest(F.lit(options.max_gap), F.coalesce((longest_intron * options.intron_factor).cast("long"), F.lit(0)))
 
 
-def islands(rows: DataFrame, keys: Sequence[str], start: str, end: str, limit: Column, ties: Sequence[str] = (), name: str = "island") -> DataFrame:
+def islands(rows: DataFrame, keys: Sequence[str], start: str, end: str, limit: Column, ties: Sequence[str] = (), name: str = "island", stretch: int | None = None) -> DataFrame:
     """Numbers runs of rows in which each starts within ``limit`` of all ends before it.
 
     The running maximum of ends runs over the whole partition, which is the same as
-    over the island: a new island begins beyond every end before it.
+    over the island: a new island begins beyond every end before it. With ``stretch`` a
+    key's rows are dealt out by stretches of so many positions (``stretches.running``),
+    so that one sequence isn't one task.
     """
+    if stretch is not None:
+        along = lambda df, what: running(df, keys, start, [start, end, *ties], what, stretch)
+        marked = along(rows, {"__before": Before("max", F.col(end))})
+        new = F.when(F.col("__before").isNull() | (F.col(start) - F.col("__before") > limit), F.lit(1)).otherwise(F.lit(0))
+        return along(marked.withColumn("__new", new).drop("__before"), {name: UpTo("sum", F.col("__new"))}).drop("__new")
     order = Window.partitionBy(*keys).orderBy(start, end, *ties)
     before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(before.isNull() | (F.col(start) - before > limit), F.lit(1)).otherwise(F.lit(0))

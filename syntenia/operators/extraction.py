@@ -7,20 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from syntenia.functions import sequences as sq
-from syntenia.sources.tables import chunked
+from syntenia.sources.tables import CHUNK, chunked
 
 #: A CDS that starts within so many nucleotides of the last end marks a frameshift.
 FRAMESHIFT_GAP = 15
 
 
-CHUNK = 1 << 16
-
-
 def cut(rows: DataFrame, fasta: DataFrame, size: int = CHUNK) -> DataFrame:
     """Rows (seqid, start, end, ...) with ``piece``, their closed stretch, clamped to the sequence.
 
     Sequences are joined as chunks of ``size`` letters, so no row carries a whole
-    chromosome; a stretch is put together from the chunks it touches. Rows that lie
+    chromosome; ``fasta`` has whole sequences (seqid, seq) or is such chunks already
+    (seqid, chunk_no, seq), as ``read_fasta_chunks`` gives them; a stretch is put together from the chunks it touches. Rows that lie
     wholly outside their sequence, or whose sequence is missing, are left out.
     """
     names = rows.columns
@@ -28,7 +26,8 @@ def cut(rows: DataFrame, fasta: DataFrame, size: int = CHUNK) -> DataFrame:
     first = F.greatest(F.col("start"), F.lit(1))
     want = rows.groupBy(*names).agg(F.count("*").alias("__rows")).where(F.col("end") >= first)
     want = want.withColumn("__chunk", F.explode(F.sequence(chunk(first), chunk(F.col("end")))))
-    there = chunked(fasta, size).select(F.col("seqid").alias("__seqid"), F.col("chunk_no").alias("__chunk_no"), F.col("seq").alias("__seq"))
+    chunks = fasta if "chunk_no" in fasta.columns else chunked(fasta, size)
+    there = chunks.select(F.col("seqid").alias("__seqid"), F.col("chunk_no").alias("__chunk_no"), F.col("seq").alias("__seq"))
     met = want.join(there, (F.col("seqid") == F.col("__seqid")) & (F.col("__chunk") == F.col("__chunk_no")))
     off = F.col("__chunk") * size
     part = sq.piece(F.col("__seq"), F.col("start") - off, F.col("end") - off)

@@ -1,4 +1,9 @@
-"""Interval algebra on tables: unions, boolean sweeps, coverage, overlap and nearest joins."""
+"""Interval algebra on tables: unions, boolean sweeps, coverage, overlap and nearest joins.
+
+Where a window runs along all rows of a key, ``stretch`` deals them out by stretches of
+so many positions with carries between them (``stretches.running``): the same rows, and
+one key that holds most of the table is many tasks.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +15,16 @@ from pyspark.sql.window import Window
 
 from syntenia.functions import intervals as iv
 from syntenia.operators.alignments import islands
+from syntenia.operators.stretches import Before, Behind, Beside, UpTo, running
 
 
-def merged(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end", touch: int = 1) -> DataFrame:
+def merged(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end", touch: int = 1, stretch: int | None = None) -> DataFrame:
     """Disjoint intervals of each key; gaps of up to ``touch`` between positions close."""
-    found = islands(rows.where(F.col(start).isNotNull() & F.col(end).isNotNull()), keys, start, end, F.lit(touch))
+    found = islands(rows.where(F.col(start).isNotNull() & F.col(end).isNotNull()), keys, start, end, F.lit(touch), stretch=stretch)
     return found.groupBy(*keys, "island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("island")
 
 
-def combined(a: DataFrame, b: DataFrame, keys: Sequence[str], keep: Callable[[Column, Column], Column], start: str = "start", end: str = "end") -> DataFrame:
+def combined(a: DataFrame, b: DataFrame, keys: Sequence[str], keep: Callable[[Column, Column], Column], start: str = "start", end: str = "end", stretch: int | None = None) -> DataFrame:
     """Half-open stretches of each key where ``keep(in a, in b)`` holds, from a sweep over both sides' ends.
 
     An empty side covers nothing.
@@ -29,64 +35,115 @@ def combined(a: DataFrame, b: DataFrame, keys: Sequence[str], keep: Callable[[Co
         return side.where(F.col(start) < F.col(end)).select(*keys, F.explode(F.array(at(start, 1), at(end, -1))).alias("e")).select(*keys, "e.*")
 
     both = events(a, 1, 0).unionByName(events(b, 0, 1)).groupBy(*keys, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    order = Window.partitionBy(*keys).orderBy("at")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    swept = both.select(*keys, "at", keep(F.sum("a").over(upto) > 0, F.sum("b").over(upto) > 0).alias("on"), F.lead("at").over(order).alias("next"))
-    found = islands(swept.where("on and next is not null"), keys, "at", "next", F.lit(0))
+    if stretch is None:
+        order = Window.partitionBy(*keys).orderBy("at")
+        upto = order.rowsBetween(Window.unboundedPreceding, 0)
+        both = both.select(*keys, "at", F.sum("a").over(upto).alias("in_a"), F.sum("b").over(upto).alias("in_b"), F.lead("at").over(order).alias("next"))
+    else:
+        both = running(both, keys, "at", ["at"], {"in_a": UpTo("sum", F.col("a")), "in_b": UpTo("sum", F.col("b")), "next": Beside(F.col("at"), 1)}, stretch)
+    swept = both.select(*keys, "at", keep(F.col("in_a") > 0, F.col("in_b") > 0).alias("on"), "next")
+    found = islands(swept.where("on and next is not null"), keys, "at", "next", F.lit(0), stretch=stretch)
     return found.groupBy(*keys, "island").agg(F.min("at").alias(start), F.max("next").alias(end)).drop("island")
 
 
-def union(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return combined(a, b, keys, lambda x, y: x | y)
+def union(a: DataFrame, b: DataFrame, keys: Sequence[str], stretch: int | None = None) -> DataFrame:
+    return combined(a, b, keys, lambda x, y: x | y, stretch=stretch)
 
 
-def intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return combined(a, b, keys, lambda x, y: x & y)
+def intersection(a: DataFrame, b: DataFrame, keys: Sequence[str], stretch: int | None = None) -> DataFrame:
+    return combined(a, b, keys, lambda x, y: x & y, stretch=stretch)
 
 
-def difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return combined(a, b, keys, lambda x, y: x & ~y)
+def difference(a: DataFrame, b: DataFrame, keys: Sequence[str], stretch: int | None = None) -> DataFrame:
+    return combined(a, b, keys, lambda x, y: x & ~y, stretch=stretch)
 
 
-def symmetric_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return combined(a, b, keys, lambda x, y: x != y)
+def symmetric_difference(a: DataFrame, b: DataFrame, keys: Sequence[str], stretch: int | None = None) -> DataFrame:
+    return combined(a, b, keys, lambda x, y: x != y, stretch=stretch)
 
 
-def coverage_at_ends(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
+def coverage_at_ends(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end", stretch: int | None = None) -> DataFrame:
     """(keys, at, covered): covered positions up to each end of closed intervals."""
-    flat = merged(rows, keys, start, end)
-    sofar = Window.partitionBy(*keys).orderBy(start)
-    flat = flat.withColumn("base", F.coalesce(F.sum(F.col(end) - F.col(start) + 1).over(sofar.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    flat = merged(rows, keys, start, end, stretch=stretch)
+    size = F.col(end) - F.col(start) + 1
+    if stretch is None:
+        sofar = Window.partitionBy(*keys).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
+        flat = flat.withColumn("base", F.coalesce(F.sum(size).over(sofar), F.lit(0)))
+    else:
+        flat = running(flat, keys, start, [start], {"base": Before("sum", size)}, stretch)
     ends = rows.select(*keys, F.explode(F.array(F.col(start).cast("long"), F.col(end).cast("long"))).alias("at")).distinct()
     # every end lies in the merged interval with the last start that isn't beyond it
     both = flat.select(*keys, F.col(start).cast("long").alias("at"), F.lit(0).alias("kind"), F.col(start).cast("long").alias("s"), "base").unionByName(ends.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    filled = both.select(*keys, "at", "kind", F.last("s", True).over(order).alias("s"), F.last("base", True).over(order).alias("base"))
+    if stretch is None:
+        order = Window.partitionBy(*keys).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+        filled = both.select(*keys, "at", "kind", F.last("s", True).over(order).alias("s"), F.last("base", True).over(order).alias("base"))
+    else:
+        filled = running(both.withColumnsRenamed({"s": "s0", "base": "base0"}), keys, "at", ["at", "kind"], {"s": UpTo("last", F.col("s0")), "base": UpTo("last", F.col("base0"))}, stretch)
     return filled.where("kind = 1").select(*keys, "at", (F.col("base") + F.col("at") - F.col("s") + 1).cast("long").alias("covered"))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[str, str], b_span: tuple[str, str], width: int, how: str = "inner") -> DataFrame:
+#: Bins of one level are so many times as wide as those of the level below; the top level's are wider than any sequence.
+NEST, LEVELS = 16, 9
+
+
+def _level(start: str, end: str, width: int) -> Column:
+    """The lowest level whose bins are no shorter than an interval, which then lies in one of them or two."""
+    size = F.col(end) - F.col(start) + 1
+    return F.array_position(F.transform(F.array(*[F.lit(width * NEST**k) for k in range(LEVELS - 1)]), lambda w: w >= size), F.lit(True))
+
+
+def _binned(rows: DataFrame, start: str, end: str, width: int, other_levels: DataFrame, first: bool, salt: int) -> DataFrame:
+    """One row for each bin in which an interval is looked for.
+
+    A pair meets on the level of its longer interval, which is filed there only (role 1 if
+    the first side's is the longer or equal, else 2); the shorter one is filed on its own
+    level and on those above it that the other side has. Levels count from 1; the top one is 0.
+    """
+    level = _level(start, end, width)
+    level = F.when(level == 0, F.lit(LEVELS)).otherwise(level).cast("int")
+    at = rows.where(F.col(start) <= F.col(end)).withColumn("__own", level).crossJoin(F.broadcast(other_levels))  # one row
+    above = F.filter("__levels", lambda x: x > F.col("__own"))
+    own, up = (1, 2) if first else (2, 1)
+    places = [F.struct(F.col("__own").alias("level"), F.lit(own).alias("role"))]
+    shorter = F.transform(above, lambda x: F.struct(x.alias("level"), F.lit(up).alias("role")))
+    if not first:  # of equal levels the first side counts as the longer
+        places.append(F.struct(F.col("__own").alias("level"), F.lit(up).alias("role")))
+    at = at.withColumn("__place", F.explode(F.concat(F.array(*places), shorter))).drop("__own", "__levels")
+    wide = F.element_at(F.array(*[F.lit(width * NEST**k) for k in range(LEVELS)]), F.col("__place.level"))
+    at = at.withColumn("__wide", wide).withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / F.col("__wide")), F.floor(F.col(end) / F.col("__wide")))))
+    at = at.withColumns({"__level": F.col("__place.level"), "__role": F.col("__place.role")}).drop("__place")
+    if salt > 1:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))) if not first else F.pmod(F.xxhash64(start, end, F.monotonically_increasing_id()), F.lit(salt)).cast("int")
+        at = at.withColumn("__salt", salts)
+    return at
+
+
+def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[str, str], b_span: tuple[str, str], width: int, how: str = "inner", salt: int = 1) -> DataFrame:
     """Pairs of closed intervals that share a position.
 
-    Both sides are cut into bins of ``width`` positions and joined on keys and bin;
-    a pair is kept in the bin where its overlap begins, so no duplicates arise.
-    ``how``: inner, or left_semi and left_anti on the left side. Key columns of both
-    sides have the same names; other columns must differ.
+    Intervals are filed in nested bins: ``width`` positions on the lowest level, ``NEST``
+    times as many on each further one. An interval is filed on the level of its own length, in two
+    bins at most, and in one or two of each higher level that the other side has, so long and
+    short intervals together cost a few rows each. A pair is kept in the bin where its
+    overlap begins, so no duplicates arise. ``salt`` deals the left rows of every bin to so
+    many tasks, for places where very many intervals lie. ``how``: inner, or left_semi
+    and left_anti on the left side. Key columns of both sides have the same names; other
+    columns must differ. A row without a start or an end overlaps nothing.
     """
-    bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width)))
-    x = a.where(F.col(a_span[0]) <= F.col(a_span[1])).withColumn("__bin", bins(*a_span))
-    y = b.where(F.col(b_span[0]) <= F.col(b_span[1])).withColumn("__bin", bins(*b_span))
+    levels = lambda rows, s, e: rows.where(F.col(s) <= F.col(e)).agg(F.collect_set(F.when(_level(s, e, width) == 0, F.lit(LEVELS)).otherwise(_level(s, e, width)).cast("int")).alias("__levels"))
     meet = (F.col(a_span[0]) <= F.col(b_span[1])) & (F.col(b_span[0]) <= F.col(a_span[1]))
+    place = [*keys, "__level", "__role", "__bin", *(["__salt"] if salt > 1 else [])]
+    left = a if how == "inner" else a.withColumn("__id", F.monotonically_increasing_id())
+    x = _binned(left, *a_span, width, levels(b, *b_span), True, salt)
+    y = _binned(b, *b_span, width, levels(a, *a_span), False, salt).drop("__wide")
+    both = x.join(y, place).where(meet)
     if how == "inner":
-        first = F.floor(F.greatest(F.col(a_span[0]), F.col(b_span[0])) / width) == F.col("__bin")
-        return x.join(y, [*keys, "__bin"]).where(meet & first).drop("__bin")
-    marked = a.withColumn("__id", F.monotonically_increasing_id())
-    x = marked.where(F.col(a_span[0]) <= F.col(a_span[1])).withColumn("__bin", bins(*a_span))
-    hit = x.join(y, [*keys, "__bin"]).where(meet).select("__id").distinct()
-    return marked.join(hit, "__id", how).drop("__id")
+        first = F.floor(F.greatest(F.col(a_span[0]), F.col(b_span[0])) / F.col("__wide")) == F.col("__bin")
+        return both.where(first).drop(*place[len(keys) :], "__wide")
+    return left.join(both.select("__id").distinct(), "__id", how).drop("__id")
 
 
-def nearest_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[str, str], b_span: tuple[str, str], a_id: str) -> DataFrame:
+def nearest_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[str, str], b_span: tuple[str, str], a_id: str, stretch: int | None = None) -> DataFrame:
     """Each left row with the right rows at the least distance (0: overlapping); all ties.
 
     Of the right intervals that begin at or before the left one's end, the nearest
@@ -99,11 +156,15 @@ def nearest_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[
     left = a.select(*keys, F.col(e).alias("__at"), F.lit(1).alias("__kind"), F.col(a_id).alias("__id"), F.col(s).alias("__s"), F.col(e).alias("__e"))
     right = b.select(*keys, F.col(t).alias("__at"), F.lit(0).alias("__kind"), F.col(t).alias("__t"), F.col(u).alias("__u"))
     both = left.unionByName(right, allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy("__at", "__kind")
-    both = both.withColumn("__end", F.max("__u").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    # the rows behind are the rows before in the reverse order, whose minimum runs along
-    back = Window.partitionBy(*keys).orderBy(F.col("__at").desc(), F.col("__kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    both = both.withColumn("__start", F.min("__t").over(back)).where("__kind = 1")
+    if stretch is None:
+        order = Window.partitionBy(*keys).orderBy("__at", "__kind")
+        both = both.withColumn("__end", F.max("__u").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        # the rows behind are the rows before in the reverse order, whose minimum runs along
+        back = Window.partitionBy(*keys).orderBy(F.col("__at").desc(), F.col("__kind").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        both = both.withColumn("__start", F.min("__t").over(back))
+    else:
+        both = running(both, keys, "__at", ["__at", "__kind"], {"__end": UpTo("max", F.col("__u")), "__start": Behind("min", F.col("__t"))}, stretch)
+    both = both.where("__kind = 1")
     gap_before = F.when(F.col("__end").isNotNull(), F.greatest(F.lit(0), F.col("__s") - F.col("__end")))
     gap_after = F.col("__start") - F.col("__e")
     near = both.select(*keys, "__id", "__s", "__e", F.least(gap_before, gap_after).alias("distance")).where("distance is not null")
@@ -116,10 +177,14 @@ def nearest_join(a: DataFrame, b: DataFrame, keys: Sequence[str], a_span: tuple[
     return out.withColumnRenamed("__id", a_id).drop("__s", "__e")
 
 
-def without_contained(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end", ties: Sequence[str] = ()) -> DataFrame:
+def without_contained(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end", ties: Sequence[str] = (), stretch: int | None = None) -> DataFrame:
     """Drops intervals that end no later than one before them (by start, longest first)."""
-    order = Window.partitionBy(*keys).orderBy(F.col(start), F.col(end).desc(), *ties).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("__top", F.max(end).over(order)).where(F.col("__top").isNull() | (F.col(end) > F.col("__top"))).drop("__top")
+    if stretch is None:
+        order = Window.partitionBy(*keys).orderBy(F.col(start), F.col(end).desc(), *ties).rowsBetween(Window.unboundedPreceding, -1)
+        topped = rows.withColumn("__top", F.max(end).over(order))
+    else:
+        topped = running(rows, keys, start, [start, -F.col(end), *ties], {"__top": Before("max", F.col(end))}, stretch)
+    return topped.where(F.col("__top").isNull() | (F.col(end) > F.col("__top"))).drop("__top")
 
 
 def covered_length(rows: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:

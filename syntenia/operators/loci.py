@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +13,7 @@ from pyspark.sql.window import Window
 from syntenia.functions import coordinates
 from syntenia.functions.attributes import locus_id
 from syntenia.operators.alignments import gap_limit, islands
+from syntenia.operators.stretches import Beside, running
 from syntenia.options import Clustering, Expansion, Scoring
 
 
@@ -35,53 +39,106 @@ def passing(loci: DataFrame, options: Scoring = Scoring()) -> DataFrame:
     return loci.where((F.col("score") > options.min_score) & (F.col("pc_similarity") >= options.min_similarity))
 
 
-def _select(rows: pd.DataFrame, shrink: int) -> pd.DataFrame:
-    """Best score first; a locus that overlaps kept ones a little is shrunk, else dropped."""
-    rows = rows.sort_values(["score", "strand", "prot_id", "chr_start", "chr_end"], ascending=[False, True, True, True, True], kind="stable")
-    kept: list[tuple[int, int]] = []
-    out = []
-    clear = lambda s, e: all(e < a or s > b for a, b in kept)
-    for i, s, e in zip(rows.index, rows["chr_start"].tolist(), rows["chr_end"].tolist()):
-        left = right = False
-        if not clear(s, e) and e - s + 1 >= 10 * shrink and clear(s + shrink, e - shrink):
-            if clear(s + shrink, e):
-                left = True
-            elif clear(s, e - shrink):
-                right = True
-            elif e - s + 1 >= 20 * shrink:
-                left = right = True
-            s, e = s + shrink * left, e - shrink * right
-        if clear(s, e):
-            kept.append((s, e))
-            out.append((i, s, e, left, right))
-    got = rows.loc[[o[0] for o in out]].copy()
-    for k, name in enumerate(("chr_start", "chr_end", "shrink_left", "shrink_right")):
-        got[name] = [o[k + 1] for o in out]
-    return got
-
-
-def non_overlapping(loci: DataFrame, shrink: int = 60) -> DataFrame:
-    """Greedy choice by score on each sequence, over strands and proteins.
+class Disjoint:
+    """Closed intervals that share no position, in sorted runs; asking and adding take logarithmic time."""
+
+    RUN = 512
+
+    def __init__(self):
+        self.firsts: list[int] = []  # of the runs
+        self.runs: list[tuple[list[int], list[int]]] = []
+
+    def clear(self, s: int, e: int) -> bool:
+        """Whether no interval shares a position with s to e."""
+        return not self._last_end(e) >= s
+
+    def _last_end(self, at: int) -> float:
+        """The end of the last interval that starts at or before a position: none before it reaches further."""
+        k = bisect_right(self.firsts, at) - 1
+        if k < 0:
+            return float("-inf")
+        starts, ends = self.runs[k]
+        return ends[bisect_right(starts, at) - 1]
+
+    def add(self, s: int, e: int) -> None:
+        if not self.runs:
+            self.firsts, self.runs = [s], [([s], [e])]
+            return
+        k = max(0, bisect_right(self.firsts, s) - 1)
+        starts, ends = self.runs[k]
+        i = bisect_right(starts, s)
+        starts.insert(i, s)
+        ends.insert(i, e)
+        self.firsts[k] = starts[0]
+        if len(starts) > 2 * self.RUN:
+            half = len(starts) // 2
+            self.runs[k : k + 1] = [(starts[:half], ends[:half]), (starts[half:], ends[half:])]
+            self.firsts[k : k + 1] = [starts[0], starts[half]]
+
+
+def _placed(kept: Disjoint, s: int, e: int, shrink: int) -> tuple[int, int, bool, bool] | None:
+    """Where a locus goes beside the kept ones: as it is, or a little shrunk; None if nowhere."""
+    left = right = False
+    if not kept.clear(s, e) and e - s + 1 >= 10 * shrink and kept.clear(s + shrink, e - shrink):
+        if kept.clear(s + shrink, e):
+            left = True
+        elif kept.clear(s, e - shrink):
+            right = True
+        elif e - s + 1 >= 20 * shrink:
+            left = right = True
+        s, e = s + shrink * left, e - shrink * right
+    if not kept.clear(s, e):
+        return None
+    kept.add(s, e)
+    return s, e, left, right
+
+
+def _selected(batches: Iterable[pa.RecordBatch], shrink: int) -> Iterator[pa.RecordBatch]:
+    """The loci that are kept, from rows sorted by stretch and choice; only a stretch's kept intervals are held."""
+    at, kept = None, Disjoint()
+    for b in batches:
+        col = lambda name: b.column(b.schema.get_field_index(name)).to_pylist()  # noqa: B023, E731
+        rows, places = [], []
+        for i, (chr_id, part, s, e) in enumerate(zip(col("chr_id"), col("__part"), col("chr_start"), col("chr_end"))):
+            if (chr_id, part) != at:
+                at, kept = (chr_id, part), Disjoint()
+            if place := _placed(kept, s, e, shrink):
+                rows.append(i)
+                places.append(place)
+        got = b.take(pa.array(rows, pa.int64()))
+        new = dict(zip(("chr_start", "chr_end", "shrink_left", "shrink_right"), zip(*places) if places else [()] * 4))
+        names = [n for n in b.schema.names if n != "__part"]
+        cols = [pa.array(new[n], pa.int64()) if n in new else got.column(b.schema.get_field_index(n)) for n in names]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(new["shrink_left"], pa.bool_()), pa.array(new["shrink_right"], pa.bool_())], [*names, "shrink_left", "shrink_right"])
+
+
+def non_overlapping(loci: DataFrame, shrink: int = 60, stretch: int | None = None) -> DataFrame:
+    """Greedy choice by score on each sequence, over strands and proteins: best first, and a
+    locus that overlaps kept ones a little is shrunk, else dropped. Null scores come last.
 
     Loci that no chain of overlaps connects don't influence each other (shrinking
-    only narrows them), so each connected stretch is a group of its own.
+    only narrows them), so each connected stretch is decided by itself: one locus alone
+    in the engine, others stream through in order of choice beside the kept
+    intervals. ``stretch`` finds the stretches in parts of a sequence (see ``islands``).
     """
-    parts = islands(loci, ("chr_id",), "chr_start", "chr_end", F.lit(0), ("strand", "prot_id"), "__part")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in loci.schema)
-    names = [*loci.columns, "shrink_left", "shrink_right"]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return _select(rows, shrink)[names]
-
-    return parts.groupBy("chr_id", "__part").applyInPandas(run, f"{fields}, shrink_left boolean, shrink_right boolean")
+    rows = loci.withColumns({c: F.col(c).cast("long") for c in ("chr_start", "chr_end")})
+    parts = islands(rows, ("chr_id",), "chr_start", "chr_end", F.lit(0), ("strand", "prot_id"), "__part", stretch=stretch)
+    counted = parts.withColumn("__n", F.count("*").over(Window.partitionBy("chr_id", "__part")))
+    no = F.lit(False)
+    one = counted.where("__n = 1").drop("__n", "__part").withColumns({"shrink_left": no, "shrink_right": no})
+    score = F.desc_nulls_last(F.nanvl(F.col("score").cast("double"), F.lit(None).cast("double")))
+    many = counted.where("__n > 1").drop("__n").sortWithinPartitions("chr_id", "__part", score, "strand", "prot_id", "chr_start", "chr_end")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return one.unionByName(many.mapInArrow(lambda b: _selected(b, shrink), f"{fields}, shrink_left boolean, shrink_right boolean"))
 
 
 def wanted_expansion(loci: DataFrame, options: Expansion, genes: DataFrame | None = None) -> DataFrame:
     """Adds exp_left and exp_right, in sequence order.
 
-    A side on which more than ``missing_aa`` residues of the protein are missing
-    gets more room; with templates (gene, cds, longest_intron) as much as the
-    missing part takes there, too.
+    A start beyond residue ``missing_aa``, or an end with more than as many residues
+    behind it, gets more room; with templates (gene, cds, longest_intron) as much as the
+    missing part takes there, too. A residue that lies beyond its template's CDS fails
+    the job; a protein without a template gets no more room.
     """
     if genes is not None and options.use_template:
         g = genes.select(F.col("gene").alias("prot_id"), F.col("cds").alias("__cds"), F.col("longest_intron").alias("__intron"))
@@ -90,14 +147,19 @@ def wanted_expansion(loci: DataFrame, options: Expansion, genes: DataFrame | Non
     else:
         rows, long_ = loci, F.lit(options.incomplete)
     head, tail = F.col("prot_start") - 1, F.col("prot_len") - F.col("prot_end")
-    first = F.when(head > options.missing_aa, long_).otherwise(F.lit(options.default)).cast("long")
+    first = F.when(F.col("prot_start") > options.missing_aa, long_).otherwise(F.lit(options.default)).cast("long")
     last = F.when(tail > options.missing_aa, long_).otherwise(F.lit(options.default)).cast("long")
     if genes is not None and options.use_template:
-        at = lambda p: coordinates.genomic_position(F.col("__cds"), p, F.col("strand"))
+
+        def at(p: Column) -> Column:
+            found = coordinates.genomic_position(F.col("__cds"), p, F.col("strand"))
+            beyond = F.raise_error(F.concat(F.lit("no genomic position of residue "), p.cast("string"), F.lit(" of "), F.col("prot_id"))).cast("long")
+            return F.when(F.col("__cds").isNull() | found.isNotNull(), found).otherwise(beyond)
+
         edge = lambda low: F.when((F.col("strand") == -1) == F.lit(low), F.array_max(F.transform("__cds", lambda x: x["end"]))).otherwise(F.array_min(F.transform("__cds", lambda x: x["start"])))
         head_size = F.abs(at(F.least(F.col("prot_len"), F.col("prot_start") + options.template_margin)) - edge(True))
         tail_size = F.abs(edge(False) - at(F.greatest(F.lit(1), F.col("prot_end") - options.template_margin)))
-        room = lambda size, when: F.when(when, F.coalesce((size * options.margin_factor).cast("long"), F.lit(0))).otherwise(F.lit(0))
+        room = lambda size, when: F.when(when, F.coalesce(((size + 1) * options.margin_factor).cast("long"), F.lit(0))).otherwise(F.lit(0))
         first = F.greatest(first, room(head_size, head > 0))
         last = F.greatest(last, room(tail_size, tail > 0))
     rows = rows.withColumn("__first", first).withColumn("__last", last)
@@ -106,15 +168,22 @@ def wanted_expansion(loci: DataFrame, options: Expansion, genes: DataFrame | Non
     return rows.drop("__first", "__last", "__cds", "__intron")
 
 
-def expanded(loci: DataFrame) -> DataFrame:
+def expanded(loci: DataFrame, stretch: int | None = None) -> DataFrame:
     """Widens loci by exp_left and exp_right; neighbours share the gap between them.
 
     Each gap depends only on the two loci beside it before they grow: if it holds
     both wishes both get theirs; if one side wishes nothing or was shrunk there,
-    the other takes all; else it is split in proportion.
+    the other takes all; else it is split in proportion. With ``stretch`` a sequence's
+    loci are dealt out by stretches of so many positions.
     """
-    order = Window.partitionBy("chr_id").orderBy("chr_start", "chr_end", "strand", "prot_id")
-    lag, lead = (lambda c: F.lag(c).over(order)), (lambda c: F.lead(c).over(order))
+    by = ["chr_start", "chr_end", "strand", "prot_id"]
+    if stretch is None:
+        order = Window.partitionBy("chr_id").orderBy(*by)
+        lag, lead = (lambda c: F.lag(c).over(order)), (lambda c: F.lead(c).over(order))
+    else:
+        near = {f"__lag_{c}": Beside(F.col(c), -1) for c in ("chr_end", "exp_right", "shrink_right")} | {f"__lead_{c}": Beside(F.col(c), 1) for c in ("chr_start", "exp_left", "shrink_left")}
+        loci = running(loci, ["chr_id"], "chr_start", by, near, stretch)
+        lag, lead = (lambda c: F.col(f"__lag_{c}")), (lambda c: F.col(f"__lead_{c}"))
     left_gap = F.when(lag("chr_end").isNotNull(), F.greatest(F.lit(0), F.col("chr_start") - lag("chr_end") - 1))
     right_gap = F.when(lead("chr_start").isNotNull(), F.greatest(F.lit(0), lead("chr_start") - F.col("chr_end") - 1))
     share = lambda gap, r, l: F.floor(gap * r / (r + l))  # noqa: E731, E741
@@ -134,7 +203,7 @@ def expanded(loci: DataFrame) -> DataFrame:
     grow_left = F.when(left_gap.isNull(), mine).when(left_gap >= its + mine, mine).otherwise(left_gap - prev_part)
     next_part = to_previous(right_gap, F.col("exp_right"), lead("exp_left"), F.col("shrink_right"), lead("shrink_left"))
     grow_right = F.when(right_gap.isNull(), F.col("exp_right")).otherwise(next_part)
-    rows = loci.withColumn("__l", grow_left.cast("long")).withColumn("__r", grow_right.cast("long"))
+    rows = loci.withColumns({"__l": grow_left.cast("long"), "__r": grow_right.cast("long")}).drop(*[c for c in loci.columns if c.startswith(("__lag_", "__lead_"))])
     return rows.withColumn("chr_start", F.greatest(F.lit(0), F.col("chr_start") - F.col("__l"))).withColumn("chr_end", F.col("chr_end") + F.col("__r")).drop("__l", "__r")
 
 

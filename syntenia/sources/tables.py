@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from syntenia import schema
 from syntenia.functions.sequences import letters
 
+#: Letters of a chunk.
+CHUNK = 1 << 16
+
 
 def _tsv(spark: SparkSession, path: str, fields: str, encoding: str = "UTF-8", mode: str = "FAILFAST") -> DataFrame:
     return spark.read.schema(fields).options(sep="\t", comment="#", nullValue=".", mode=mode, encoding=encoding, ignoreTrailingWhiteSpace=True, quote="").csv(path)
@@ -23,9 +27,23 @@ def read_gff(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFra
     return lines.select(F.monotonically_increasing_id().alias("row_idx"), *cols)
 
 
-def read_hsps(spark: SparkSession, path: str, positive: bool = False) -> DataFrame:
-    """Tabular alignments of 13 columns, or 14 with ``positive``; a file or a folder of shards."""
-    return _tsv(spark, path, schema.HSP_POSITIVE if positive else schema.HSP, mode="PERMISSIVE")
+def read_hsps(spark: SparkSession, path: str, positive: bool = False, strict: bool = True) -> DataFrame:
+    """Tabular alignments of 13 columns, or 14 with ``positive``; a file or a folder of shards.
+
+    A job that reads a line with too few columns, or with a field that isn't a number
+    where one belongs, fails; an empty field is null. Without ``strict`` what can't be read is null.
+    """
+    fields = schema.HSP_POSITIVE if positive else schema.HSP
+    if not strict:
+        return _tsv(spark, path, fields, mode="PERMISSIVE")
+    kinds = [c.split() for c in fields.split(", ")]
+    line = F.regexp_replace("value", "\r$", "")
+    p = F.split(line, "\t", -1)
+    # the columns of strings are there in every line, so each line's width is looked at
+    wide = F.when(F.size(p) >= len(kinds), p).otherwise(F.raise_error(F.concat(F.lit(f"fewer than {len(kinds)} columns: "), "value")).cast("array<string>"))
+    rows = spark.read.text(path).where("trim(value) != '' and not startswith(value, '#')").select(wide.alias("p"))
+    text = lambda i: F.nullif(F.nullif(F.trim(F.get("p", i)), F.lit(".")), F.lit(""))
+    return rows.select(*(text(i).cast(kind).alias(name) for i, (name, kind) in enumerate(kinds)))
 
 
 def read_blast12(spark: SparkSession, path: str) -> DataFrame:
@@ -47,6 +65,52 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.regexp_extract(head, r"^\S+", 0).alias("seqid"), F.trim(F.regexp_replace(head, r"^\S+", "")).alias("description"), seq.alias("seq"), F.length(seq).cast("long").alias("len"))
 
 
+def read_fasta_chunks(spark: SparkSession, path: str, size: int = CHUNK) -> DataFrame:
+    """(seqid, chunk_no, seq): the sequences in pieces of ``size`` letters; no row or task holds a chromosome.
+
+    Files are read in Spark's byte ranges, line by line. What a range can't know - the record
+    that a line belongs to and its offset - comes from one row for each range: the letters
+    before it and the last header. Lines are then cut at the edges of the chunks they
+    lie in. A record without letters has one empty chunk; text before the first header is left
+    out; an id that stands twice fails the job. A file whose sequences aren't wrapped has
+    long lines: such a line is one row while it is read.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), F.monotonically_increasing_id().alias("n"), F.rtrim("value").alias("line")
+    )
+    is_head = F.startswith(F.col("line"), F.lit(">"))
+    seqid = F.regexp_extract("line", r"^>\s*(\S*)", 1)
+    lines = lines.select("file", "range", "n", F.when(is_head, seqid).alias("head"), F.when(is_head, F.lit("")).otherwise(F.regexp_replace("line", r"\s", "")).alias("seq"))
+    size_of = F.length("seq").cast("long")
+
+    here = Window.partitionBy("file", "range").orderBy("n")
+    local = lines.withColumn("at", F.coalesce(F.sum(size_of).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    record = F.when(F.col("head").isNotNull(), F.struct("head", F.col("at").alias("begins")))
+    local = local.withColumn("record", F.last(record, True).over(here.rowsBetween(Window.unboundedPreceding, 0)))
+
+    ends = local.groupBy("file", "range").agg(F.sum(size_of).alias("letters"), F.max_by("record", "n").alias("last"))
+    past = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("letters").over(past), F.lit(0))
+    carried = ends.withColumn("base", base).withColumn("last", F.when(F.col("last").isNotNull(), F.struct("last.head", (F.col("last.begins") + F.col("base")).alias("begins"))))
+    carried = carried.select("file", "range", "base", F.last("last", True).over(past).alias("before"))
+
+    whole = local.join(carried, ["file", "range"])
+    own = F.when(F.col("record").isNotNull(), F.struct("record.head", (F.col("record.begins") + F.col("base")).alias("begins")))
+    whole = whole.withColumn("of", F.coalesce(own, "before")).where("of is not null")
+    whole = whole.select("file", F.col("of.head").alias("seqid"), F.col("of.begins").alias("begins"), (F.col("base") + F.col("at") - F.col("of.begins")).alias("at"), "seq", (F.col("head").isNotNull()).alias("is_head"))
+    last = F.greatest(F.col("at"), F.col("at") + F.length("seq") - 1)
+    cut = whole.where("is_head or seq != ''").withColumn("chunk_no", F.explode(F.sequence(F.floor(F.col("at") / size).cast("int"), F.floor(last / size).cast("int"))))
+    low = F.greatest(F.col("at"), F.col("chunk_no").cast("long") * size)
+    piece = F.substring("seq", (low - F.col("at") + 1).cast("int"), (F.least(F.col("at") + F.length("seq"), (F.col("chunk_no").cast("long") + 1) * size) - low).cast("int"))
+    parts = cut.groupBy("file", "seqid", "begins", "chunk_no").agg(F.array_sort(F.collect_list(F.struct(low.alias("at"), F.col("is_head"), piece.alias("part")))).alias("parts"), F.max("is_head").alias("first"))
+    chunks = parts.select("seqid", "chunk_no", F.array_join(F.transform("parts", lambda x: x["part"]), "").alias("seq"))
+
+    heads = spark.read.text(path).where("startswith(value, '>')").select(F.regexp_extract("value", r"^>\s*(\S*)", 1).alias("twice"))
+    twice = heads.groupBy("twice").count().where("count > 1").select("twice").limit(1)
+    once = F.when(F.col("twice").isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("repeated sequence id "), "twice")).cast("boolean"))
+    return chunks.join(F.broadcast(twice), F.lit(True), "left").where(once).drop("twice")  # one row at most
+
+
 def unique_ids(fasta: DataFrame) -> DataFrame:
     """The same records; a job that reads them fails if an id stands twice."""
     n = fasta.groupBy("seqid").agg(F.count("*").alias("__n"))
@@ -62,7 +126,9 @@ def chunked(fasta: DataFrame, size: int = 1 << 20) -> DataFrame:
 
 
 def fasta_index(fasta: DataFrame) -> DataFrame:
-    """(seqid, len)."""
+    """(seqid, len) of records or of chunks."""
+    if "chunk_no" in fasta.columns:
+        return fasta.groupBy("seqid").agg(F.sum(F.length("seq").cast("long")).alias("len"))
     return fasta.groupBy("seqid").agg(F.max("len").alias("len"))
 
 
