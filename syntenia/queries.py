@@ -19,7 +19,8 @@ from syntenia.functions import intervals as iv
 from syntenia.functions import sequences as sq
 from syntenia.operators import alignments, chaining, evaluation, features, loci, prediction, regions, validation
 from syntenia.operators import intervals as ops
-from syntenia.options import Clustering, Expansion, Scoring
+from syntenia.options import Clustering, Expansion, LocusOptions, Scoring
+from syntenia.plans.candidate_loci import find_candidate_loci
 from syntenia.sources import sinks
 
 GAP = 400
@@ -604,14 +605,54 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
     return s.select("user_id", F.unix_timestamp("start").alias("start"), F.unix_timestamp("end").alias("end"), "n")
 
 
+def _genes(spark: SparkSession, d: str, exons, strand) -> DataFrame:
+    """A resolved annotation with a gene for each supplier; ``exons``: array of structs (start, end)."""
+    s = _read(spark, d, "supplier")
+    gene = F.concat(F.lit("ID="), F.col("s_suppkey").cast("string"))
+    row = lambda kind, at, text: F.struct(F.lit(kind).alias("type"), at["start"].cast("long").alias("start"), at["end"].cast("long").alias("end"), text.alias("attributes"))
+    hull = F.struct(exons[0]["start"].alias("start"), F.element_at(exons, -1)["end"].alias("end"))
+    child = lambda tag: F.concat(F.lit(f"ID={tag}"), F.col("s_suppkey").cast("string"), F.lit(";Parent="), F.lit("" if tag == "m" else "m"), F.col("s_suppkey").cast("string"))
+    rows = F.concat(F.array(row("gene", hull, gene), row("mRNA", hull, child("m"))), F.transform(exons, lambda x: row("CDS", x, child("c"))))
+    seqid = F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    at = s.select("s_suppkey", seqid.alias("seqid"), strand.alias("strand"), F.posexplode(rows).alias("k", "r"))
+    none = F.lit(None)
+    return features.resolved(at.select((F.col("s_suppkey") * 100 + F.col("k")).cast("long").alias("row_idx"), "seqid", F.lit("driver").alias("source"), "r.type", "r.start", "r.end", none.cast("string").alias("score"), "strand", none.cast("long").alias("phase"), "r.attributes"))
+
+
+def _with_names(found: DataFrame) -> DataFrame:
+    return loci.with_ids(found).select("locus_id", "chr_id", "strand", "prot_id", "chr_start", "chr_end", F.round("score", 6).alias("score"))
+
+
 @query("candidate_loci")
 def candidate_loci(spark: SparkSession, d: str) -> DataFrame:
-    """Islands to chains, scores, selection and expansion; chaining has no SQL form."""
-    c = chaining.chain_islands(_islands(spark, d), Scoring())
-    genes = _read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("gene"), F.lit(1).cast("long").alias("start"), F.lit(900).cast("long").alias("end"), F.lit(300).cast("long").alias("longest_intron"))
-    s = Scoring(min_score=1, min_similarity=0.02)
-    kept = loci.non_overlapping(loci.passing(loci.scored(c, genes, Clustering(max_gap=GAP), s), s))
-    return loci.with_ids(loci.expanded(loci.wanted_expansion(kept, Expansion()))).select("locus_id", "chr_id", "strand", "prot_id", "chr_start", "chr_end", F.round("score", 6).alias("score"))
+    """The whole plan, alignments and annotation to widened loci; chaining has no SQL form, tests compare with brute force."""
+    span = lambda a, b: F.struct(F.lit(a).alias("start"), F.lit(b).alias("end"))
+    genes = _genes(spark, d, F.array(span(1, 300), span(601, 900)), F.lit("+"))
+    options = LocusOptions(Clustering(max_gap=GAP), Scoring(min_score=1, min_similarity=0.02), Expansion())
+    return _with_names(find_candidate_loci(hsp_view(spark, d), genes, options))
+
+
+#: The nearest that an island may lie to its own gene, and the sequences that are searched.
+OWN_DISTANCE, SEARCHED = 3000, ("A", "R")
+
+
+def template_genes(spark: SparkSession, d: str) -> DataFrame:
+    """Genes of one to three exons, 1233 letters in all, with introns of up to 900."""
+    k = F.col("s_suppkey")
+    n = (k % 3 + 1).cast("int")
+    size, gap = F.floor(F.lit(1233) / n), k % 10 * 100
+    first = k * 9770 % 200_000 + 20_000
+    exons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((first + 1 + i * (size + gap)).alias("start"), (first + i * (size + gap) + size).alias("end")))
+    return _genes(spark, d, exons, F.when(k % 2 == 0, F.lit("+")).otherwise(F.lit("-")))
+
+
+TEMPLATE_OPTIONS = LocusOptions(Clustering(max_gap=GAP, min_distance=OWN_DISTANCE), Scoring(min_score=1, min_similarity=0.02), Expansion(use_template=True))
+
+
+@query("candidate_loci_by_template")
+def candidate_loci_by_template(spark: SparkSession, d: str) -> DataFrame:
+    """The plan with room by templates, without islands near their own gene, on some sequences; tests compare with brute force."""
+    return _with_names(find_candidate_loci(hsp_view(spark, d), template_genes(spark, d), TEMPLATE_OPTIONS, SEARCHED))
 
 
 def queries() -> dict[str, Query]:
