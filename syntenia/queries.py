@@ -633,15 +633,15 @@ def candidate_loci(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: The nearest that an island may lie to its own gene, and the sequences that are searched.
-OWN_DISTANCE, SEARCHED = 3000, ("A", "R")
+OWN_DISTANCE, SEARCHED = 20_000, ("A", "R")
 
 
 def template_genes(spark: SparkSession, d: str) -> DataFrame:
-    """Genes of one to three exons, 1233 letters in all, with introns of up to 900."""
+    """Genes of one to three exons, 1233 letters in all, with introns of up to 3600."""
     k = F.col("s_suppkey")
     n = (k % 3 + 1).cast("int")
-    size, gap = F.floor(F.lit(1233) / n), k % 10 * 100
-    first = k * 9770 % 200_000 + 20_000
+    size, gap = F.floor(F.lit(1233) / n), k % 10 * 400
+    first = k * 9770 % 240_000 + 110_000
     exons = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((first + 1 + i * (size + gap)).alias("start"), (first + i * (size + gap) + size).alias("end")))
     return _genes(spark, d, exons, F.when(k % 2 == 0, F.lit("+")).otherwise(F.lit("-")))
 
