@@ -27,8 +27,10 @@ that need them.
 
 An index list yields one star of candidates first; once components are known, only
 members of different components are compared. Nodes that first meet in a crowded
-list share no shingle that few nodes hold, so they differ in all of those: the
-numbers of such shingles exclude nearly all pairs of a crowd that its star leaves.
+list share no shingle that few nodes hold, so they differ in all of those. A crowd
+that its star leaves in many components is cut into tiles by size and hash; sketches
+and the numbers of such shingles are compared inside a pair of tiles, so rows arise for
+likely partners only, however many texts of the crowd are just below the threshold.
 
 Candidates that parity sketches don't exclude (the bits in which two sketches
 differ are never more than the shingles in which the sets do) are verified exactly:
@@ -42,7 +44,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -58,6 +60,8 @@ SLICE = 256
 LEAST_BITS, MOST_BITS = 8, 16
 #: Sets that one task compares with a leader before another task takes over.
 BESIDE = 512
+#: Members of a crowd whose sketches are compared with those of as many others at once.
+TILE = 256
 #: Bytes of an Arrow batch that carries whole sets.
 SENT = 4 << 20
 #: Stands for a null doc_id, so that it comes last.
@@ -448,7 +452,7 @@ def _classified(docs: DataFrame, scratch: common.Scratch) -> DataFrame:
     first = linked(pairs, "links")
     roots = rooted(first)
     marks = rare.where(F.col("held") > CROWD).select("node", "n", "cold").distinct()
-    more = _across_lists(lists, roots).union(_across_crowds(crowds, marks, roots, scratch)).distinct()
+    more = _across_lists(lists, roots).union(_across_crowds(crowds, marks, roots, sketches, scratch)).distinct()
     for x, y in (("a", "b"), ("b", "a")):
         more = more.join(pairs.select(F.col(x).alias("a"), F.col(y).alias("b")), ["a", "b"], "left_anti")
     second = linked(scratch.write(more, "more"), "links-across")
@@ -488,24 +492,75 @@ def _across_lists(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _across_crowds(crowds: DataFrame, marks: DataFrame, roots: DataFrame, scratch: common.Scratch) -> DataFrame:
+def _class_of(n: Column) -> Column:
+    """Sizes of linked sets are in one class or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / PERCENT)) + 1e-9).cast("int")
+
+
+def _across_crowds(crowds: DataFrame, marks: DataFrame, roots: DataFrame, sketches: DataFrame, scratch: common.Scratch) -> DataFrame:
     """Pairs of one crowd in different components that may link though they share no shingle that few hold.
 
-    Such sets differ in their cold shingles and, of the others, at least by number.
+    Only members outside the leader's component are compared with others.
     """
     v = _rooted(crowds.select(F.col("a").alias("leader"), F.col("b").alias("node")).join(marks, "node"), roots)
     led = _rooted(crowds.select(F.col("a").alias("leader")).distinct(), roots, "leader").withColumnRenamed("root", "leader_root")
-    v = scratch.write(v.join(led, "leader").withColumn("out", F.col("root") != F.col("leader_root")), "crowd-members")
-    kinds = v.groupBy("leader", "n", "cold").agg(F.max("out").alias("out"))
-    differ = "x.cold + y.cold + abs(x.n - x.cold - y.n + y.cold)"
-    near = kinds.where("out").alias("x").join(kinds.alias("y"), F.expr(f"x.leader = y.leader and (100 + {PERCENT}) * ({differ}) <= (100 - {PERCENT}) * (x.n + y.n)"))
-    near = near.select("x.leader", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("n", "cold")]).alias("k")
-    same = lambda s: F.expr(f"k.leader = {s}.leader and k.{s}_n = {s}.n and k.{s}_cold = {s}.cold")
-    found = near.join(v.where("out").alias("x"), same("x")).join(v.alias("y"), same("y") & F.expr("x.root != y.root"))
-    return found.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    v = v.join(led, "leader").withColumn("out", F.col("root") != F.col("leader_root")).withColumn("class", _class_of(F.col("n")))
+    v = scratch.write(v.select("leader", "class", "out", "node", "root", "n", "cold"), "crowd-members")
+    open_ = common.few(v.where("out").select("leader").distinct())
+    v = v.join(open_, "leader", "left_semi")
+    tile = ["leader", "class", "out", "part"]
+    sized = v.groupBy("leader", "class", "out").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    v = v.join(common.few(sized), ["leader", "class", "out"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    v = v.join(sketches.select("node", "sketch"), "node")
+    tiles = scratch.write(v.groupBy(*tile).agg(F.collect_list(F.struct("node", "root", "n", "cold", "sketch")).alias("members")), "tiles")  # about TILE members
+    x = tiles.where("out").select("leader", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)])).alias("class"), F.col("class").alias("x_class"), F.col("part").alias("x_part"))
+    # of two tiles outside the leader's component each pair once
+    pairs = x.join(tiles.select(*tile), ["leader", "class"]).where("not out or struct(x_class, x_part) <= struct(class, part)")
+    first = tiles.where("out").select("leader", F.col("class").alias("x_class"), F.col("part").alias("x_part"), F.col("members").alias("x"))
+    both = pairs.join(first, ["leader", "x_class", "x_part"]).join(tiles.withColumnRenamed("members", "y"), tile)
+    return both.select("x", "y").mapInArrow(_near_tiles, "a long, b long").distinct()
+
+
+def _tile(members: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(numbers, sketches) of a tile's members by the length of their sketches; numbers: node, root, n, cold."""
+    by: dict[int, list[dict]] = {}
+    for m in members:
+        by.setdefault(len(m["sketch"]), []).append(m)
+    for part in by.values():
+        yield np.array([(m["node"], m["root"], m["n"], m["cold"]) for m in part], np.int64), np.array([np.frombuffer(m["sketch"], np.uint64) for m in part])
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Sketches of fewer buckets."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _near_tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of two tiles, of different components, that sizes, cold shingles and sketches don't exclude."""
+    for batch in batches:
+        found = [np.empty((0, 2), np.int64)]
+        for r in range(batch.num_rows):
+            xs, ys = list(_tile(batch.column(0)[r].as_py())), list(_tile(batch.column(1)[r].as_py()))
+            for (u, x), (v, y) in ((p, q) for p in xs for q in ys):
+                words = min(x.shape[1], y.shape[1])
+                x_, y_ = _folded(x, words), _folded(y, words)
+                for i, (node, root, n, cold) in enumerate(u.tolist()):
+                    both, least, most = n + v[:, 2], np.minimum(n, v[:, 2]), np.maximum(n, v[:, 2])
+                    differ = cold + v[:, 3] + np.abs(n - cold - v[:, 2] + v[:, 3])
+                    may = np.flatnonzero((v[:, 1] != root) & (PERCENT * most <= 100 * least) & ((100 + PERCENT) * differ <= (100 - PERCENT) * both))
+                    if len(may):
+                        apart_ = np.bitwise_count(x_[i] ^ y_[may]).sum(1, dtype=np.int64)
+                        may = may[(100 + PERCENT) * apart_ <= (100 - PERCENT) * both[may]]
+                        found.append(np.stack([np.minimum(node, v[may, 0]), np.maximum(node, v[may, 0])], 1))
+        out = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates of ``documents``; edge cases as in ``classes``."""
     return classes(common.table(spark, sf_dir, "documents"))
 
 

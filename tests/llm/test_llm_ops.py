@@ -424,6 +424,28 @@ def test_large_group_and_a_chain_without_a_leader(spark):
     assert got == dict(enumerate(brute_classes(texts)))
 
 
+@pytest.mark.parametrize("n", [150, 500])
+def test_a_crowd_just_below_the_threshold_gives_few_candidates(spark, monkeypatch, n):
+    """Texts of 17 out of 24 shared passages: nearly all pairs share most, few link, and a few edited copies do."""
+    rnd = random.Random(n)
+    passages = [" ".join(f"p{k}x{i}" for i in range(100)) for k in range(24)]
+    texts = [" ".join(passages[k] for k in sorted(rnd.sample(range(24), 17))) for _ in range(n)]
+    texts += [t.replace("p3x50", f"e{i}").replace("p9x20", f"f{i}") for i, t in enumerate(texts[:20])]
+    made = []
+    plain = jaccard_join._across_crowds
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "TILE", 64)
+    monkeypatch.setattr(jaccard_join, "_across_crowds", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(docs(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_classes(texts)))
+    assert made and made[0] <= 5 * n  # all pairs would be n * n / 2
+
+
 def test_rows_without_an_id_and_shared_ids(spark):
     base = " ".join(f"w{i}" for i in range(60))
     near, other = base.replace("w59", "x"), "quite another text with words of its own"
