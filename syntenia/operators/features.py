@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from syntenia.functions import attributes as at
+from syntenia.functions.ordering import natural_key
 
 
 def with_ids(rows: DataFrame) -> DataFrame:
@@ -135,3 +136,34 @@ def ordinal(rows: DataFrame, parent: str, start: str = "start", ties: tuple[str,
 def type_counts(features: DataFrame) -> DataFrame:
     """One row: genes, CDS and exon rows."""
     return features.agg(*(F.count_if(F.col("type").contains(k)).alias(f"n_{k.lower()}") for k in ("gene", "CDS", "exon")))
+
+
+def natural_order(rows: DataFrame) -> DataFrame:
+    """Rows by sequence and start as a version sort has them, at one start the gene row first, then by type."""
+    kind = F.when(F.col("type") == "gene", F.lit("")).otherwise(F.col("type"))
+    return rows.orderBy(natural_key(F.col("seqid")), "start", kind)
+
+
+def exons_match(exons: Column, cds: Column, compat: bool = True) -> Column:
+    """Whether exons (array of start, end, in order) have CDS with their starts and ends; false if either list is empty.
+
+    The established result carries its two marks from exon to exon: it says no at the
+    first exon where one is still missing, so all depends on the first exon. With
+    ``compat`` off every exon needs a CDS with its start and one with its end.
+    """
+    marks = F.struct(F.lit(False).alias("start"), F.lit(False).alias("end"), F.lit(True).alias("ok"))
+
+    def step(at: Column, x: Column) -> Column:
+        carried = (lambda c: at[c]) if compat else (lambda c: F.lit(False))
+        start = carried("start") | F.exists(cds, lambda y: y["start"] == x["start"])
+        end = carried("end") | F.exists(cds, lambda y: y["end"] == x["end"])
+        return F.struct(start.alias("start"), end.alias("end"), (at["ok"] & start & end).alias("ok"))
+
+    return F.coalesce((F.size(exons) > 0) & (F.size(cds) > 0) & F.aggregate(exons, marks, step, lambda at: at["ok"]), F.lit(False))
+
+
+def joined_cds(cds: Column, first: Column, second: Column) -> Column:
+    """``cds`` with the interval at place ``first`` drawn out to the end of that at ``second``, which goes; places count from 1."""
+    end = F.element_at(cds, second)["end"]
+    drawn = F.transform(cds, lambda x, i: F.struct(x["start"].alias("start"), F.when(i + 1 == first, end).otherwise(x["end"]).alias("end"), (i + 1 == second).alias("gone")))
+    return F.transform(F.filter(drawn, lambda x: ~x["gone"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from syntenia.functions.ordering import natural_key
 from syntenia.operators.alignments import islands
 
 MARGIN, WIDE_MARGIN = 300, 3000
@@ -48,3 +50,160 @@ def without_nested(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drops hits that lie inside the last kept one: inside the furthest end so far."""
     order = Window.partitionBy(*keys).orderBy(F.col("loc_startS"), F.col("loc_endS").desc(), "prot_start").rowsBetween(Window.unboundedPreceding, -1)
     return hits.withColumn("__top", F.max("loc_endS").over(order)).where("__top is null or loc_endS > __top").drop("__top")
+
+
+#: Fixed values of the two passes: identities of either, gap and its stretch, residues that may overlap, what a run must reach.
+STRICT, LOOSE = (65.0, 100.0), (45.0, 65.0)
+LEAST_GAP, MORE_GAP, SHARED = 5000, 500, 100
+COVERED, ALIKE = 0.6, 50.0
+HIT = ("line", "prot_id", "chr_id", "prot_len", "length", "prot_start", "prot_end", "loc_start", "loc_end", "nident", "pident", "gapopen", "evalue", "bitscore", "max_intron")
+_HIT_SCHEMA = "line long, prot_id string, chr_id string, prot_len long, length long, prot_start long, prot_end long, loc_start long, loc_end long, nident long, pident double, gapopen long, evalue double, bitscore double, max_intron long"
+
+
+def _follows(h: dict, last: dict) -> bool:
+    """Whether a hit goes on where the run before it ends, on the same protein, sequence and strand."""
+    plus = h["loc_start"] < h["loc_end"]
+    if h["prot_id"] != last["prot_id"] or h["chr_id"] != last["chr_id"] or plus != (last["loc_start"] < last["loc_end"]):
+        return False
+    gap = h["max_intron"] + MORE_GAP if h["max_intron"] > LEAST_GAP else LEAST_GAP
+    if plus:
+        onward = h["prot_end"] > last["prot_end"] and last["prot_end"] < h["prot_start"] + SHARED
+    else:
+        onward = h["prot_start"] < last["prot_start"] and h["prot_end"] < last["prot_start"] + SHARED
+    return onward and (h["loc_start"] - last["loc_end"] < gap or h["loc_end"] - last["loc_start"] < gap)
+
+
+def _with(h: dict, last: dict) -> dict:
+    """A run and a hit as one; it is filed where the run began."""
+    low, high = (min, max) if h["loc_start"] < h["loc_end"] else (max, min)
+    out = h | {c: h[c] + last[c] for c in ("length", "nident", "gapopen", "bitscore")}
+    out |= {"line": last["line"], "prot_start": min(h["prot_start"], last["prot_start"]), "prot_end": max(h["prot_end"], last["prot_end"])}
+    out |= {"loc_start": low(h["loc_start"], last["loc_start"]), "loc_end": high(h["loc_end"], last["loc_end"])}
+    return out | {"pident": out["nident"] / out["length"] * 100}
+
+
+def _joined(hits: Iterable[dict], last_line: int) -> Iterator[dict]:
+    """Runs of hits in line order; those that cover or resemble too little go, but the run of the table's last line stays."""
+    run, upto = None, -1
+    for h in hits:
+        if run is not None and _follows(h, run):
+            run = _with(h, run)
+        else:
+            if run is not None and (upto == last_line or _good(run)):
+                yield run
+            run = h
+        upto = h["line"]
+    if run is not None and (upto == last_line or _good(run)):
+        yield run
+
+
+def _good(run: dict) -> bool:
+    return (run["prot_end"] - run["prot_start"] + 1.0) / run["prot_len"] >= COVERED and run["pident"] >= ALIKE
+
+
+def _beyond(hits: Iterable[dict]) -> Iterator[dict]:
+    """Hits that reach beyond the last kept one of their protein, sequence and strand."""
+    last = None
+    for h in hits:
+        plus = h["loc_start"] < h["loc_end"]
+        same = last is not None and (h["prot_id"], h["chr_id"], plus) == (last["prot_id"], last["chr_id"], last["loc_start"] < last["loc_end"])
+        if not same or plus and h["loc_end"] > last["loc_end"] or h["loc_start"] > h["loc_end"] and h["loc_start"] > last["loc_start"]:
+            last = h
+            yield h
+
+
+def two_pass_hits(hits: DataFrame, introns: DataFrame | None = None) -> DataFrame:
+    """Runs of hits, strict ones joined first and looser ones joined to what the first pass left.
+
+    ``hits``: alignments with ``line``, their place in the table, in which a protein's hits
+    stand together; ``introns``: (prot_id, max_intron), which stretches the gap that a run may span. A
+    hit goes on in the run before it if it is of the same protein, sequence and strand, lies further along and not
+    too far. The second pass takes the runs of the first and the hits of ``LOOSE`` identity by line (such a hit
+    takes the place of a run that begins in its line), drops what lies inside the last kept hit, and
+    joins again. Each protein's hits stream through by line; one run is held.
+    """
+    rows = hits if introns is None else hits.join(introns, "prot_id", "left")
+    rows = rows.withColumn("max_intron", F.coalesce(F.col("max_intron") if introns is not None else F.lit(0), F.lit(0)).cast("long")).select(*HIT)
+
+    def passed(df: DataFrame, steps) -> DataFrame:
+        last = df.agg(F.max("line").alias("last_line"))
+        placed = df.crossJoin(F.broadcast(last)).repartition("prot_id").sortWithinPartitions("prot_id", "line")  # one row
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last_line: list[int] = []
+
+            def each() -> Iterator[dict]:
+                for b in batches:
+                    for h in b.to_pylist():
+                        last_line[:] = [h.pop("last_line")]
+                        yield h
+
+            held: list[dict] = []
+            source = each()
+            first = next(source, None)
+            if first is None:
+                return
+
+            def every() -> Iterator[dict]:
+                yield first
+                yield from source
+
+            for h in steps(every(), last_line[0]):
+                held.append(h)
+                if len(held) == 4096:
+                    yield pa.RecordBatch.from_pylist(held, _ARROW)
+                    held = []
+            if held:
+                yield pa.RecordBatch.from_pylist(held, _ARROW)
+
+        return placed.mapInArrow(run, _HIT_SCHEMA)
+
+    strict = passed(rows.where(F.col("pident").between(*STRICT)), _joined)
+    loose = rows.where(F.col("pident").between(*LOOSE))
+    both = strict.join(loose.select("line"), "line", "left_anti").unionByName(loose)
+    return passed(passed(both, lambda rows, _: _beyond(rows)), _joined).drop("max_intron")
+
+
+_ARROW = pa.schema([(c, {"string": pa.string(), "double": pa.float64()}.get(t, pa.int64())) for c, t in (f.split() for f in _HIT_SCHEMA.split(", "))])
+
+
+def merged_protein_hits(hits: DataFrame, compat: bool = True) -> DataFrame:
+    """One row for each run of hits of a pair, (qseqid, sseqid) in version order of query and subject start.
+
+    A hit that goes on behind the run's first one (at most ``BACK`` residues before its ends) is
+    merged with it: length less the overlap, starts of the first, identities of both. The established
+    result (``compat``) measures every hit against the run's first one, keeps the last that goes on,
+    and takes the length of the table's very first hit. Otherwise the run's state is carried from hit to hit.
+    ``hits``: qseqid, sseqid, qlen, length, qstart, qend, sstart, send, nident, pident.
+    """
+    spot = F.struct(natural_key(F.col("qseqid")).alias("q"), F.col("sstart").alias("at"), "qseqid", "sseqid", "qstart", "qend", "send", "length", "nident")
+    rows = hits.withColumn("__spot", spot)
+    by_query = Window.partitionBy("qseqid").orderBy("__spot")
+    new = F.coalesce(F.lag("sseqid").over(by_query) != F.col("sseqid"), F.lit(True)).cast("int")
+    rows = rows.withColumn("__new", new).withColumn("__run", F.sum("__new").over(by_query.rowsBetween(Window.unboundedPreceding, 0)))
+    hit = F.struct("length", "qstart", "qend", "sstart", "send", "nident", "pident")
+    keys = ["qseqid", "__run"]
+    on = lambda h, f: (h["sstart"] >= f["send"] - BACK) & (h["send"] > f["send"]) & (h["qstart"] > (F.lit(0) if compat else f["qstart"])) & (h["qstart"] > f["qend"] - BACK)
+    if compat:
+        first = rows.groupBy(*keys).agg(F.min_by(F.struct("sseqid", "qlen", hit.alias("f")), "__spot").alias("head"))
+        origin = rows.agg(F.min_by("length", "__spot").alias("origin"))
+        met = rows.where("__new = 0").join(first, keys).where(on(hit, F.col("head.f")))
+        last = met.groupBy(*keys).agg(F.max_by(hit, "__spot").alias("h"))
+        both = first.join(last, keys, "left").crossJoin(F.broadcast(origin))  # one row
+        f, h = F.col("head.f"), F.col("h")
+        length = h["length"] + F.col("origin") - (f["send"] - h["sstart"])
+        merged = F.struct(length.alias("length"), f["qstart"].alias("qstart"), h["qend"].alias("qend"), f["sstart"].alias("sstart"), h["send"].alias("send"), (h["nident"] + f["nident"]).alias("nident"), ((h["nident"] + f["nident"]) / length * 100).alias("pident"))
+        return both.select("qseqid", "head.sseqid", "head.qlen", F.when(h.isNotNull(), merged).otherwise(f).alias("m")).select("qseqid", "sseqid", "qlen", "m.*")
+
+    def step(at: Column, h: Column) -> Column:
+        length, n = h["length"] + at["length"] - (at["send"] - h["sstart"]), h["nident"] + at["nident"]
+        merged = F.struct(length.alias("length"), at["qstart"].alias("qstart"), h["qend"].alias("qend"), at["sstart"].alias("sstart"), h["send"].alias("send"), n.alias("nident"), (n / length * 100).alias("pident"))
+        return F.when(on(h, at), merged).otherwise(at)
+
+    runs = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__spot", "sseqid", "qlen", hit.alias("f")))).alias("hits"))
+    folded = F.aggregate(F.slice(F.transform("hits", lambda x: x["f"]), 2, F.size("hits")), F.col("hits")[0]["f"], step)
+    return runs.select("qseqid", F.col("hits")[0]["sseqid"].alias("sseqid"), F.col("hits")[0]["qlen"].alias("qlen"), folded.alias("m")).select("qseqid", "sseqid", "qlen", "m.*")
+
+
+#: Fixed value: residues by which a hit may begin before the run's end.
+BACK = 30

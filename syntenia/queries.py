@@ -12,11 +12,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from syntenia.functions import attributes as at
 from syntenia.functions import coordinates
 from syntenia.functions import intervals as iv
 from syntenia.functions import sequences as sq
+from syntenia.functions.ordering import natural_key
 from syntenia.operators import alignments, chaining, evaluation, features, loci, prediction, regions, validation
 from syntenia.operators import intervals as ops
 from syntenia.options import Clustering, Expansion, LocusOptions, Scoring
@@ -605,6 +607,104 @@ def event_sessions(spark: SparkSession, d: str) -> DataFrame:
     return s.select("user_id", F.unix_timestamp("start").alias("start"), F.unix_timestamp("end").alias("end"), "n")
 
 
+@query("two_pass_hits")
+def two_pass_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Alignments by protein and place, joined in two passes of identity; tests compare with a loop."""
+    h = hsp_view(spark, d)
+    line = F.col("prot_id").cast("long") * 1_000_000_000_000 + F.least("loc_start", "loc_end") * 1_000_000 + F.col("hit") % 1_000_000
+    h = h.withColumns({"line": line, "pident": 45 + F.col("nident") % 51 * 1.0, "prot_len": F.lit(60).cast("long"), "gapopen": F.lit(1).cast("long"), "evalue": F.lit(0.0), "bitscore": F.round("bitscore", 0)})
+    introns = _read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("prot_id"), (F.col("s_suppkey") % 3 * 4000).alias("max_intron"))
+    return regions.two_pass_hits(h, introns).drop("evalue")
+
+
+def protein_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines as hits of proteins (customers' numbers modulo 97) on suppliers."""
+    li = _read(spark, d, "lineitem")
+    n = F.col("l_quantity").cast("long") + 5
+    q, s = (F.col("l_partkey") % 180).cast("long"), (F.col("l_orderkey") % 190).cast("long")
+    at = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    return li.select(
+        F.concat(F.lit("Q"), (F.col("l_partkey") % 23).cast("string")).alias("qseqid"), F.concat(F.lit("S"), (F.col("l_suppkey") % 3).cast("string")).alias("sseqid"), F.lit(240).cast("long").alias("qlen"),
+        (n * 1000 + at % 1000).alias("length"), (q + 1).alias("qstart"), (q + n).alias("qend"), (s + 1).alias("sstart"), (s + n).alias("send"), n.alias("nident"), (n * 1.0).alias("pident"),
+    ).distinct()
+
+
+PROTEIN_HITS_SQL = """hits AS (SELECT DISTINCT 'Q' || (l_partkey % 23) AS qseqid, 'S' || (l_suppkey % 3) AS sseqid, l_partkey % 23 AS qn, CAST(240 AS BIGINT) AS qlen, n * 1000 + (l_orderkey * 10 + l_linenumber) % 1000 AS length,
+    l_partkey % 180 + 1 AS qstart, l_partkey % 180 + n AS qend, l_orderkey % 190 + 1 AS sstart, l_orderkey % 190 + n AS send, n AS nident
+  FROM (SELECT *, CAST(l_quantity AS BIGINT) + 5 AS n FROM lineitem)),
+o AS (SELECT *, row_number() OVER (ORDER BY qn, sstart, sseqid, qstart, qend, send, length, nident) AS k FROM hits),
+r AS (SELECT *, sum(CASE WHEN p = sseqid THEN 0 ELSE 1 END) OVER (PARTITION BY qn ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(sseqid) OVER (PARTITION BY qn ORDER BY k) AS p FROM o))"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select("qseqid", "sseqid", "qlen", "length", "qstart", "qend", "sstart", "send", "nident", F.round("pident", 6).alias("pident"))
+
+
+@query(
+    "merged_protein_hits",
+    f"""WITH {PROTEIN_HITS_SQL}, f AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY qn, run ORDER BY k) = 1),
+h AS (SELECT r.* FROM r JOIN f ON r.qn = f.qn AND r.run = f.run AND r.k > f.k AND r.sstart >= f.send - 30 AND r.send > f.send AND r.qstart > 0 AND r.qstart > f.qend - 30
+  QUALIFY row_number() OVER (PARTITION BY r.qn, r.run ORDER BY r.k DESC) = 1),
+m AS (SELECT f.qseqid, f.sseqid, f.qlen, CASE WHEN h.k IS NULL THEN f.length ELSE h.length + (SELECT length FROM o WHERE k = 1) - (f.send - h.sstart) END AS length, f.qstart, coalesce(h.qend, f.qend) AS qend, f.sstart,
+  coalesce(h.send, f.send) AS send, f.nident + coalesce(h.nident, 0) AS nident, h.k IS NULL AS alone FROM f LEFT JOIN h ON f.qn = h.qn AND f.run = h.run)
+SELECT qseqid, sseqid, qlen, length, qstart, qend, sstart, send, nident, round(CASE WHEN alone THEN nident ELSE nident / length * 100 END, 6) AS pident FROM m""",
+)
+def merged_protein_hits(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(regions.merged_protein_hits(protein_hits(spark, d)))
+
+
+@query("carried_protein_hits")
+def carried_protein_hits(spark: SparkSession, d: str) -> DataFrame:
+    """The stated intent: a run's state is carried from hit to hit; tests compare with a loop."""
+    return _rounded(regions.merged_protein_hits(protein_hits(spark, d), compat=False))
+
+
+#: Exons of each customer by order number, and CDS that differ from them in some starts and ends.
+EXON_SQL = """x AS (SELECT o_custkey AS gene, o_orderkey AS k, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS s, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) + o_orderkey % 40 AS e FROM orders),
+c AS (SELECT gene, k, s + (k % 4 = 0)::INT AS s, e + (k % 7 = 0)::INT AS e FROM x WHERE k % 9 <> 0)"""
+
+
+def _exons(spark: SparkSession, d: str) -> DataFrame:
+    k, s = F.col("o_orderkey"), _days("o_orderdate")
+    span = lambda a, b: F.struct(k.alias("k"), a.cast("long").alias("start"), b.cast("long").alias("end"))
+    rows = _read(spark, d, "orders").select(F.col("o_custkey").alias("gene"), span(s, s + k % 40).alias("x"), F.when(k % 9 != 0, span(s + (k % 4 == 0).cast("int"), s + k % 40 + (k % 7 == 0).cast("int"))).alias("c"))
+    return rows.groupBy("gene").agg(F.array_sort(F.collect_list("x")).alias("exons"), F.array_sort(F.collect_list("c")).alias("cds"))
+
+
+@query(
+    "exons_match",
+    f"""WITH {EXON_SQL}, m AS (SELECT x.gene, x.k, row_number() OVER (PARTITION BY x.gene ORDER BY x.k) AS i, EXISTS (SELECT 1 FROM c WHERE c.gene = x.gene AND c.s = x.s) AS a, EXISTS (SELECT 1 FROM c WHERE c.gene = x.gene AND c.e = x.e) AS b FROM x)
+SELECT gene, bool_or(a AND b AND i = 1) AS established, bool_and(a AND b) AS intended FROM m GROUP BY gene""",
+)
+def exons_match(spark: SparkSession, d: str) -> DataFrame:
+    e = _exons(spark, d)
+    return e.select("gene", features.exons_match(F.col("exons"), F.col("cds")).alias("established"), features.exons_match(F.col("exons"), F.col("cds"), compat=False).alias("intended"))
+
+
+@query(
+    "joined_cds",
+    f"""WITH {EXON_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY k) AS i, count(*) OVER (PARTITION BY gene) AS n FROM c),
+j AS (SELECT gene, i, s, CASE WHEN i = n - 1 THEN lead(e) OVER (PARTITION BY gene ORDER BY i) ELSE e END AS e FROM n WHERE n >= 2)
+SELECT gene, i AS place, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end" FROM j QUALIFY i < max(i) OVER (PARTITION BY gene)""",
+)
+def joined_cds(spark: SparkSession, d: str) -> DataFrame:
+    """The last two CDS of each gene as one."""
+    e = _exons(spark, d).where("size(cds) >= 2")
+    n = F.size("cds")
+    return e.select("gene", F.posexplode(features.joined_cds(F.col("cds"), n - 1, n)).alias("i", "x")).select("gene", (F.col("i") + 1).cast("long").alias("place"), "x.start", "x.end")
+
+
+@query("natural_names", """SELECT name, CAST(row_number() OVER (ORDER BY k % 13, (k * 7) % 1201) AS BIGINT) AS place FROM (SELECT DISTINCT c_custkey AS k, 'c' || (c_custkey % 13) || '_' || ((c_custkey * 7) % 1201) AS name FROM customer)""")
+def natural_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names with numbers in version order; the place of a name is the number of names up to it."""
+    k = F.col("c_custkey")
+    names = _read(spark, d, "customer").select(F.concat(F.lit("c"), (k % 13).cast("string"), F.lit("_"), (k * 7 % 1201).cast("string")).alias("name")).distinct()
+    group = F.regexp_extract("name", "^c([0-9]+)", 1)
+    inside = names.withColumn("n", F.row_number().over(Window.partitionBy(group).orderBy(natural_key(F.col("name"))))).withColumn("group", natural_key(group))
+    before = inside.groupBy("group").agg(F.count("*").alias("size")).withColumn("upto", F.sum("size").over(Window.orderBy("group")) - F.col("size")).drop("size")
+    return inside.join(F.broadcast(before), "group").select("name", (F.col("n") + F.col("upto")).cast("long").alias("place"))
+
+
 def _genes(spark: SparkSession, d: str, exons, strand) -> DataFrame:
     """A resolved annotation with a gene for each supplier; ``exons``: array of structs (start, end)."""
     s = _read(spark, d, "supplier")
