@@ -14,6 +14,7 @@ WIDTH = 40
 def natural_key(text: Column) -> Column:
     """A string that sorts as names do in a version sort: runs of digits by their number, letters before marks, ``~`` before even the end.
 
+    A ``~`` behind a run of zeros sorts behind the number 0, where a version sort skips it.
     Numbers of more than ``WIDTH`` digits sort by their last ``WIDTH``. Endings such as
     ``.txt``, which a version sort of file names sets aside, count like the rest.
     """
