@@ -818,6 +818,76 @@ def test_pipeline_stages(spark):
         d, before = out, out.count()
 
 
+def test_pipeline_run_against_brute_force(spark, tmp_path, monkeypatch):
+    """Planted junk, copies and benchmark items go at their stage, clean texts stay, the mix and the shards add up."""
+    import corpus_pipeline
+
+    rnd = random.Random(31)
+    spell = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 8)))
+    vocabulary, other = [spell("abcdefgh") for _ in range(900)], [spell("mnopqrst") for _ in range(900)]
+    clean = lambda n: prose(rnd, n, vocabulary)
+    items = [prose(rnd, n, other) for n in (4, 7, 12, 15, 16, 25, 40, 60)]
+    texts, kinds = [], []
+
+    def add(kind, text):
+        texts.append(text)
+        kinds.append(kind)
+
+    for i in range(110):
+        add("clean", clean(rnd.randint(30, 160)))
+    for i in range(60):
+        add("junk", " ".join(w + "###" for w in clean(rnd.randint(30, 90)).split()))
+    for t in (None, "", "few words", "one two three four five six " * 12):
+        add("junk", t)
+    for i in range(12):
+        w = texts[i].split()
+        add("copy", texts[i])
+        if len(w) > 80:
+            w[40] = "changed"
+            add("copy", " ".join(w))
+    for item in items:
+        w = clean(60).split()
+        w[30:30] = item.split()
+        add("leak", " ".join(w))
+    sources = [rnd.choice(["s0", "s0", "s1", "s2", None]) for _ in texts]
+    docs(spark, texts, sources).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int(k != "junk"), 0) for i, k in enumerate(kinds) if i % 5], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    stages = {}
+    write = common.Scratch.write
+
+    def seen(self, df, name):
+        out = write(self, df, name)
+        if name in dict(corpus_pipeline.STAGES):
+            stages[name] = out.select("doc_id", "text", "source").collect()
+        return out
+
+    monkeypatch.setattr(common.Scratch, "write", seen)
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    ids = lambda name: sorted(r["doc_id"] for r in stages[name])
+    good = [i for i, k in enumerate(kinds) if k != "junk"]
+    assert all(base_statistics(texts[i])[0] >= 10 and 5 * base_statistics(texts[i])[4] <= base_statistics(texts[i])[0] for i in good)
+    assert ids("quality_rules") == good
+    classes = brute_classes([texts[i] for i in good])
+    single = [i for k, i in enumerate(good) if classes[k][1] == k]
+    assert ids("near_duplicates") == single and len(single) < len(good) - 12
+    # no clean text shares a word with an item
+    assert ids("decontamination") == [i for i in single if kinds[i] != "leak"]
+    before, mixed = stages["decontamination"], collections.Counter(ids("mixing"))
+    order = sorted({r["source"] for r in before}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(len(words(r["text"])) for r in before if r["source"] == s) for s in order]
+    target = water_fill(sizes, [i % 3 + 1 for i in range(len(order))], sum(sizes), 3)
+    assert set(mixed) <= {r["doc_id"] for r in before} and max(mixed.values()) <= 3
+    for s, n in zip(order, target):
+        taken = sum(mixed[r["doc_id"]] * len(words(r["text"])) for r in before if r["source"] == s)
+        assert abs(taken - n) <= max(0.02 * n, 30)
+    assert all(r["text"] == texts[r["doc_id"]] and r["source"] == sources[r["doc_id"]] for r in stages["mixing"])
+    assert collections.Counter(r["doc_id"] for r in final) == mixed
+    assert len({(r["shard"], r["row_in_shard"]) for r in final}) == len(final)
+
+
 # ---- SQL -------------------------------------------------------------------
 
 
