@@ -40,6 +40,24 @@ def oriented(hsps: DataFrame, exact_origin: bool = False) -> DataFrame:
     return h.drop("origin")
 
 
+def sequence_maxima(hsps: DataFrame) -> DataFrame:
+    """(chr_id, max_coordinate): the furthest position of each sequence that an alignment reaches."""
+    return hsps.groupBy("chr_id").agg(F.max(F.greatest("loc_start", "loc_end")).alias("max_coordinate"))
+
+
+#: Fixed value: what the earlier finder adds to a sequence's furthest position.
+MIRROR = 1_000_000
+
+
+def mirrored(hsps: DataFrame) -> DataFrame:
+    """Strand, stranded sequence name and coordinates as the earlier finder has them: on the minus strand counted back from the sequence's furthest position."""
+    h = with_strand(hsps).join(sequence_maxima(hsps), "chr_id")
+    plus, origin = F.col("strand") == 1, F.col("max_coordinate") + MIRROR
+    turned = lambda c: F.when(plus, F.col(c)).otherwise(origin - F.col(c))
+    name = F.when(plus, F.col("chr_id")).otherwise(F.concat("chr_id", F.lit("_revcomp")))
+    return h.withColumns({"chrS_id": name, "loc_startS": turned("loc_start"), "loc_endS": turned("loc_end")}).drop("max_coordinate")
+
+
 def sorted_hsps(hsps: DataFrame) -> DataFrame:
     """Sequence, strand, protein, start; ties by end and protein start."""
     return hsps.orderBy("chr_id", "strand", "prot_id", "loc_startS", "loc_endS", "prot_start")

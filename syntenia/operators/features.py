@@ -167,3 +167,25 @@ def joined_cds(cds: Column, first: Column, second: Column) -> Column:
     end = F.element_at(cds, second)["end"]
     drawn = F.transform(cds, lambda x, i: F.struct(x["start"].alias("start"), F.when(i + 1 == first, end).otherwise(x["end"]).alias("end"), (i + 1 == second).alias("gone")))
     return F.transform(F.filter(drawn, lambda x: ~x["gone"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+
+
+def gene_extents(features: DataFrame) -> DataFrame:
+    """(gene, longest_gap, genomic_length, coding_start, coding_end): the earlier finder's table of genes.
+
+    A transcript's gaps are from one CDS end to the next start, in file order, both counted in; a gene has the
+    largest of its transcripts'. Genes without CDS have no row.
+    """
+    rows = features.where((F.col("type") == "CDS") & F.col("mRNA").isNotNull())
+    following = F.lead("start").over(Window.partitionBy("mRNA").orderBy("row_idx"))
+    per = rows.withColumn("__gap", following - F.col("end")).groupBy("mRNA").agg(F.max("__gap").alias("gap"), F.min("start").alias("low"), F.max("end").alias("high"))
+    owners = features.where(F.col("type") == "mRNA").select("mRNA", F.col("ParentID").alias("gene"))
+    found = per.join(owners, "mRNA").groupBy("gene")
+    return found.agg(F.coalesce(F.max("gap"), F.lit(0)).alias("longest_gap"), F.max(F.col("high") - F.col("low") + 1).alias("genomic_length"), F.min("low").alias("coding_start"), F.max("high").alias("coding_end"))
+
+
+def with_extents(hsps: DataFrame, extents: DataFrame, named: int = 9) -> DataFrame:
+    """Alignments with their gene's extents; the job fails if a protein has none, and names the first ``named``."""
+    keys = hsps.select("prot_id").distinct()
+    lost = keys.join(extents.select(F.col("gene").alias("prot_id")), "prot_id", "left_anti").orderBy("prot_id").limit(named).agg(F.array_join(F.sort_array(F.collect_list("prot_id")), ", ").alias("__lost"))
+    rows = hsps.crossJoin(F.broadcast(lost)).where(F.when(F.col("__lost") == "", F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("no gene for the proteins "), "__lost")).cast("boolean"))).drop("__lost")  # one row
+    return rows.join(extents.withColumnRenamed("gene", "prot_id"), "prot_id")

@@ -694,6 +694,52 @@ def joined_cds(spark: SparkSession, d: str) -> DataFrame:
     return e.select("gene", F.posexplode(features.joined_cds(F.col("cds"), n - 1, n)).alias("i", "x")).select("gene", (F.col("i") + 1).cast("long").alias("place"), "x.start", "x.end")
 
 
+@query(
+    "formatted_models",
+    f"""WITH {EXON_SQL}, xi AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY gene) AS n FROM x WINDOW w AS (PARTITION BY gene ORDER BY k)),
+ci AS (SELECT *, row_number() OVER w AS i, lag(e) OVER w AS p, count(*) OVER (PARTITION BY gene) AS n FROM c WINDOW w AS (PARTITION BY gene ORDER BY k)),
+pi AS (SELECT gene, run AS i, arg_min(s, i) AS s, arg_max(e, i) AS e FROM (SELECT *, sum(CASE WHEN p IS NULL OR s >= p + 30 THEN 1 ELSE 0 END) OVER (PARTITION BY gene ORDER BY i) AS run FROM ci) GROUP BY gene, run),
+ok AS (SELECT gene, EXISTS (SELECT 1 FROM c WHERE c.gene = xi.gene AND c.s = xi.s) AND EXISTS (SELECT 1 FROM c WHERE c.gene = xi.gene AND c.e = xi.e) OR NOT EXISTS (SELECT 1 FROM c WHERE c.gene = xi.gene) AS same FROM xi WHERE i = 1),
+ex AS (SELECT xi.gene, i, s, e FROM xi JOIN ok USING (gene) WHERE same OR i > (SELECT count(*) FROM pi WHERE pi.gene = xi.gene) UNION ALL SELECT pi.gene, i, s, e FROM pi JOIN ok USING (gene) WHERE NOT same),
+al AS (SELECT gene, row_number() OVER (PARTITION BY gene ORDER BY i) AS i, CASE WHEN p < s THEN p + 1 ELSE s END AS s, CASE WHEN p < s THEN s - 1 ELSE p END AS e FROM ci WHERE p IS NOT NULL AND s < p + 25),
+part AS (SELECT gene, i, s, e, 'exon' AS type, 'exon' AS tag FROM ex UNION ALL SELECT gene, i, s, e, 'CDS', 'cds' FROM ci UNION ALL SELECT gene, i, s, e, 'sequence_alteration', 'frameshift' FROM al),
+num AS (SELECT *, CASE WHEN gene % 2 = 1 THEN count(*) OVER (PARTITION BY gene, tag) - i + 1 ELSE i END AS j FROM part),
+hull AS (SELECT gene, min(s) AS s, max(e) AS e FROM x GROUP BY gene)
+SELECT type, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end", 'ID=g' || gene || ':' || tag || '_' || j || ';Parent=g' || gene || '_mrna' AS attributes FROM num
+UNION ALL SELECT 'gene', s, e, 'ID=g' || gene FROM hull UNION ALL SELECT 'mRNA', s, e, 'ID=g' || gene || '_mrna;Parent=g' || gene FROM hull""",
+)
+def formatted_models(spark: SparkSession, d: str) -> DataFrame:
+    """Models with exons mended from their CDS and altered stretches, as feature rows."""
+    g = F.concat(F.lit("g"), F.col("gene").cast("string"))
+    strand = F.when(F.col("gene") % 2 == 1, F.lit("-")).otherwise(F.lit("+"))
+    hull = F.array_min(F.transform("exons", lambda x: x["start"])), F.array_max(F.transform("exons", lambda x: x["end"]))
+    bare = lambda c: F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+    models = _exons(spark, d).select(g.alias("gene"), F.lit("chr").alias("seqid"), F.lit("driver").alias("source"), strand.alias("strand"), hull[0].alias("start"), hull[1].alias("end"), F.concat(F.lit("ID="), g).alias("attributes"), bare("cds").alias("cds"), bare("exons").alias("exons"))
+    return sinks.formatted_rows(models).select("type", "start", "end", "attributes")
+
+
+@query(
+    "gene_extents",
+    f"""WITH {FEATURES_SQL}, g AS (SELECT *, lead(s) OVER (PARTITION BY mrna ORDER BY row_idx) - e AS gap FROM res WHERE type = 'CDS'),
+m AS (SELECT mrna, max(gap) AS gap, min(s) AS lo, max(e) AS hi FROM g GROUP BY mrna)
+SELECT r.parent AS gene, CAST(coalesce(max(gap), 0) AS BIGINT) AS longest_gap, CAST(max(hi - lo + 1) AS BIGINT) AS genomic_length, CAST(min(lo) AS BIGINT) AS coding_start, CAST(max(hi) AS BIGINT) AS coding_end
+FROM m JOIN feat r ON r.type = 'mRNA' AND r.id = m.mrna GROUP BY r.parent""",
+)
+def gene_extents(spark: SparkSession, d: str) -> DataFrame:
+    return features.gene_extents(_resolved(spark, d))
+
+
+@query(
+    "mirrored_hsps",
+    f"""WITH {HSP_SQL}, top AS (SELECT chr_id, max(e) AS m FROM hsp GROUP BY chr_id)
+SELECT hit, CASE WHEN strand = 1 THEN chr_id ELSE chr_id || '_revcomp' END AS "chrS_id", CASE WHEN strand = 1 THEN s ELSE m + 1000000 - e END AS "loc_startS", CASE WHEN strand = 1 THEN e ELSE m + 1000000 - s END AS "loc_endS" FROM hsp JOIN top USING (chr_id)""",
+)
+def mirrored_hsps(spark: SparkSession, d: str) -> DataFrame:
+    """The earlier finder's coordinates, with its check that every protein has a gene."""
+    genes = _read(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("gene"), F.lit(1).alias("extent"))
+    return features.with_extents(alignments.mirrored(hsp_view(spark, d)), genes).select("hit", "chrS_id", "loc_startS", "loc_endS")
+
+
 @query("natural_names", """SELECT name, CAST(row_number() OVER (ORDER BY k % 13, (k * 7) % 1201) AS BIGINT) AS place FROM (SELECT DISTINCT c_custkey AS k, 'c' || (c_custkey % 13) || '_' || ((c_custkey * 7) % 1201) AS name FROM customer)""")
 def natural_names(spark: SparkSession, d: str) -> DataFrame:
     """Names with numbers in version order; the place of a name is the number of names up to it."""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from syntenia.operators.features import exons_match
+from syntenia.options import Workflow, run_log
 from syntenia.schema import GFF
 
 GFF_COLUMNS = [c.split()[0] for c in GFF.split(", ")]
@@ -68,3 +70,65 @@ def feature_rows(models: DataFrame, reverse_numbers: bool = True) -> DataFrame:
     )
     out = models.select("gene", "seqid", "source", "strand", F.posexplode(rows).alias("rank", "r"))
     return out.select("gene", "rank", "seqid", "source", "r.type", "r.start", "r.end", F.lit(None).cast("string").alias("score"), "strand", "r.phase", "r.attributes")
+
+
+#: Nearer CDS are parts of one exon; nearer ones are marked as altered sequence.
+EXON_GAP, ALTERATION_GAP = 30, 25
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def exons_of(cds: Column) -> Column:
+    """Exons of a model's CDS in their order: a CDS that starts near the last one's end goes on in its exon."""
+    span = lambda a, b: F.struct(a.cast("long").alias("start"), b.cast("long").alias("end"))
+
+    def step(acc: Column, x: Column) -> Column:
+        n = F.size(acc)
+        last = F.get(acc, n - 1)
+        near = (n > 0) & (x["start"] < last["end"] + EXON_GAP)
+        return F.when(near, F.concat(F.slice(acc, F.lit(1), n - 1), F.array(span(last["start"], x["end"])))).otherwise(F.concat(acc, F.array(span(x["start"], x["end"]))))
+
+    return F.aggregate(cds, F.array().cast(_SPANS), step)
+
+
+def alterations_of(cds: Column) -> Column:
+    """What lies between, or is shared by, CDS that follow each other closely."""
+    at = lambda i: (F.get(cds, i - 1)["end"], F.get(cds, i)["start"])
+
+    def between(i: Column) -> Column:
+        a, b = at(i)
+        return F.struct(F.when(a < b, a + 1).otherwise(b).cast("long").alias("start"), F.when(a < b, b - 1).otherwise(a).cast("long").alias("end"))
+
+    places = F.filter(F.sequence(F.lit(1), F.size(cds) - 1), lambda i: at(i)[1] < at(i)[0] + ALTERATION_GAP)
+    return F.when(F.size(cds) > 1, F.transform(places, between)).otherwise(F.array().cast(_SPANS))
+
+
+def formatted_rows(models: DataFrame) -> DataFrame:
+    """gene, mRNA, exon, CDS and sequence_alteration rows of models (gene, seqid, source, strand, start, end, attributes, cds, exons).
+
+    Exons that don't match the CDS are predicted from them; given exons beyond the number of
+    predicted ones stay, as established. A model without CDS keeps its exons. Numbers run against the minus strand.
+    """
+    new = exons_of(F.col("cds"))
+    given = F.coalesce("exons", F.array().cast(_SPANS))
+    rest = F.filter(F.transform(given, lambda x, i: F.struct(x["start"].alias("start"), x["end"].alias("end"), i.alias("i"))), lambda x: x["i"] >= F.size(new))
+    mended = F.concat(new, F.transform(rest, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    rows = models.withColumn("cds", F.coalesce("cds", F.array().cast(_SPANS)))
+    rows = rows.withColumn("exons", F.when(exons_match(given, F.col("cds")) | (F.size("cds") == 0), given).otherwise(mended)).withColumn("__altered", alterations_of(F.col("cds")))
+    g = F.col("gene")
+    row = lambda kind, s, e, text: F.struct(F.lit(kind).alias("type"), s.cast("long").alias("start"), e.cast("long").alias("end"), text.alias("attributes"))
+
+    def part(kind: str, tag: str, column: str) -> Column:
+        n = F.size(column)
+        number = lambda i: F.when(F.col("strand") == "-", n - i).otherwise(i + 1).cast("string")
+        return F.transform(column, lambda x, i: row(kind, x["start"], x["end"], F.concat(F.lit("ID="), g, F.lit(f":{tag}_"), number(i), F.lit(";Parent="), g, F.lit("_mrna"))))
+
+    heads = F.array(row("gene", F.col("start"), F.col("end"), F.col("attributes")), row("mRNA", F.col("start"), F.col("end"), F.concat(F.lit("ID="), g, F.lit("_mrna;Parent="), g)))
+    every = F.concat(heads, part("exon", "exon", "exons"), part("CDS", "cds", "cds"), part("sequence_alteration", "frameshift", "__altered"))
+    out = rows.select("gene", "seqid", "source", "strand", F.posexplode(every).alias("rank", "r"))
+    none = F.lit(None)
+    return out.select("gene", "rank", "seqid", "source", "r.type", "r.start", "r.end", none.cast("string").alias("score"), "strand", none.cast("long").alias("phase"), "r.attributes")
+
+
+def write_run_log(spark: SparkSession, options: Workflow, commit: str, when: str, path: str) -> None:
+    """The lines of ``options.run_log`` as a text file."""
+    spark.createDataFrame([(x,) for x in run_log(options, commit, when)], "value string").coalesce(1).write.text(path)

@@ -160,3 +160,43 @@ def test_two_cds_become_one(spark):
     df = spark.createDataFrame([([], [(1, 5), (9, 12), (20, 30)])], SPANS)
     at = lambda i, j: [tuple(x) for x in df.select(features.joined_cds(F.col("cds"), F.lit(i), F.lit(j)).alias("x")).first()["x"]]
     assert at(1, 2) == [(1, 12), (20, 30)] and at(2, 3) == [(1, 5), (9, 30)] and at(1, 3) == [(1, 30), (9, 12)]
+
+
+def test_exons_and_alterations_of_close_cds(spark):
+    from syntenia.sources import sinks
+
+    cds = [(1, 10), (30, 40), (39, 60), (90, 95), (125, 130)]
+    df = spark.createDataFrame([([], cds), ([], []), ([], [(5, 9)])], SPANS)
+    c = F.col("cds")
+    got = df.select(sinks.exons_of(c), sinks.alterations_of(c)).collect()
+    assert [[list(map(tuple, x)) for x in r] for r in got] == [[[(1, 60), (90, 95), (125, 130)], [(11, 29), (39, 40)]], [[], []], [[(5, 9)], []]]
+
+
+def test_given_exons_beyond_the_predicted_ones_stay(spark):
+    from syntenia.sources import sinks
+
+    rows = [("g", "c", "s", "-", 1, 99, "ID=g;x=1", [(1, 10), (15, 20)], [(2, 20), (50, 60)]), ("h", "c", "s", "+", 1, 9, "ID=h", None, [(1, 9)])]
+    df = spark.createDataFrame(rows, "gene string, seqid string, source string, strand string, start long, end long, attributes string, cds array<struct<start:long,end:long>>, exons array<struct<start:long,end:long>>")
+    got = [(r["type"], r["start"], r["end"], r["attributes"].split(";")[0]) for r in sinks.formatted_rows(df).orderBy("gene", "rank").collect()]
+    assert got == [
+        ("gene", 1, 99, "ID=g"), ("mRNA", 1, 99, "ID=g_mrna"), ("exon", 1, 20, "ID=g:exon_2"), ("exon", 50, 60, "ID=g:exon_1"),
+        ("CDS", 1, 10, "ID=g:cds_2"), ("CDS", 15, 20, "ID=g:cds_1"), ("sequence_alteration", 11, 14, "ID=g:frameshift_1"),
+        ("gene", 1, 9, "ID=h"), ("mRNA", 1, 9, "ID=h_mrna"), ("exon", 1, 9, "ID=h:exon_1"),
+    ]
+
+
+def test_proteins_without_a_gene_fail_the_job(spark):
+    hsps = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "prot_id string, n int")
+    extents = spark.createDataFrame([("a", 5), ("b", 6), ("c", 7), ("d", 8)], "gene string, longest_gap int")
+    assert sorted(tuple(r) for r in features.with_extents(hsps, extents).collect()) == [("a", 1, 5), ("b", 2, 6), ("c", 3, 7)]
+    with pytest.raises(Exception, match="no gene for the proteins b, c"):
+        features.with_extents(hsps, extents.where("gene = 'a'")).collect()
+
+
+def test_run_log_is_written(spark, tmp_path):
+    from syntenia.options import Workflow
+    from syntenia.sources import sinks
+
+    sinks.write_run_log(spark, Workflow(prefix="p"), "abc", "today", str(tmp_path / "log"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "log")).collect()]
+    assert lines[:2] == ["date\ttoday", "version\tabc"] and "prefix\tp" in lines
