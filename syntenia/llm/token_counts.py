@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -114,30 +115,40 @@ class WordCounts(dict):
     """Tokens of the pieces between spaces and line feeds, kept for the pieces seen lately.
 
     Both characters are stable boundaries, so the pieces' counts add up to the
-    text's. ``LIMIT`` bounds the memory, not the results.
+    text's. ``LIMIT`` bounds the memory, not the results: at half of it the pieces become
+    the older half, of which those that are met again move on and the rest is dropped.
     """
 
-    LIMIT, LONGEST = 300_000, 64
+    LIMIT, LONGEST = 1_000_000, 64
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.older: dict[str, int] = {}
 
     def of(self, texts: list[str]) -> list[int]:
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for p in pieces for w in p}.difference(self))
-        own = {w: len(e.ids) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        if len(self) + len(own) > self.LIMIT:
-            own |= {w: self[w] for p in pieces for w in p if w not in own}
-            self.clear()
-        self.update(own)
+        new = {w for p in pieces for w in p}.difference(self)
+        again = new.intersection(self.older)
+        self.update((w, self.older[w]) for w in again)
+        rest = list(new - again)
+        self.update(zip(rest, (len(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
         out = [sum(map(self.__getitem__, p)) for p in pieces]
-        for w in own:
+        for w in rest:
             if len(w) > self.LONGEST:
                 del self[w]
+        if 2 * len(self) > self.LIMIT:
+            self.older = dict(self)
+            self.clear()
         return out
 
 
+@lru_cache(maxsize=1)
+def _counter(vocabulary: str) -> WordCounts:
+    """One for each worker process: its tasks share what it has seen."""
+    return WordCounts(load_tokenizer(vocabulary))
+
+
 def count_tokens(words: WordCounts, spliced: Spliced, texts: list[str]) -> list[int]:
     """Tokens of each text: ordinary ones by their pieces, huge ones spliced from chunks."""
     out = [0] * len(texts)
@@ -175,8 +186,8 @@ def token_counts(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load_tokenizer(vocabulary)
-        words, spliced = WordCounts(tok), Spliced(tok, chunk, overlap)
+        words = _counter(vocabulary)
+        spliced = Spliced(words.tokenizer, chunk, overlap)
         for b in batches:
             counts: list[int] = []
             for k in range(0, b.num_rows, BATCH):
@@ -189,4 +200,5 @@ def token_counts(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each text of ``documents``; edge cases as in ``token_counts``."""
     return token_counts(common.table(spark, sf_dir, "documents"))
