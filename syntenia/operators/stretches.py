@@ -48,6 +48,8 @@ def running(rows: DataFrame, keys: Sequence[str], at: str, order: Sequence[str |
     """``rows`` with a column for each of ``what``, along ``order`` within ``keys``; ``order`` begins with ``at``, ascending.
 
     Rows whose ``at`` is null come first, as in a window. Only as many rows as lie in one stretch meet in a task.
+    ``rows`` is read twice, for the carries and for the result: give a written table where it is dear to compute,
+    and write what comes out before the next such step.
     """
     # a struct of the order's columns compares as the window sorts; nulls are first in both
     rank = F.struct(*[F.col(c).alias(f"_{i}") if isinstance(c, str) else c.alias(f"_{i}") for i, c in enumerate(order)])
