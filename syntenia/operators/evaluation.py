@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from syntenia.functions import intervals as iv
 from syntenia.operators.intervals import overlap_join
 
 BIN = 1 << 14
+#: Positions of a block in which a candidate looks for genes that lie inside it.
+NEAR = 32
 
 
 def best_matches(candidates: DataFrame, reference: DataFrame, width: int = BIN) -> DataFrame:
@@ -19,16 +20,44 @@ def best_matches(candidates: DataFrame, reference: DataFrame, width: int = BIN)
     region). loci_overlap is the share of reference CDS inside the candidate's
     bounds, cds_overlap inside its CDS. Of equal ones the first by start wins;
     candidates that cover nothing have no row.
+
+    No pair is formed where a gene lies wholly inside a candidate: no share is larger, so
+    the first such gene wins. Genes are kept by start, the least end of each start in blocks of
+    ``NEAR`` positions; a candidate looks it up in two blocks. The other candidates meet each
+    start once, however many genes begin there. Genes whose CDS begins behind their start
+    are compared in pairs.
     """
-    c = candidates.select(F.col("gene").alias("candidate"), "seqid", F.col("start").alias("c_start"), F.col("end").alias("c_end"), iv.merged(F.col("cds")).alias("c_cds"))
+    c = candidates.select(F.col("gene").alias("candidate"), "seqid", F.col("start").alias("c_start"), F.col("end").alias("c_end"), iv.merged(F.col("cds")).alias("c_cds")).where("c_start <= c_end")
     r = reference.select(F.col("gene").alias("reference"), "seqid", F.col("start").alias("r_start"), F.col("end").alias("r_end"), iv.merged(F.col("cds")).alias("r_cds"))
-    pairs = overlap_join(c, r, ["seqid"], ("c_start", "c_end"), ("r_start", "r_end"), width)
-    size = iv.union_length(F.col("r_cds"))
+    r = r.where("r_start <= r_end").withColumn("size", iv.union_length(F.col("r_cds"))).where("size > 0")
+    last = F.element_at("r_cds", -1)["end"]
+    plain = (F.get("r_cds", F.lit(0))["start"] == F.col("r_start")) & (last <= F.col("r_end")) & F.forall("r_cds", lambda x: x["start"] <= x["end"])
+
+    alike = r.where(plain).groupBy("seqid", "r_start", "r_cds").agg(F.min("reference").alias("reference"), F.first("size").alias("size"))
+    starts = alike.groupBy("seqid", "r_start").agg(F.sort_array(F.collect_list(F.struct(last.alias("end"), "reference", "r_cds", "size"))).alias("genes"))
+    first_end = F.get("genes", F.lit(0))["end"]
+    at = F.floor(F.col("r_start") / NEAR)
+    filed = starts.select("seqid", F.explode(F.array(at - 1, at)).alias("__block"), F.struct(F.col("r_start").alias("at"), first_end.alias("end")).alias("x"))
+    blocks = filed.groupBy("seqid", "__block").agg(F.sort_array(F.collect_list("x")).alias("__ends"))
+    inside = F.filter("__ends", lambda x: (x["at"] >= F.col("c_start")) & (x["end"] <= F.col("c_end")))
+    looked = c.withColumn("__block", F.floor(F.col("c_start") / NEAR)).join(blocks, ["seqid", "__block"], "left").withColumn("r_start", F.get(inside, F.lit(0))["at"]).drop("__block", "__ends")
+
+    row = ["candidate", "seqid", "c_cds"]
     whole = F.array(F.struct(F.col("c_start").cast("long").alias("start"), F.col("c_end").cast("long").alias("end")))
-    pairs = pairs.withColumn("loci_overlap", iv.shared_length(F.col("r_cds"), whole) / size).withColumn("cds_overlap", iv.shared_length(F.col("r_cds"), F.col("c_cds")) / size)
-    best = Window.partitionBy("candidate").orderBy(F.desc("loci_overlap"), "r_start", "reference")
-    ranked = pairs.where("loci_overlap > 0").withColumn("__k", F.row_number().over(best))
-    return ranked.where("__k = 1").select("candidate", "reference", "seqid", "loci_overlap", "cds_overlap")
+    # what decides comes first, so that the least one is the best
+    judged = lambda x: F.struct((-(iv.shared_length(x["r_cds"], whole) / x["size"])).alias("less"), x["reference"].alias("reference"), x["r_cds"].alias("r_cds"), x["size"].alias("size"))
+    placed = lambda df, best: df.withColumn("__b", best).where("__b.less < 0").select(*row, F.col("__b.less").alias("less"), "r_start", "__b.reference", "__b.r_cds", "__b.size")
+    found = looked.where("r_start is not null").join(starts, ["seqid", "r_start"])
+    contained = F.array_min(F.transform(F.filter("genes", lambda x: x["end"] <= F.col("c_end")), lambda x: F.struct(F.lit(-1.0).alias("less"), x["reference"].alias("reference"), x["r_cds"].alias("r_cds"), x["size"].alias("size"))))
+    rest = looked.where("r_start is null").drop("r_start")
+    spans = starts.withColumn("r_end", F.array_max(F.transform("genes", lambda x: x["end"])))
+    partly = overlap_join(rest, spans, ["seqid"], ("c_start", "c_end"), ("r_start", "r_end"), width)
+    pairs = overlap_join(c, r.where(F.coalesce(~plain, F.lit(True))), ["seqid"], ("c_start", "c_end"), ("r_start", "r_end"), width)
+    one = {n: F.col(n) for n in ("r_cds", "size", "reference")}
+    every = placed(found, contained).unionByName(placed(partly, F.array_min(F.transform("genes", judged)))).unionByName(placed(pairs, judged(one)))
+    best = F.min(F.struct("less", "r_start", "reference", "seqid", "r_cds", "size", "c_cds"))
+    won = every.groupBy("candidate").agg(best.alias("b")).select("candidate", "b.*")
+    return won.select("candidate", "reference", "seqid", (-F.col("less")).alias("loci_overlap"), (iv.shared_length(F.col("r_cds"), F.col("c_cds")) / F.col("size")).alias("cds_overlap"))
 
 
 def missed(reference: DataFrame, matches: DataFrame, min_score: float = 0.1) -> DataFrame:
