@@ -67,11 +67,13 @@ def missed(reference: DataFrame, matches: DataFrame, min_score: float = 0.1) ->
 
 
 def evaluation(reference: DataFrame, matches: DataFrame, min_score: float = 0.1) -> DataFrame:
-    """One row: matching candidates, matched genes, missed genes."""
-    good = matches.where(F.col("loci_overlap") >= min_score)
-    a = good.agg(F.count("*").alias("total_matches"), F.count_distinct("reference").alias("matched_genes"))
-    b = missed(reference, matches, min_score).agg(F.count("*").alias("missed_genes"))
-    return a.crossJoin(b)  # one row each
+    """One row: matching candidates, matched genes, missed genes. ``matches`` is read once."""
+    good = matches.where(F.col("loci_overlap") >= min_score).select(F.col("reference").alias("gene"), F.lit(1).alias("hit"), F.lit(0).alias("known"))
+    genes = reference.select("gene", F.lit(0).alias("hit"), F.lit(1).alias("known"))
+    each = good.unionByName(genes).groupBy("gene").agg(F.sum("hit").alias("hits"), F.sum("known").alias("known"))
+    met = (F.col("hits") > 0) & F.col("gene").isNotNull()
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0).cast("long"))
+    return each.agg(total(F.col("hits")).alias("total_matches"), F.count_if(met).alias("matched_genes"), total(F.when(~met, F.col("known")).otherwise(F.lit(0))).alias("missed_genes"))
 
 
 def input_errors(features: DataFrame, fasta: DataFrame, info: DataFrame) -> DataFrame:

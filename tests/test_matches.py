@@ -58,3 +58,20 @@ def test_best_matches_form_no_pairs_around_inner_genes(spark, monkeypatch):
     got = evaluation.best_matches(rows("c", 10, 90), rows("g", 20, 40), 128).collect()
     assert {r["reference"] for r in got} == {"g0"} and len(got) == 300
     assert sum(pairs) == 0
+
+
+def test_evaluation_reads_the_matches_once(spark):
+    """The matches were worked out twice, once for the hits and once for the missed genes."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    matches = spark.createDataFrame([("a", "g1", 0.5), ("b", "g1", 0.1), ("c", "g2", 0.05), ("d", "g3", 1.0)], "candidate string, reference string, loci_overlap double")
+    genes = spark.createDataFrame([("g1",), ("g2",), ("g3",), ("g4",), (None,)], "gene string")
+    got = evaluation.evaluation(genes, matches.mapInArrow(noted, matches.schema)).collect()
+    assert [tuple(r) for r in got] == [(3, 2, 3)]
+    assert seen.value == 4
+    assert [tuple(r) for r in evaluation.evaluation(genes.limit(0), matches.limit(0)).collect()] == [(0, 0, 0)]
