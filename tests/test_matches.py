@@ -75,3 +75,20 @@ def test_evaluation_reads_the_matches_once(spark):
     assert [tuple(r) for r in got] == [(3, 2, 3)]
     assert seen.value == 4
     assert [tuple(r) for r in evaluation.evaluation(genes.limit(0), matches.limit(0)).collect()] == [(0, 0, 0)]
+
+
+@pytest.mark.parametrize("stretch", [None, 50])
+def test_nearest_ties_equal_a_loop(spark, stretch):
+    from syntenia.operators.intervals import nearest_ties
+
+    rnd = random.Random(4)
+    side = lambda n, names: [(i, rnd.choice(names), s, s + rnd.randint(0, 9)) for i, s in enumerate(rnd.choices(range(1000), k=n))]
+    a, b = side(300, "ABC"), side(120, "AB") + [(999, "A", 7, 7), (998, "A", 7, 7)]
+    want = {}
+    for i, seq, s, e in a:
+        apart = [max(0, s - u, t - e) for _, other, t, u in b if other == seq]
+        if apart:
+            want[i] = (min(apart), apart.count(min(apart)))
+    left, right = spark.createDataFrame(a, "id long, seqid string, s long, e long"), spark.createDataFrame(b, "ref long, seqid string, t long, u long")
+    got = nearest_ties(left, right, ["seqid"], ("s", "e"), ("t", "u"), "id", stretch).collect()
+    assert {r["id"]: (r["distance"], r["ties"]) for r in got} == want and len(got) == len(want)
