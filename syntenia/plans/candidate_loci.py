@@ -11,12 +11,13 @@ from syntenia.operators import alignments, chaining, features, loci
 from syntenia.options import LocusOptions
 
 
-def find_candidate_loci(hsps: DataFrame, annotation: DataFrame, options: LocusOptions = LocusOptions(), chromosomes: Sequence[str] | None = None) -> DataFrame:
+def find_candidate_loci(hsps: DataFrame, annotation: DataFrame, options: LocusOptions = LocusOptions(), chromosomes: Sequence[str] | None = None, stretch: int | None = None) -> DataFrame:
     """Loci of each sequence.
 
     Islands of alignments are chained, scored against their gene, filtered, made
     disjoint and, with ``options.expansion``, widened. ``annotation`` is a resolved
     feature table. ``chromosomes`` limits the search to some sequences; the filter reaches the scan.
+    Loci are chosen in tiles of ``stretch`` positions (see ``loci.non_overlapping``).
     """
     if chromosomes is not None:
         hsps = hsps.where(F.col("chr_id").isin(*chromosomes))
@@ -29,7 +30,7 @@ def find_candidate_loci(hsps: DataFrame, annotation: DataFrame, options: LocusOp
         found = found.join(near.select(*alignments.KEYS, "island"), [*alignments.KEYS, "island"], "left_semi")
     chains = chaining.chain_islands(found, options.scoring)
     good = loci.passing(loci.scored(chains, info, options.clustering, options.scoring), options.scoring)
-    kept = loci.non_overlapping(good, options.scoring.shrink)
+    kept = loci.non_overlapping(good, options.scoring.shrink, stretch)
     if options.expansion is None:
         return kept
     templates = None

@@ -263,3 +263,36 @@ def test_templates_give_the_room_that_the_missing_part_takes(spark):
     assert wishes(spark, 4, 300, template=True) == (300, 300)
     with pytest.raises(Exception, match="no genomic position of residue 426"):
         wishes(spark, 420, 430, template=True, length=430)
+
+
+def test_selection_in_tiles_with_loci_longer_than_a_tile(spark):
+    """One connected stretch of many loci, copies included, is chosen in many tasks, as a loop chooses."""
+    from test_loci import brute_select
+
+    rnd = random.Random(12)
+    rows = []
+    for i in range(1500):
+        s, p = rnd.randint(1, 20_000), rnd.choice("pq")
+        e = s + rnd.choice([20, 90, 400, 400, 3000])
+        rows += [("c", s, e, i, rnd.random(), rnd.choice([1, -1]), p) for _ in range(rnd.randint(1, 3))]
+    df = spark.createDataFrame(rows, "chr_id string, chr_start long, chr_end long, i long, score double, strand int, prot_id string")
+    want = brute_select(rows, 10)
+    for stretch in (64, 500, 2048, None):
+        got = loci.non_overlapping(df, shrink=10, stretch=stretch)
+        assert sorted((r["chr_start"], r["chr_end"]) for r in got.collect()) == want
+    plan = loci.non_overlapping(df, shrink=10, stretch=500)._jdf.queryExecution().toString()
+    assert "Window" not in plan  # no task holds a sequence's loci
+
+
+def test_what_a_tile_leaves_open():
+    spots = loci._Open()
+    plain = set()
+    rnd = random.Random(14)
+    for _ in range(600):
+        s = rnd.randint(0, 3000)
+        e = s + rnd.randint(0, 30)
+        assert spots.meets(s, e) == any(x in plain for x in range(s, e + 1))
+        if rnd.random() < 0.3:
+            spots.add(s, e)
+            plain |= set(range(s, e + 1))
+    assert all(a <= b for a, b in zip(spots.starts, spots.ends)) and all(b < a for a, b in zip(spots.starts[1:], spots.ends))
