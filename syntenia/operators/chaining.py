@@ -9,6 +9,7 @@ at a time, which is bounded by one protein's alignments near one place.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -198,6 +199,93 @@ def chains_of(h: _Hits, shrink: int) -> list[tuple]:
     return out
 
 
+#: Islands of up to so many alignments are chained on plain numbers: arrays cost more than they save there.
+FEW = 24
+
+
+def _path_of_few(h: list[tuple]) -> tuple[list[int], int]:
+    """``best_path`` of a few alignments (s, e, p, q, a, b, n), ordered by their end: all predecessors, nearest first."""
+    lo: list[int] = []
+    hi: list[int] = []
+    base = [0]
+    for s, e in sorted(x[:2] for x in h):
+        if hi and s <= hi[-1]:
+            hi[-1] = max(hi[-1], e)
+        else:
+            if hi:
+                base.append(base[-1] + hi[-1] - lo[-1] + 1)
+            lo.append(s)
+            hi.append(e)
+
+    def upto(x: int) -> int:
+        k = bisect_right(lo, x) - 1
+        return base[k] + min(x, hi[k]) - lo[k] + 1 if k >= 0 else 0
+
+    ends = [upto(x[1]) for x in h]
+    n, skipped, back, score = [], [], [], []
+    for j, (s, e, p, q, _, _, own) in enumerate(h):
+        at = upto(s)
+        best, mine = -1, (own, at)
+        top = own - at // SKIP
+        for i in range(j - 1, -1, -1):
+            x = h[i]
+            if x[2] >= p or x[0] >= s:
+                continue
+            gap = at - ends[i] + 1 if s >= x[1] else 0
+            past = skipped[i] + gap
+            got = n[i] + own - past // SKIP
+            k = i
+            while got > top and k >= 0:
+                y = h[k]
+                on_seq = -(-max(0, min(e, y[1]) - max(s, y[0]) + 1) // 3)
+                on_prot = max(0, min(q, y[3]) - max(p, y[2]) + 1)
+                if on_seq or on_prot:
+                    least = min(q - p + 1, y[3] - y[2] + 1, (e - s + 1) // 3, (y[1] - y[0] + 1) // 3)
+                    if abs(on_seq - on_prot) > 0.5 * least:
+                        break
+                    got -= min(max(on_seq, on_prot), own, y[6])
+                k = back[k]
+            else:
+                if k < 0 and got > top:
+                    best, top, mine = i, got, (got + past // SKIP, past)
+        n.append(mine[0])
+        skipped.append(mine[1])
+        back.append(best)
+        score.append(top)
+    last = score.index(max(score))
+    path = [last]
+    while back[path[-1]] >= 0:
+        path.append(back[path[-1]])
+    return path[::-1], n[last]
+
+
+def _chains_of_few(h: list[tuple], shrink: int) -> list[tuple]:
+    """``chains_of`` for a few alignments (s, e, p, q, a, b, n), ordered by their end."""
+    out: list[tuple] = []
+    todo = [h]
+    while todo:
+        h = todo.pop()
+        path, n = _path_of_few(h) if len(h) > 1 else ([0], h[0][6])
+        seq = sorted((h[i][4], h[i][5]) for i in path)
+        prot = sorted((h[i][2], h[i][3]) for i in path)
+        out.append((seq, prot, n, _union(seq), _union(prot)))
+        if len(path) == len(h):
+            continue
+        lo, hi = min(h[i][0] for i in path), max(h[i][1] for i in path)
+        before, after = [], []
+        for i, x in enumerate(h):
+            if i in path:
+                continue
+            s, e = x[:2]
+            long_ = e - s + 1 > 10 * shrink
+            if e < lo or e - lo < shrink and long_:
+                before.append(x)
+            elif s > hi or hi - s < shrink and long_:
+                after.append(x)
+        todo += [x for x in (before, after) if x]
+    return out
+
+
 ORDER = ("loc_endS", "loc_startS", "prot_start", "prot_end")
 NUMBERS = (*ORDER, "loc_start", "loc_end", "nident")
 
@@ -206,56 +294,77 @@ def _chained(batches: Iterable[pa.RecordBatch], shrink: int) -> Iterator[pa.Reco
     """Chains of islands from rows sorted by island and end; an island that goes on is held for the next batch."""
     held: pa.RecordBatch | None = None
     for b in batches:
-        b = pa.concat_batches([held, b]) if held is not None else b
+        b = pa.concat_batches([held, b]) if held is not None and held.num_rows else b
         if not b.num_rows:
             continue
-        keys, starts = _starts(b)
-        yield _chains_of_batch(b.slice(0, starts[-1]), keys, starts[:-1], shrink)
+        starts = _starts(b)
+        yield from _chains_of_batch(b.slice(0, starts[-1]), starts[:-1], shrink)
         held = b.slice(starts[-1])
     if held is not None and held.num_rows:
-        yield _chains_of_batch(held, *_starts(held), shrink)
-
-
-def _starts(b: pa.RecordBatch) -> tuple[list[tuple], list[int]]:
-    keys = list(zip(*(b.column(i).to_pylist() for i in range(5))))
-    return keys, [i for i, k in enumerate(keys) if not i or k != keys[i - 1]]
+        yield from _chains_of_batch(held, _starts(held), shrink)
+
+
+def _starts(b: pa.RecordBatch) -> np.ndarray:
+    """Rows at which an island begins; they are counted from 1 in each."""
+    length = b.column(4).fill_null(-1).to_numpy(zero_copy_only=False)
+    new = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False) == 1
+    new[1:] |= length[1:] != length[:-1]
+    new[0] = True
+    return np.flatnonzero(new)
+
+
+def _spans(starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    span = pa.StructArray.from_arrays([pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), span)
+
+
+def _chains_of_batch(b: pa.RecordBatch, starts: np.ndarray, shrink: int) -> Iterator[pa.RecordBatch]:
+    """Islands of one alignment are their chains, all at once; others are chained one by one."""
+    if not len(starts):
+        return
+    v = {name: np.asarray(b.column(5 + i).to_numpy(zero_copy_only=False)) for i, name in enumerate(NUMBERS)}
+    p, q = np.minimum(v["prot_start"], v["prot_end"]), np.maximum(v["prot_start"], v["prot_end"])
+    a, e = np.minimum(v["loc_start"], v["loc_end"]), np.maximum(v["loc_start"], v["loc_end"])
+    n = v["nident"]
+    sizes = np.diff(np.append(starts, b.num_rows))
+    one = starts[sizes == 1]
+    if len(one):
+        at = np.arange(len(one) + 1)
+        first = np.zeros(len(one), np.int64)
+        yield _batch(b, one, first, _spans(a[one], e[one], at), _spans(p[one], q[one], at), [a[one], e[one], p[one], q[one], n[one], e[one] - a[one] + 1, q[one] - p[one] + 1])
+    heads, places, on_seq, on_prot, cut, hulls = [], [], [], [], [0], []
+    plain = [x.tolist() for x in (v["loc_startS"], v["loc_endS"], p, q, a, e, n)] if len(one) < len(starts) else []
+    for i, m in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
+        if m <= FEW:
+            got = _chains_of_few(list(zip(*(x[i : i + m] for x in plain))), shrink)
+        else:
+            got = chains_of(_Hits({c: x[i : i + m] for c, x in v.items()}), shrink)
+        for k, (seq, prot, total, covered, residues) in enumerate(got):
+            heads.append(i)
+            places.append(k)
+            on_seq += seq
+            on_prot += prot
+            cut.append(len(on_seq))
+            hulls.append((seq[0][0], max(x for _, x in seq), prot[0][0], max(x for _, x in prot), total, covered, residues))
+    if heads:
+        paths = [_spans(*np.array(x, np.int64).T, np.array(cut)) for x in (on_seq, on_prot)]
+        yield _batch(b, np.array(heads), np.array(places), *paths, list(np.array(hulls, np.int64).T))
 
 
-def _chains_of_batch(b: pa.RecordBatch, keys: list[tuple], starts: list[int], shrink: int) -> pa.RecordBatch:
-    numbers = {name: b.column(5 + i).to_numpy(zero_copy_only=False) for i, name in enumerate(NUMBERS)}
-    found = []
-    pairs = lambda p: [{"start": a, "end": e} for a, e in p]
-    hull = lambda p: (min(a for a, _ in p), max(e for _, e in p))
-    for i, j in zip(starts, [*starts[1:], b.num_rows]):
-        chr_id, strand, prot_id, island, prot_len = keys[i]
-        for k, (seq, prot, n, on_seq, on_prot) in enumerate(chains_of(_Hits({c: v[i:j] for c, v in numbers.items()}), shrink)):
-            found.append((chr_id, strand, prot_id, prot_len, island, k, pairs(seq), pairs(prot), *hull(seq), *hull(prot), n, on_seq, on_prot))
-    cols = list(zip(*found)) or [()] * len(_COLUMNS)
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kinds = [pa.string(), pa.int32(), pa.string(), *[pa.int64()] * 3, span, span, *[pa.int64()] * 7]
-    kinds[5] = pa.int32()
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], _COLUMNS)
+def _batch(b: pa.RecordBatch, rows: np.ndarray, places: np.ndarray, seq: pa.Array, prot: pa.Array, numbers: list[np.ndarray]) -> pa.RecordBatch:
+    keys = [b.column(i).take(pa.array(rows)) for i in (0, 1, 2, 4, 3)]
+    return pa.RecordBatch.from_arrays([*keys, pa.array(places, pa.int32()), seq, prot, *(pa.array(x, pa.int64()) for x in numbers)], _COLUMNS)
 
 
 def chain_islands(hsps: DataFrame, scoring: Scoring = Scoring()) -> DataFrame:
     """One row for each chain of each island (``hsp_islands`` gives the islands).
 
-    An island of one alignment is its chain, without Python. The window that counts
-    an island's rows also brings them together, sorted rows then stream through.
+    The window that counts an island's rows also brings them together and in order; they then stream through.
     """
     shrink = scoring.shrink
-    whole = Window.partitionBy(*KEYS, "island")
     rows = hsps.select("chr_id", F.col("strand").cast("int").alias("strand"), "prot_id", F.col("island").cast("long").alias("island"), F.col("prot_len").cast("long").alias("prot_len"), *(F.col(c).cast("long").alias(c) for c in NUMBERS))
-    rows = rows.withColumn("__n", F.count("*").over(whole))
-    span = lambda a, b: F.struct(F.least(a, b).alias("start"), F.greatest(a, b).alias("end"))
-    size = lambda a, b: F.abs(F.col(a) - F.col(b)) + 1
-    one = rows.where("__n = 1").select(
-        "chr_id", "strand", "prot_id", "prot_len", "island", F.lit(0).alias("chain"), F.array(span("loc_start", "loc_end")).alias("chr_path"), F.array(span("prot_start", "prot_end")).alias("prot_path"),
-        F.least("loc_start", "loc_end").alias("chr_start"), F.greatest("loc_start", "loc_end").alias("chr_end"), F.least("prot_start", "prot_end").alias("prot_start"), F.greatest("prot_start", "prot_end").alias("prot_end"),
-        "nident", size("loc_start", "loc_end").alias("nhomol_loc"), size("prot_start", "prot_end").alias("nhomol_prot"),
-    )
-    many = rows.where("__n > 1").drop("__n").sortWithinPartitions(*KEYS, "island", *ORDER)
-    return one.unionByName(many.mapInArrow(lambda b: _chained(b, shrink), schema.CHAINS))
+    along = Window.partitionBy(*KEYS, "island").orderBy(*ORDER)
+    return rows.withColumn("__k", F.row_number().over(along)).mapInArrow(lambda b: _chained(b, shrink), schema.CHAINS)
 
 
 _COLUMNS = [

@@ -296,3 +296,24 @@ def test_what_a_tile_leaves_open():
             spots.add(s, e)
             plain |= set(range(s, e + 1))
     assert all(a <= b for a, b in zip(spots.starts, spots.ends)) and all(b < a for a, b in zip(spots.starts[1:], spots.ends))
+
+
+@pytest.mark.parametrize("sloped", [True, False])
+def test_few_alignments_on_plain_numbers_chain_as_on_arrays(sloped):
+    rnd = random.Random(15)
+    for _ in range(400):
+        h = island(rnd, rnd.randint(2, 30), rnd.choice([150, 900, 5000]), rnd.choice([50, 300]), sloped)
+        few = list(zip(*(getattr(h, c).tolist() for c in "sepqabn")))
+        assert chaining._path_of_few(few) == chaining.best_path(h)
+        for shrink in (1, 60):
+            assert chaining._chains_of_few(few, shrink) == chaining.chains_of(h, shrink)
+
+
+def test_a_hundred_thousand_small_islands():
+    rnd = random.Random(16)
+    few = [list(zip(*(getattr(island(rnd, 3, 900, 300, True), c).tolist() for c in "sepqabn"))) for _ in range(200)]
+    began = time.process_time()
+    for _ in range(500):
+        for h in few:
+            chaining._chains_of_few(h, 60)
+    assert time.process_time() - began < 12
