@@ -317,3 +317,12 @@ def test_a_hundred_thousand_small_islands():
         for h in few:
             chaining._chains_of_few(h, 60)
     assert time.process_time() - began < 12
+
+
+def test_the_fewest_places_of_an_interval(spark):
+    """Where all intervals are of one level, each is filed in one role."""
+    rows = spark.createDataFrame([(5, 104), (7, 60)], "s long, e long")
+    alike, longer = ([1],), ([2],)
+    places = lambda other, first: sorted((r["__level"], r["__role"]) for r in intervals._binned(rows, "s", "e", 128, spark.createDataFrame([other], "__levels array<int>"), first, 1).select("__level", "__role", "s").distinct().collect())
+    assert places(alike, True) == [(1, 1)] * 2 and places(alike, False) == [(1, 1)] * 2
+    assert places(longer, True) == [(2, 2)] * 2 and places(longer, False) == [(2, 1)] * 2
