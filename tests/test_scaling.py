@@ -333,3 +333,10 @@ def test_arrays_of_alignments_hold_short_stretches(spark):
 
     plan = q.queries()["grouped_hsps"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert f"/ {float(q.STRETCH)}" in plan
+
+
+def test_mirrored_deals_one_sequence_to_many_shares(spark):
+    rows = spark.createDataFrame([("p%d" % i, "c", i, i + 9) for i in range(300)], "prot_id string, chr_id string, loc_start long, loc_end long")
+    got = alignments.mirrored(rows)
+    assert got.columns == ["chr_id", "prot_id", "loc_start", "loc_end", "strand", "chrS_id", "loc_startS", "loc_endS"] and got.count() == 300
+    assert "__deal" in got._jdf.queryExecution().optimizedPlan().toString()
