@@ -48,14 +48,16 @@ def cds_sequences(features: DataFrame, fasta: DataFrame) -> DataFrame:
     return rows.select(F.concat("gene", F.lit("_cds")).alias("id"), "gene", "start", "end", sq.stranded(F.col("piece"), F.col("strand")).alias("seq"))
 
 
+def _marked(rows: DataFrame) -> DataFrame:
+    """CDS rows with ``__mark``, the frame mark where one begins right behind the last end."""
+    before = F.lag("end").over(Window.partitionBy("gene").orderBy("start", "end"))
+    return rows.withColumn("__mark", F.when(F.coalesce(F.col("start") - 1 <= before + FRAMESHIFT_GAP, F.lit(False)), F.lit(sq.FRAME_MARK)).otherwise(F.lit("")))
+
+
 def _joined(features: DataFrame, fasta: DataFrame, kind: str, mark: bool) -> DataFrame:
     """(gene, strand, seq): the pieces of each gene in sequence order, with frame marks where asked for."""
     rows = features.where(F.col("type") == kind)
-    if mark:
-        before = F.lag("end").over(Window.partitionBy("gene").orderBy("start", "end"))
-        rows = rows.withColumn("__mark", F.when(F.coalesce(F.col("start") - 1 <= before + FRAMESHIFT_GAP, F.lit(False)), F.lit(sq.FRAME_MARK)).otherwise(F.lit("")))
-    else:
-        rows = rows.withColumn("__mark", F.lit(""))
+    rows = _marked(rows) if mark else rows.withColumn("__mark", F.lit(""))
     pieces = cut(rows.select("gene", "seqid", "strand", "start", "end", "__mark"), fasta).withColumn("__p", F.concat("__mark", "piece"))
     got = pieces.groupBy("gene").agg(F.min("strand").alias("strand"), F.array_sort(F.collect_list(F.struct("start", "end", "__p"))).alias("p"))
     return got.select("gene", "strand", F.array_join(F.transform("p", lambda x: x["__p"]), "").alias("seq"))
@@ -87,7 +89,17 @@ def clamped(bed: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def reference_library(features: DataFrame, fasta: DataFrame) -> DataFrame:
-    """(id, kind, seq): proteins, cDNA without marks, and CDS records of a reference."""
-    kind = lambda df, k: df.select(F.col("gene").alias("id"), F.lit(k).alias("kind"), "seq")
-    cds = cds_sequences(features, fasta).select("id", F.lit("cds").alias("kind"), "seq")
-    return kind(frameshift_sequences(features, fasta, protein=True), "protein").unionByName(kind(frameshift_sequences(features, fasta, marks=False), "cdna")).unionByName(cds)
+    """(id, kind, seq): proteins, cDNA without marks, and CDS records of a reference.
+
+    All three are read from the same pieces (see ``frameshift_sequences``, ``cds_sequences``), which are cut once.
+    """
+    rows = _marked(features.where(F.col("type") == "CDS"))
+    pieces = cut(rows.select("gene", "seqid", "strand", "start", "end", "__mark"), fasta)
+    part = F.struct("start", "end", F.concat("__mark", "piece").alias("marked"), "piece", F.col("strand").alias("sign"))
+    genes = pieces.groupBy("gene").agg(F.min("strand").alias("strand"), F.array_sort(F.collect_list(part)).alias("p"))
+    joined = lambda parts, c: F.upper(sq.stranded(F.array_join(F.transform(parts, lambda x: x[c]), ""), F.col("strand")))
+    plain = F.array_sort(F.transform("p", lambda x: F.struct(x["start"], x["end"], x["piece"].alias("piece"))))
+    whole = genes.select("gene", sq.translate(joined(F.col("p"), "marked")).alias("protein"), joined(plain, "piece").alias("cdna"), F.transform("p", lambda x: sq.stranded(x["piece"], x["sign"])).alias("cds"))
+    row = lambda name, kind, seq: F.struct(name.alias("id"), F.lit(kind).alias("kind"), seq.alias("seq"))
+    records = F.transform("cds", lambda x: row(F.concat("gene", F.lit("_cds")), "cds", x))
+    return whole.select(F.explode(F.concat(F.array(row(F.col("gene"), "protein", F.col("protein")), row(F.col("gene"), "cdna", F.col("cdna"))), records)).alias("r")).select("r.*")

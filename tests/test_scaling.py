@@ -347,3 +347,13 @@ def test_rows_without_nested_ones_need_no_grouping(spark):
 
     plan = q.queries()["without_nested"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
+
+
+def test_reference_library_cuts_its_pieces_once(spark):
+    f = spark.createDataFrame([("g", "c", "-", "CDS", 1, 6), ("g", "c", "-", "CDS", 10, 15), ("h", "c", "+", "CDS", 4, 9), ("h", "c", "+", "exon", 4, 9)], "gene string, seqid string, strand string, type string, start long, end long")
+    fasta = spark.createDataFrame([("c", "ACGTACGTACGTTTGACA")], "seqid string, seq string")
+    got = extraction.reference_library(f, fasta)
+    kind = lambda df, k: [(r["gene"], k, r["seq"]) for r in df.collect()]
+    want = kind(extraction.frameshift_sequences(f, fasta, protein=True), "protein") + kind(extraction.frameshift_sequences(f, fasta, marks=False), "cdna") + [(r["id"], "cds", r["seq"]) for r in extraction.cds_sequences(f, fasta).collect()]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and "X" in str(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
