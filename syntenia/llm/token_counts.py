@@ -22,7 +22,9 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,17 +128,22 @@ class WordCounts(dict):
         self.tokenizer = tokenizer
         self.older: dict[str, int] = {}
 
-    def of(self, texts: list[str]) -> list[int]:
-        pieces = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for p in pieces for w in p}.difference(self)
-        again = new.intersection(self.older)
-        self.update((w, self.older[w]) for w in again)
-        rest = list(new - again)
-        self.update(zip(rest, (len(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
-        out = [sum(map(self.__getitem__, p)) for p in pieces]
-        for w in rest:
-            if len(w) > self.LONGEST:
-                del self[w]
+    def of(self, texts: pa.Array) -> np.ndarray:
+        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        met = pieces.flatten().dictionary_encode()
+        sizes = np.array(self.counts(met.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int64)[met.indices.to_numpy()]
+        upto, ends = np.concatenate(([0], np.cumsum(sizes))), np.cumsum(pc.list_value_length(pieces).to_numpy())
+        return np.diff(upto[ends], prepend=0)
+
+    def counts(self, pieces: list[str]) -> list[int]:
+        """Tokens of each of the distinct ``pieces``; looks up these only, so a call costs the same however much is kept."""
+        out = list(map(self.get, pieces))
+        new = [w for w, n in zip(pieces, out) if n is None]
+        got = {w: self.older[w] for w in new if w in self.older}
+        rest = [w for w in new if w not in got]
+        got.update(zip(rest, map(len, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
+        out = [got[w] if n is None else n for w, n in zip(pieces, out)]
+        self.update((w, n) for w, n in got.items() if len(w) <= self.LONGEST)
         if 2 * len(self) > self.LIMIT:
             self.older = dict(self)
             self.clear()
@@ -149,15 +156,13 @@ def _counter(vocabulary: str) -> WordCounts:
     return WordCounts(load_tokenizer(vocabulary))
 
 
-def count_tokens(words: WordCounts, spliced: Spliced, texts: list[str]) -> list[int]:
+def count_tokens(words: WordCounts, spliced: Spliced, texts: pa.Array) -> np.ndarray:
     """Tokens of each text: ordinary ones by their pieces, huge ones spliced from chunks."""
-    out = [0] * len(texts)
-    short = [i for i, t in enumerate(texts) if len(t) <= spliced.chunk]
-    for i, n in zip(short, words.of([texts[i] for i in short])):
-        out[i] = n
-    for i, t in enumerate(texts):
-        if len(t) > spliced.chunk:
-            out[i] = spliced.count(t)
+    huge = pc.greater(pc.utf8_length(texts), spliced.chunk).to_numpy(zero_copy_only=False)
+    out = np.zeros(len(texts), np.int64)
+    out[~huge] = words.of(texts.filter(pa.array(~huge)))
+    for i in np.flatnonzero(huge):
+        out[i] = spliced.count(texts[int(i)].as_py())
     return out
 
 
@@ -189,10 +194,8 @@ def token_counts(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", limit:
         words = _counter(vocabulary)
         spliced = Spliced(words.tokenizer, chunk, overlap)
         for b in batches:
-            counts: list[int] = []
-            for k in range(0, b.num_rows, BATCH):
-                counts += count_tokens(words, spliced, b.column(1).slice(k, BATCH).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), b.column(2)], ["doc_id", "n_tokens", "n_bytes"])
+            counts = [pa.array(count_tokens(words, spliced, b.column(1).slice(k, BATCH))) for k in range(0, b.num_rows, BATCH)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.concat_arrays([pa.array([], pa.int64()), *counts]), b.column(2)], ["doc_id", "n_tokens", "n_bytes"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
     got = src.withColumn("n_bytes", F.octet_length("text").cast("long")).mapInArrow(run, "doc_id long, n_tokens long, n_bytes long")

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,33 @@ def test_token_counts(spark, awkward, tokenizer):
     assert token_counts.token_counts(awkward.limit(0)).count() == 0
 
 
+class Unwalked(token_counts.WordCounts):
+    """A memo that may be asked for pieces but not gone through."""
+
+    def __iter__(self):
+        raise AssertionError("the cost of a batch grows with what is kept")
+
+
+def test_counting_a_batch_does_not_walk_over_the_memo(tokenizer):
+    words, older = Unwalked(tokenizer), Unwalked(tokenizer)
+    dict.update(older, {f"kept{k}": 2 for k in range(100)})
+    words.older = older
+    texts = ["kept1 again kept2", "", "again\nand  again, it's <|endoftext|>"]
+    for _ in range(2):
+        assert words.of(pa.array(texts)).tolist() == [len(tokenizer.encode(t.replace("kept1", "a b").replace("kept2", "a b"), add_special_tokens=False).ids) for t in texts]
+    assert len(older) == 100 and "kept3" not in words
+
+
+def test_a_memo_that_often_drops_its_older_half_counts_the_same(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_counts.WordCounts, "LIMIT", 20)
+    rnd = random.Random(8)
+    words, spliced = token_counts.WordCounts(tokenizer), token_counts.Spliced(tokenizer, 100, 8)
+    for _ in range(40):
+        texts = ["".join(rnd.choice(["the ", "Strange ", "é", " ", "\n", "it's", "12 ", "x" * 80, "\u3000", "e\u0301 "]) for _ in range(rnd.randint(0, 40))) for _ in range(5)]
+        assert token_counts.count_tokens(words, spliced, pa.array(texts, pa.string())).tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+        assert 2 * len(words) <= words.LIMIT
+
+
 # ---- quality rules ---------------------------------------------------------
 
 
