@@ -94,6 +94,32 @@ def test_nearest_ties_equal_a_loop(spark, stretch):
     assert {r["id"]: (r["distance"], r["ties"]) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("stretch", [None, 50])
+def test_nearest_ties_work_on_positions(spark, monkeypatch, stretch):
+    """Every left row went through the windows, and a frame up to the end took the square of a stretch's rows."""
+    from syntenia.operators import intervals
+
+    seen, running = [], intervals.running
+
+    def counted(rows, *args):
+        seen.append(rows.count())
+        return running(rows, *args)
+
+    monkeypatch.setattr(intervals, "running", counted)
+    left = spark.range(4000).selectExpr("id", "'A' as seqid", "id % 10 * 20 as s", "cast(id % 10 * 20 + 3 as int) as e")
+    right = spark.createDataFrame([(i, "A", 20 * i + 10 * (i % 2), 20 * i + 10 * (i % 2) + 2) for i in range(9) for _ in range(1 + i % 3)], "ref long, seqid string, t long, u long")
+    near = intervals.nearest_ties(left, right, ["seqid"], ("s", "e"), ("t", "u"), "id", stretch)
+    got = near.collect()
+    spans = [(r["t"], r["u"]) for r in right.collect()]
+    for r in got:
+        s = r["id"] % 10 * 20
+        apart = [max(0, s - u, t - s - 3) for t, u in spans]
+        assert (r["distance"], r["ties"]) == (min(apart), apart.count(min(apart)))
+    assert sorted(r["id"] for r in got) == list(range(4000))
+    assert all(n <= 19 for n in seen) and len(seen) == (2 if stretch else 0)
+    assert "unboundedfollowing" not in near._jdf.queryExecution().toString().lower()
+
+
 def test_best_of_regions_in_stretches(spark):
     """A region over several stretches has one best run; missing scores come last, NaN first, as when sorted."""
     from syntenia.operators import regions
