@@ -669,6 +669,42 @@ def test_verbatim_items_of_every_length_are_recalled(spark, fit_docs):
         assert decontaminate.lcs(a, b) >= decontaminate.LIKELY * len(a)
 
 
+def test_the_basis_is_fitted_on_all_documents(spark, monkeypatch):
+    """About 4000 documents were drawn for it, whatever their number."""
+    seen, fit = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda d, idf: seen.append(d.count()) or fit(d, idf))
+    d = docs(spark, [f"alpha{i % 70} beta{i % 11} gamma{i} delta" for i in range(5000)])
+    bench = spark.createDataFrame([(0, "alpha3 beta3 gamma3 delta"), (1, "alpha9 beta9 gamma9 epsilon")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(d, bench).collect()} >= {(3, 0)}
+    assert 3 not in {r["doc_id"] for r in decontaminate.clean_documents(d, bench).collect()}
+    assert seen == [5000, 5000]
+
+
+def test_latent_space_equals_the_whole_decomposition(spark):
+    """Whitened leading directions of so few passages span them all, so their Gram matrix is the identity."""
+    import numpy as np
+
+    rnd = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rnd.choices(vocabulary, k=rnd.randint(40, 150))) for _ in range(20)]
+    d = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, row long").repartition(3)
+    df, n = decontaminate.document_frequencies(d)
+    idf = np.log((1 + n) / (1 + df)).astype(np.float32)
+    basis = decontaminate.latent_space(d, idf)
+    rows = []
+    for t in texts:
+        f = decontaminate.features(decontaminate.words_of(t))
+        for k in range(0, len(f), 64):
+            col, tf = np.unique(f[k : k + 64], return_counts=True)
+            row = np.zeros(decontaminate.DIM)
+            row[col] = (1 + np.log(tf)) * idf[col]
+            rows.append(row / np.linalg.norm(row))
+    a = np.array(rows)
+    assert len(a) < decontaminate.RANK and basis.shape == (decontaminate.DIM, decontaminate.RANK)
+    seen = a @ basis
+    assert np.abs(seen @ seen.T - np.eye(len(a))).max() < 0.01
+
+
 def test_repeated_documents_and_short_items_of_common_words(spark):
     texts = ["a b c d e f g h i j k l m n", "a b c d e f g h i j k l m n", "x the of and x", "the the of of and", "THE Of AND in"]
     bench = spark.createDataFrame([(1, "the of and in"), (2, "e f g h"), (3, "e f g h"), (4, "zz")], "item_id long, text string")
