@@ -680,6 +680,18 @@ def test_the_basis_is_fitted_on_all_documents(spark, monkeypatch):
     assert seen == [5000, 5000]
 
 
+def test_the_pipeline_fits_the_basis_on_all_documents(spark, monkeypatch, tmp_path):
+    """Its decontamination drew about 4000 documents as well."""
+    import corpus_pipeline
+
+    seen, fit = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda d, idf: seen.append(d.count()) or fit(d, idf))
+    spark.createDataFrame([(0, "alpha3 beta3 gamma3 delta")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    d = docs(spark, [f"alpha{i % 70} beta{i % 11} gamma{i} delta" for i in range(4500)])
+    left = {r["doc_id"] for r in corpus_pipeline.decontamination(spark, d, str(tmp_path)).select("doc_id").collect()}
+    assert seen == [4500] and 3 not in left and 4 in left
+
+
 def test_latent_space_equals_the_whole_decomposition(spark):
     """Whitened leading directions of so few passages span them all, so their Gram matrix is the identity."""
     import numpy as np
